@@ -101,6 +101,11 @@ def daily_first_views(
     )
 
 
+def _hours(seconds: Column) -> Column:
+    """Hours to three digits; summation noise must not tip a half either way."""
+    return F.round(F.round(seconds_to_hours(seconds), 9), 3)
+
+
 def daily_hours(
     streams: DataFrame, assets: DataFrame, run_date: str, min_seconds: float = MIN_STREAM_SECONDS
 ) -> DataFrame:
@@ -108,7 +113,7 @@ def daily_hours(
     return (
         _countable(long_enough, assets, run_date)
         .groupBy(*TITLE, "request_date")
-        .agg(F.round(seconds_to_hours(F.sum("stream_seconds")), 3).alias("hours_viewed"))
+        .agg(_hours(F.sum("stream_seconds")).alias("hours_viewed"))
     )
 
 
@@ -136,9 +141,9 @@ def title_calendar(assets: DataFrame, last_day: str, days: int = GRID_DAYS) -> D
             "premiere_ind"
         ),
         F.count_distinct(F.when(on_day, F.col("viewable_id"))).alias("asset_premiere_count"),
-        F.round(
-            seconds_to_hours(F.sum_distinct(F.when(on_day, F.col("run_time")).otherwise(0))), 3
-        ).alias("premiering_hours_runtime"),
+        _hours(F.sum_distinct(F.when(on_day, F.col("run_time")).otherwise(0))).alias(
+            "premiering_hours_runtime"
+        ),
     )
 
 

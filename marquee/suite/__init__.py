@@ -1,6 +1,12 @@
 """The registered queries."""
 
-from marquee.suite import launch_queries  # noqa: F401
+from marquee.suite import (  # noqa: F401
+    audience_queries,
+    feature_queries,
+    firstview_queries,
+    launch_queries,
+    learning_queries,
+)
 from marquee.suite.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

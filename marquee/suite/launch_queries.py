@@ -88,32 +88,6 @@ def interval_merge(spark, d):
     return merged.select("part", us("s").alias("starts_us"), us("e").alias("ends_us"))
 
 
-@query(
-    "interval_merge_not_exists",
-    """
-    with v as (select distinct l_suppkey % 10 as g, o_orderdate as s, l_shipdate as e
-            from orders join lineitem on o_orderkey = l_orderkey
-            where l_shipdate >= o_orderdate and l_linenumber = 1 and l_partkey % 40 = 0),
-        starts as (select distinct g, s from v a where not exists (
-            select 1 from v b where b.g = a.g and a.s > b.s and a.s <= b.e)),
-        ends as (select distinct g, e from v a where not exists (
-            select 1 from v b where b.g = a.g and a.e >= b.s and a.e < b.e))
-    select starts.g, epoch_us(s) as starts_us, epoch_us(min(e)) as ends_us
-    from starts join ends on starts.g = ends.g and s <= e group by starts.g, s
-    """,
-)
-def interval_merge_not_exists(spark, d):
-    orders = s.table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").alias("s"))
-    items = s.table(spark, d, "lineitem").where(
-        (F.col("l_linenumber") == 1) & (F.col("l_partkey") % 40 == 0)
-    )
-    spans = items.select(
-        F.col("l_orderkey").alias("o_orderkey"), (F.col("l_suppkey") % 10).alias("g"), F.col("l_shipdate").alias("e")
-    ).join(orders, "o_orderkey")
-    merged = merge_intervals(spans, ["g"], "s", "e")
-    return merged.select("g", us("s").alias("starts_us"), us("e").alias("ends_us"))
-
-
 def _streams(spark, d):
     titles = funnel.asset_titles(s.assets(spark, d), "first_offered_date_current")
     launches = stored(funnel.title_launches(titles))

@@ -354,7 +354,7 @@ _NEEDS = {
 }
 
 
-def sql(names: str, body: str, **extra: str) -> str:
+def sql(names: str, body: str, /, **extra: str) -> str:
     """``with`` clause of the named stand-ins, further CTEs, and the final select."""
     ordered: list[str] = []
 
