@@ -6,6 +6,8 @@ from marquee.suite import (  # noqa: F401
     firstview_queries,
     launch_queries,
     learning_queries,
+    relational_queries,
+    scalar_queries,
 )
 from marquee.suite.registry import ORACLES, QUERIES
 
