@@ -133,3 +133,26 @@ def with_group_total(df: DataFrame, keys: Sequence[str], value: str, out: str) -
     """Adds the key's total to each row: combined aggregate, then a join back."""
     totals = df.groupBy(*keys).agg(F.sum(value).alias(out))
     return df.join(totals, list(keys), "left")
+
+
+def running_by_day(
+    changes: DataFrame, keys: Sequence[str], day: str, values: Sequence[str], days: Sequence[int]
+) -> DataFrame:
+    """Totals of ``values`` up to each of ``days``, from at most one row per key and day.
+
+    A key's changes become one short list, so keys without any need no calendar rows
+    and no window has to run over the days.
+    """
+    listed = changes.groupBy(*keys).agg(
+        F.collect_list(F.struct(F.col(day).alias("day"), *values)).alias("_changes")
+    )
+    spread = listed.withColumn(day, F.explode(F.array(*[F.lit(d) for d in days])))
+
+    def total(name: str) -> Column:
+        return F.aggregate(
+            F.filter("_changes", lambda c: c["day"] <= F.col(day)),
+            F.lit(0).cast("bigint"),
+            lambda sum_, c: sum_ + F.coalesce(c[name], F.lit(0)),
+        ).alias(name)
+
+    return spread.select(*keys, day, *[total(v) for v in values])

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.dates import add_days, day_ceiling
+from marquee.operators.aggregates import running_by_day
 
 HOUR_US = 3_600_000_000
 
@@ -110,26 +111,25 @@ def audience_counts(
             (F.col("_from") >= F.col("opens"))
             & (F.col("_to") <= add_days(F.col("launch"), last))
         )
-        .select(
-            "opens",
-            "launch",
-            F.greatest(day_ceiling(F.col("_to"), F.col("launch")), F.lit(min(days))).alias("_n0"),
-        )
+        .select("opens", "launch", day_ceiling(F.col("_to"), F.col("launch")).alias("_n0"))
         .groupBy("opens", "launch", "_n0")
         .agg(F.count(F.lit(1)).alias("_gaps"))
     )
-    by_day = Window.partitionBy("opens", "launch").orderBy("n")
+    inner = running_by_day(gaps, ["opens", "launch"], "_n0", ["_gaps"], days).withColumnRenamed(
+        "_n0", "n"
+    )
     return (
         grid.join(started, "closes", "left")
         .join(ended, "opens", "left")
-        .join(gaps.withColumnRenamed("_n0", "n"), ["opens", "launch", "n"], "left")
-        .withColumn("_inner", F.sum(F.coalesce("_gaps", F.lit(0))).over(by_day))
+        .join(inner, ["opens", "launch", "n"], "left")
         .select(
             "opens",
             "launch",
             "n",
             (
-                F.coalesce("_started", F.lit(0)) - F.coalesce("_ended", F.lit(0)) - F.col("_inner")
+                F.coalesce("_started", F.lit(0))
+                - F.coalesce("_ended", F.lit(0))
+                - F.coalesce("_gaps", F.lit(0))
             ).alias("users"),
         )
     )

@@ -25,7 +25,7 @@ def chain_periods(
     start: str,
     end: str,
     max_gap_seconds: int = 0,
-    limit: SkewLimit = DEFAULT_LIMIT,
+    limit: SkewLimit | None = DEFAULT_LIMIT,
 ) -> DataFrame:
     """Chains periods whose start continues the previous end into numbered sessions.
 
@@ -49,7 +49,7 @@ def merge_intervals(
     keys: Sequence[str],
     start: str,
     end: str,
-    limit: SkewLimit = DEFAULT_LIMIT,
+    limit: SkewLimit | None = DEFAULT_LIMIT,
 ) -> DataFrame:
     """Unions overlapping or touching intervals per key.
 
@@ -84,7 +84,7 @@ def next_interval_start(
     start: str,
     end: str,
     out: str,
-    limit: SkewLimit = DEFAULT_LIMIT,
+    limit: SkewLimit | None = DEFAULT_LIMIT,
 ) -> DataFrame:
     """For each moment the start of the first island of its key that ends at or after it.
 

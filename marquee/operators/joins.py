@@ -15,6 +15,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Total estimated size of the tables a plan reads; no job is run."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only when the estimate is under the limit; otherwise unchanged,
     which leaves a shuffled join that AQE can still split or convert."""

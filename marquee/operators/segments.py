@@ -1,8 +1,8 @@
 """Ordered windows that stay balanced when one key holds a large part of the rows.
 
 A window function sends every row of a key to one task. That is fine while no
-key is large, so ``with_segments`` first finds out: an input whose estimated size
-is small needs no further look, a larger one gets a map-side combined count per
+key is large, so ``with_segments`` first finds out: an input read from small
+tables needs no further look, a larger one gets a map-side combined count per
 key. Only if some key is above the row limit are its rows cut into time
 segments. Each segment is then a window partition of its own, and what has to
 cross a segment border is carried through a summary with one row per hot key
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.joins import estimated_bytes
+from marquee.operators.joins import source_bytes
 from marquee.session import stored
 
 SEGMENT = "_segment"
@@ -27,7 +27,7 @@ SEGMENT_MICROS = 86_400_000_000
 
 @dataclass(frozen=True)
 class SkewLimit:
-    """``rows`` a single key may hold; inputs under ``bytes`` are not counted at all."""
+    """``rows`` a single key may hold; inputs read from less than ``bytes`` are not counted."""
 
     rows: int = 5_000_000
     bytes: int = 512 * 1024 * 1024
@@ -54,15 +54,16 @@ class Segmented:
 
 
 def with_segments(
-    df: DataFrame, keys: Sequence[str], time: str, limit: SkewLimit = DEFAULT_LIMIT
+    df: DataFrame, keys: Sequence[str], time: str, limit: SkewLimit | None = DEFAULT_LIMIT
 ) -> Segmented:
     """Decides whether hot keys must be cut, and cuts them by time if so.
 
+    ``limit=None`` is for callers whose rows per key have a bound of their own.
     The hot key list is broadcast: it has at most ``total rows / limit.rows`` rows.
     The tagged rows are stored once, as later steps read them more than once.
     """
     keys = tuple(keys)
-    if estimated_bytes(df) <= limit.bytes:
+    if limit is None or source_bytes(df) <= limit.bytes:
         return Segmented(df, keys, False)
     hot = (
         df.groupBy(*keys)

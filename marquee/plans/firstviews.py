@@ -30,6 +30,7 @@ from marquee.functions.metrics import (
 )
 from marquee.operators.aggregates import percentiles_per_key, with_group_total
 from marquee.operators.joins import band_join
+from marquee.session import stored
 
 TITLE = ("title_id", "title_name", "season_number", "content_category", "category", "tier")
 
@@ -290,8 +291,10 @@ def decay_curve(daily: DataFrame, title_keys: Sequence[str], group: str, title:
         .orderBy("days_since_premiere")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    shares = total.withColumn(
-        "first_views_cumpct", F.try_divide(F.sum("first_views").over(run), F.col("_total"))
+    shares = stored(
+        total.withColumn(
+            "first_views_cumpct", F.try_divide(F.sum("first_views").over(run), F.col("_total"))
+        ).select(group, title, "days_since_premiere", "first_views_cumpct")
     )
     median = percentiles_per_key(
         shares, [group, "days_since_premiere"], "first_views_cumpct", {"first_views_cumpct": 0.5}

@@ -23,11 +23,10 @@ from marquee.functions.keys import (
     title_name,
 )
 from marquee.functions.metrics import capped_hours, seconds_to_hours
-from marquee.operators.aggregates import modes_per_key
+from marquee.operators.aggregates import modes_per_key, running_by_day
 from marquee.operators.audience import audience_counts
 from marquee.operators.intervals import next_interval_start
 from marquee.operators.joins import new_rows, small_side
-from marquee.operators.segments import DEFAULT_LIMIT, SkewLimit
 
 TITLE_KEYS = ("title_name", "match_id")
 
@@ -116,13 +115,12 @@ def title_views(
     )
 
 
-def viewership_base(
-    title_streams: DataFrame, islands: DataFrame, days: int = 28, limit: SkewLimit = DEFAULT_LIMIT
-) -> DataFrame:
+def viewership_base(title_streams: DataFrame, islands: DataFrame, days: int = 28) -> DataFrame:
     """Streams of users subscribed at some time in the launch window, each kept once."""
+    # distinct, so a user holds at most one row per launch time of the catalogue
     pairs = title_streams.select("user_id", "launch").distinct()
     pairs = next_interval_start(
-        pairs, islands, ["user_id"], "launch", "starts_at", "ends_at", "eligible_from", limit
+        pairs, islands, ["user_id"], "launch", "starts_at", "ends_at", "eligible_from", None
     )
     pairs = pairs.where(F.col("eligible_from") < add_days(F.col("launch"), days))
     return title_streams.join(
@@ -145,7 +143,6 @@ def user_title_changes(
     title_streams: DataFrame,
     islands: DataFrame,
     last_day: int,
-    limit: SkewLimit = DEFAULT_LIMIT,
 ) -> DataFrame:
     """Changes of the played / viewed / completed flags per user, title and day.
 
@@ -160,12 +157,13 @@ def user_title_changes(
         .groupBy(*title, "user_id", "viewable_id", "n")
         .agg(F.sum("stream_hours").alias("hours"), F.max("runtime_hours").alias("runtime"))
     )
+    # already combined: a user holds at most episodes x days rows, a catalogue bound
+    # that does not grow with the stream
     facts = next_interval_start(
-        facts, islands, ["user_id"], "launch", "starts_at", "ends_at", "eligible_from", limit
+        facts, islands, ["user_id"], "launch", "starts_at", "ends_at", "eligible_from", None
     )
     facts = facts.where(F.col("eligible_from") < add_days(F.col("launch"), last_day))
     joined = F.greatest(F.col("n"), day_ceiling(F.col("eligible_from"), F.col("launch")))
-    # user and title together hold at most episodes x days rows, a catalogue bound
     facts = (
         facts.withColumn("n", joined)
         .where(F.col("n") <= last_day)
@@ -225,7 +223,6 @@ def launch_funnel(
     platform: str,
     days: Sequence[int] = FUNNEL_DAYS,
     existing: DataFrame | None = None,
-    limit: SkewLimit = DEFAULT_LIMIT,
 ) -> DataFrame:
     """Funnel rows for every title and every day whose window has fully elapsed.
 
@@ -233,29 +230,13 @@ def launch_funnel(
     accumulated over the few days of each title.
     """
     last = max(days)
-    changes = user_title_changes(title_streams, viewer_islands, last, limit)
-    flags = ["d_played", "d_viewed", "d_completed"]
+    changes = user_title_changes(title_streams, viewer_islands, last)
+    flags = ["played", "viewed", "completed"]
     per_day = changes.groupBy(*TITLE_KEYS, "launch", "n").agg(
-        *[F.sum(c).alias(c) for c in flags]
-    )
-    grid = launches.select(*TITLE_KEYS, "launch").withColumn(
-        "n", F.explode(F.sequence(F.lit(1), F.lit(last)))
-    )
-    w = (
-        Window.partitionBy(*TITLE_KEYS, "launch")
-        .orderBy("n")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    totals = grid.join(per_day, [*TITLE_KEYS, "launch", "n"], "left").select(
-        *TITLE_KEYS,
-        "launch",
-        "n",
-        *[F.sum(F.coalesce(c, F.lit(0))).over(w).alias(c[2:]) for c in flags],
+        *[F.sum(f"d_{c}").alias(c) for c in flags]
     )
-    totals = totals.where(
-        F.col("n").isin(*days)
-        & (add_days(F.col("launch"), F.col("n")) <= end_ts)
-        & (F.col("played") > 0)
+    totals = running_by_day(per_day, [*TITLE_KEYS, "launch"], "n", flags, days).where(
+        (add_days(F.col("launch"), F.col("n")) <= end_ts) & (F.col("played") > 0)
     )
     anchors = launches.select(F.col("launch").alias("opens"), "launch")
     subscribers = audience_counts(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.constants import (
@@ -16,8 +16,10 @@ from marquee.constants import (
 from marquee.functions.dates import add_days, add_minutes, day_ceiling
 from marquee.functions.keys import LEGACY_PLATFORM, match_id_platform
 from marquee.functions.text import trailer_title, trailer_title_final, without_season
+from marquee.operators.aggregates import running_by_day
 from marquee.operators.audience import audience_counts
 from marquee.operators.joins import band_join, new_rows, small_side
+from marquee.session import stored
 
 TITLE = ("title_name", "match_id")
 
@@ -92,6 +94,8 @@ def trailer_reach(
         .withColumn("opens", opens)
         .where(F.col("first_trailer") < F.col("launch"))
     )
+    # one row per trailer, read by the views and by the audience counts
+    windows = stored(windows)
     seen = (
         views.where(
             (F.col("stream_seconds") > MIN_TRAILER_SECONDS) & (F.col("stream_at") <= end_ts)
@@ -113,23 +117,16 @@ def trailer_reach(
     entered = entries("user_id", "_users").unionByName(
         entries("viewable_id", "_trailers"), allowMissingColumns=True
     )
-    grid = windows.select(*key).distinct().withColumn(
-        "n", F.explode(F.array(*[F.lit(d) for d in days]))
+    per_day = entered.groupBy(*key, "n").agg(
+        F.coalesce(F.sum("_users"), F.lit(0)).alias("view_count"),
+        F.coalesce(F.sum("_trailers"), F.lit(0)).alias("total_trailer_num"),
     )
-    every = entered.unionByName(grid, allowMissingColumns=True)
-    per_day = every.groupBy(*key, "n").agg(
-        F.coalesce(F.sum("_users"), F.lit(0)).alias("_users"),
-        F.coalesce(F.sum("_trailers"), F.lit(0)).alias("_trailers"),
-    )
-    w = Window.partitionBy(*key).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    totals = running_by_day(per_day, key, "n", ["view_count", "total_trailer_num"], days)
     closes = add_days(F.col("launch"), F.col("n"))
     reached = (
-        per_day.withColumn("view_count", F.sum("_users").over(w))
-        .withColumn("total_trailer_num", F.sum("_trailers").over(w))
-        .withColumn("cumulative_day_num", F.datediff(closes, F.col("opens")))
+        totals.withColumn("cumulative_day_num", F.datediff(closes, F.col("opens")))
         .where(
-            F.col("n").isin(*days)
-            & (F.col("view_count") > 0)
+            (F.col("view_count") > 0)
             & (closes < end_ts)
             & (F.col("cumulative_day_num") > 0)
         )

@@ -83,6 +83,7 @@ def _title_days(spark, d):
         td=_TITLE_DAYS,
         **_ACTIVES,
     ),
+    wide=("days_on_platform",),
 )
 def title_pct_actives(spark, d):
     number = F.col("k").cast("string")

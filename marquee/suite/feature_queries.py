@@ -201,6 +201,7 @@ def _metadata(spark, d):
         from meta join modes using (match_id, season_number_adj)""",
         **_META,
     ),
+    wide=("season_number_adj",),
 )
 def metadata_rollup(spark, d):
     return _metadata(spark, d).select(
@@ -226,6 +227,7 @@ def metadata_rollup(spark, d):
         from meta join fk using (match_id)""",
         **_META,
     ),
+    wide=("season_number_adj", "single_episode_ind", "dayofweek_earliest_date"),
 )
 def metadata_feature(spark, d):
     rows = features.metadata_feature(_metadata(spark, d), s.funnel_rows(spark, d))

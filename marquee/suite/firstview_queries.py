@@ -120,6 +120,7 @@ _TITLE = "title_id, season_number, content_category, category, cast(tier as inte
         "run_time, strftime(eff_start, '%Y-%m-%d') as effective_start, strftime(eff_end, '%Y-%m-%d') as effective_end from past",
         past=_ASSETS["past"],
     ),
+    wide=("season_number",),
 )
 def base_assets(spark, d):
     return _base(spark, d).select(
@@ -140,6 +141,7 @@ def base_assets(spark, d):
         "finished as finished_window_flag from grid",
         **_ASSETS,
     ),
+    wide=("season_number",),
 )
 def calendar_grid(spark, d):
     return grid_of(spark, d).select(
@@ -197,6 +199,7 @@ def _graph(spark, d):
         "reference_title, reference_reference_type, reference_reference_title_id from graph",
         **_GRAPH,
     ),
+    wide=("season_number",),
 )
 def reference_graph(spark, d):
     return _graph(spark, d).select(
@@ -223,7 +226,7 @@ _FEATURES = """
         on f.title_name = p.title_name and f.season_number = p.season_number and f.content_category = p.content_category"""
 
 
-@query("reference_features", sql("assets", _FEATURES, **_GRAPH))
+@query("reference_features", sql("assets", _FEATURES, **_GRAPH), wide=("season_number",))
 def reference_features(spark, d):
     rows = firstviews.reference_features(_graph(spark, d), _KEYS)
     return rows.select(*_KEYS, rnd("prequel_count").alias("prequel_count"), rnd("prequel_featured_count").alias("prequel_featured_count"))
@@ -336,6 +339,7 @@ _TRAIN = """
         t=_TRAIN,
         f=_FEATURES,
     ),
+    wide=("season_number",),
 )
 def training_rows(spark, d):
     rows = prepared_titles(spark, d)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +15,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, wide: Sequence[str] = ()):
+    """Registers a query; ``wide`` columns are returned as 64-bit integers."""
+
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(use_utc(spark), sf_dir)
+            rows = build(use_utc(spark), sf_dir)
+            return rows.withColumns({c: F.col(c).cast("bigint") for c in wide}) if wide else rows
 
         QUERIES[name] = run
         if sql is not None:

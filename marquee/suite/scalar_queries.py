@@ -28,6 +28,7 @@ from marquee.suite.standins import sql, ts
             case when k % 5 = 0 then '0-' else '1-' end || coalesce(series_id || '-' || season_adj, viewable_id) as match_id_platform
         from asset_keys""",
     ),
+    wide=("season_number_adj",),
 )
 def scalar_keys(spark, d):
     category, season = F.col("content_category"), F.col("season_number")
