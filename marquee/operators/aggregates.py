@@ -81,6 +81,7 @@ def percentiles_per_key(
 
     A sketch cuts each group's values into ``pieces`` ranges. Counts per range say
     which ranges hold the wanted ranks; only those are ordered, on distinct values.
+    Without keys the whole table is one group.
     """
     counted = (
         df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
@@ -92,7 +93,9 @@ def percentiles_per_key(
         F.percentile_approx(value, grid, 10_000).alias("_cuts"),
         F.sum("_n").alias("_size"),
     )
-    placed = counted.join(groups, list(keys)).withColumn(
+    # without keys ``groups`` is a single row
+    sized = counted.join(groups, list(keys)) if keys else counted.crossJoin(F.broadcast(groups))
+    placed = sized.withColumn(
         "_piece", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
     )
     totals = placed.groupBy(*keys, "_piece").agg(

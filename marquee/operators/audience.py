@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.dates import add_days, day_ceiling
 from marquee.operators.aggregates import running_by_day
+from marquee.operators.joins import small_side
 
 HOUR_US = 3_600_000_000
 
@@ -46,7 +47,7 @@ def events_up_to(
         F.col(event).alias("_at"), _hour(F.col(event)).alias("_hour")
     )
     reached = (lambda p: p >= F.col("_at")) if inclusive else (lambda p: p > F.col("_at"))
-    placed = moments.join(by_hour, "_hour", "left").select(
+    placed = moments.join(small_side(by_hour), "_hour", "left").select(
         "_hour", F.get(F.filter("_points", reached), F.lit(0)).alias("_point")
     )
     counts = placed.groupBy("_hour", "_point").agg(F.count(F.lit(1)).alias("_n"))

@@ -11,6 +11,7 @@ from marquee.constants import HOURS_FLOOR, HOURS_WINDOWS, MIN_STREAM_SECONDS
 from marquee.functions.keys import match_id_by_category, match_title
 from marquee.operators.aggregates import mode_per_key
 from marquee.operators.joins import new_rows
+from marquee.session import stored
 
 
 def title_offers(assets: DataFrame, floor: str = HOURS_FLOOR) -> DataFrame:
@@ -97,7 +98,8 @@ def hours_share(
     A title only ever needs its own days, so streams meet offers in one equi join;
     the denominator depends on dates alone.
     """
-    daily = daily_seconds(streams, floor, min_seconds)
+    # title-days are few next to streams, and both sides of the share read them
+    daily = stored(daily_seconds(streams, floor, min_seconds))
     offset = F.datediff("day", "offer_date")
     own = daily.join(offers.select("match_id", "offer_date"), "match_id").where(
         (offset >= 0) & (offset < max(windows))
@@ -108,7 +110,7 @@ def hours_share(
     pairs = F.array(
         *[F.struct(F.lit(w).alias("window"), F.col(f"w{w}").alias("seconds")) for w in windows]
     )
-    long = (
+    long = stored(
         sums.select("match_id", "offer_date", F.explode(pairs).alias("_w"))
         .select("match_id", "offer_date", "_w.*")
         .where(F.col("seconds").isNotNull())

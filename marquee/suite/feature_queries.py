@@ -11,6 +11,7 @@ from marquee.operators.joins import merge_features
 from marquee.operators.pivots import common_labels, label_codes, multi_hot, one_hot
 from marquee.plans import features
 from marquee.plans.neighbors import trend_features, trend_neighbours
+from marquee.session import stored
 from marquee.suite import standins as s
 from marquee.suite.registry import big, query, rnd, us
 from marquee.suite.standins import launch_sql, sql
@@ -552,7 +553,8 @@ def popularity_filter(spark, d):
             F.lit(NOT_REACHED),
         ).alias("v")
     )
-    threshold = percentiles_per_key(rows.withColumn("g", F.lit(1)), ["g"], "v", {"threshold": 0.8}).drop("g")
+    rows = stored(rows)
+    threshold = percentiles_per_key(rows, [], "v", {"threshold": 0.8})
     return _rounded(features.popular_titles(rows, "v", threshold))
 
 

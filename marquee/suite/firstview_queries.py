@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.metrics import log_zero_is_zero
 from marquee.plans import firstviews
+from marquee.session import stored
 from marquee.suite import standins as s
 from marquee.suite.registry import big, iso, query, rnd
 from marquee.suite.standins import launch_sql, sql
@@ -104,7 +105,7 @@ def _hours(spark, d, assets):
 
 
 def grid_of(spark, d):
-    assets = _base(spark, d)
+    assets = stored(_base(spark, d))
     return firstviews.daily_grid(assets, _first_views(spark, d, assets), _hours(spark, d, assets), RUN, LAST_DAY)
 
 
@@ -188,7 +189,7 @@ def _graph(spark, d):
         F.col("k").alias("title_ref"), F.concat(F.lit("N"), F.floor(F.col("k") / 2).cast("string")).alias("title_name"),
         F.coalesce("season_number", F.lit(1)).alias("season_number"), "content_category",
     )
-    return firstviews.reference_graph(titles, names, links)
+    return stored(firstviews.reference_graph(titles, names, links))
 
 
 @query(

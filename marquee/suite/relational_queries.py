@@ -566,7 +566,7 @@ def run_log(spark, d):
 
 _PREDICTIONS = """
     select 'T' || o_custkey as title_name, 'M' || o_custkey as match_id, (o_custkey % 4 <> 0)::integer as platform_name,
-        o_orderkey % 30 - 3 as pred_day, round(max(o_totalprice) / 1000000, 6) as pred
+        o_orderkey % 30 - 3 as pred_day, round(max(o_totalprice) / 1000000, 8) as pred
     from orders where o_orderstatus = '{status}' group by 1, 2, 3, 4"""
 _DASH = {
     "pa": _PREDICTIONS.format(status="F"),
@@ -588,7 +588,7 @@ def _predictions(spark, d, status):
             F.concat(F.lit("T"), key).alias("title_name"), F.concat(F.lit("M"), key).alias("match_id"),
             (F.col("o_custkey") % 4 != 0).cast("int").alias("platform_name"), (F.col("o_orderkey") % 30 - 3).alias("pred_day"),
         )
-        .agg(rnd(F.max("o_totalprice") / 1_000_000).alias("percent_view_pred"))
+        .agg(rnd(F.max("o_totalprice") / 1_000_000, 8).alias("percent_view_pred"))
     )
 
 
@@ -607,14 +607,14 @@ def _dashboard_titles(spark, d):
     sql(
         "",
         "select distinct v.title_name, coalesce(a.match_id, v.match_id) as match_id, 28 as days_since_first_offered, "
-        "a.pred as percent_actives, round(v.pred * 100, 4) as percent_view, 'prediction' as data_type "
+        "a.pred as percent_actives, round(v.pred * 100, 6) as percent_view, 'prediction' as data_type "
         "from a full join v on a.match_id = v.match_id",
         **_DASH,
     ),
 )
 def dashboard_predicted(spark, d):
     rows = predicted_metrics(_predictions(spark, d, "F"), _predictions(spark, d, "O"), _dashboard_titles(spark, d))
-    return rows.withColumn("percent_view", rnd("percent_view", 4))
+    return rows.withColumn("percent_view", rnd("percent_view"))
 
 
 @query(

@@ -201,7 +201,7 @@ def funnel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     titles = assets(spark, sf_dir).select("k", "viewable_id", "asset_title_long", "content_category")
     subs = F.col("played") + F.col("viewed") + 10
-    return daily.join(titles, "k").select(
+    rows = daily.join(titles, "k").select(
         "k",
         F.concat("asset_title_long", F.lit(" S1")).alias("title_name"),
         F.col("viewable_id").alias("match_id"),
@@ -217,6 +217,8 @@ def funnel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("played") / subs).alias("retail_played_count_percent"),
         (F.col("viewed") / subs).alias("retail_viewed_count_percent"),
     )
+    # a published table for everything that reads it
+    return stored(rows)
 
 
 # --- SQL twins -----------------------------------------------------------------
