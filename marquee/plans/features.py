@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.constants import (
     FUNNEL_DAYS,
+    NEVER_OBSERVED,
     NOT_REACHED,
+    POSTLAUNCH_SIGNALS,
     PRELAUNCH_COST_DAYS,
     SERVICE_LAUNCH_DATE,
     TRAILER_DAYS,
@@ -476,6 +479,81 @@ def assemble(
     return labelled.groupBy(KEY).pivot("_label", wanted).agg(F.max("value"))
 
 
+@dataclass(frozen=True)
+class FeatureChoice:
+    """Which forms of the day signals a model reads when it knows ``last_day`` days."""
+
+    last_day: int
+    log_target: bool = True
+    log_ratio: bool = True
+    raw_log: bool = True
+    cumulative_cost: bool = True
+
+    def spans(self, signals: Sequence[str] = POSTLAUNCH_SIGNALS) -> list[tuple[str, int, int]]:
+        """``(metric, first day, last day)``; spending is logged already and stays as it is."""
+        if self.last_day < 1:
+            return []
+        shares = [m for m in signals if m != "mc"]
+        chosen: list[tuple[str, int, int]] = []
+        if not self.log_target:
+            chosen += [(m, 1, self.last_day) for m in shares if "percent" in m]
+        elif self.log_ratio:
+            chosen += [(f"log_{m}", 1, 1) for m in shares]
+            chosen += [(f"log_ratio_{m}", 2, self.last_day) for m in shares]
+        if self.raw_log or (self.log_target and not self.log_ratio):
+            chosen = [c for c in chosen if not (c[0].startswith("log_") and c[1:] == (1, 1))]
+            chosen += [(f"log_{m}", 1, self.last_day) for m in shares]
+        if "mc" in signals:
+            chosen.append(("mc", self.last_day if self.cumulative_cost else 1, self.last_day))
+        return [c for c in chosen if c[2] >= c[1]]
+
+
+def assemble_chosen(long_features: DataFrame, choice: FeatureChoice, signals=POSTLAUNCH_SIGNALS) -> DataFrame:
+    """Wide row per title holding the chosen metric and day combinations."""
+    spans = choice.spans(signals)
+    labels = [f"day{d:03d}_{m}" for m, low, high in spans for d in range(low, high + 1)]
+    wanted = F.lit(False)
+    for metric, low, high in spans:
+        wanted = wanted | ((F.col("metric") == metric) & F.col("day").between(low, high))
+    labelled = long_features.where(wanted).withColumn(
+        "_label", F.concat_ws("_", F.format_string("day%03d", "day"), "metric")
+    )
+    return labelled.groupBy(KEY).pivot("_label", labels).agg(F.max("value"))
+
+
+def originals(rows: DataFrame) -> DataFrame:
+    """Original titles only; ``program_type`` is a 0/1 code here."""
+    return rows.where(F.col("program_type") == 1)
+
+
+def with_signal(rows: DataFrame, signals: Sequence[str], all_of_them: bool = False) -> DataFrame:
+    """Titles with an observed signal. By default one signal above -1 is enough;
+    with ``all_of_them`` a title is dropped as soon as one was never observed."""
+    if all_of_them:
+        condition = F.lit(True)
+        for c in signals:
+            condition = condition & (F.col(c) != NEVER_OBSERVED)
+    else:
+        condition = F.lit(False)
+        for c in signals:
+            condition = condition | (F.col(c) > NEVER_OBSERVED)
+    return rows.where(condition)
+
+
+def percent_actives_feature(
+    actives: DataFrame, metadata: DataFrame, days: Iterable[int] = FUNNEL_DAYS
+) -> DataFrame:
+    """``dayNNN_percent_actives`` per title; repeated values of a day are averaged."""
+    days = list(days)
+    keyed = actives.join(metadata.select("match_id", KEY).distinct(), "match_id")
+    mean = keyed.groupBy(KEY, "days_on_platform").agg(F.avg("pct_actives").alias("_mean"))
+    labelled = mean.where(F.col("days_on_platform").isNotNull()).select(
+        KEY, day_label(F.col("days_on_platform"), "percent_actives").alias("_label"), "_mean"
+    )
+    labels = [f"day{d:03d}_percent_actives" for d in days]
+    return labelled.groupBy(KEY).pivot("_label", labels).agg(F.max("_mean"))
+
+
 def train_and_score(rows: DataFrame, target: str, platform: str) -> tuple[DataFrame, DataFrame]:
     """Titles with a target to learn from, and those of the current platform without."""
     known = F.col(target) != NOT_REACHED

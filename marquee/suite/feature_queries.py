@@ -558,6 +558,80 @@ def popularity_filter(spark, d):
     return _rounded(features.popular_titles(rows, "v", threshold))
 
 
+_CHOSEN = features.FeatureChoice(7)
+
+
+@query(
+    "feature_choice",
+    sql(
+        "fk",
+        "select match_id_platform, "
+        + ", ".join(
+            [f"round(max(log_ratio) filter (n = {n}), 6) as day{n:03d}_log_ratio_percent_viewed" for n in range(2, 8)]
+            + [f"round(max(log_value) filter (n = {n}), 6) as day{n:03d}_log_percent_viewed" for n in range(1, 8)]
+        )
+        + " from lg group by 1",
+        **_GRID,
+    ),
+)
+def feature_choice(spark, d):
+    logs = features.log_features(_cleaned(spark, d), "v")
+    long = logs.select(KEY, "day", F.lit("log_ratio_percent_viewed").alias("metric"), F.col("log_ratio").alias("value"))
+    long = long.unionByName(
+        logs.select(KEY, "day", F.lit("log_percent_viewed").alias("metric"), F.col("log_value").alias("value"))
+    )
+    return _rounded(features.assemble_chosen(long, _CHOSEN, ["percent_viewed"]))
+
+
+@query(
+    "signal_filter",
+    sql(
+        "ev",
+        """
+        select k, 'any' as rule from sig where a > -1 or b > -1
+        union all select k, 'all' from sig where a <> -1 and b <> -1
+        union all select k, 'original' from sig where k % 3 = 1""",
+        sig="select k, coalesce(max(value) filter (event_type = 'click' and value > 150), -1) as a, "
+        "coalesce(max(value) filter (event_type = 'view' and value > 150), -1) as b from ev group by 1",
+    ),
+)
+def signal_filter(spark, d):
+    def strongest(kind):
+        hit = (F.col("event_type") == kind) & (F.col("value") > 150)
+        return F.coalesce(F.max(F.when(hit, F.col("value"))), F.lit(-1.0))
+
+    rows = stored(
+        s.events(spark, d).groupBy("k").agg(strongest("click").alias("a"), strongest("view").alias("b"))
+    ).withColumn("program_type", (F.col("k") % 3).cast("int"))
+    parts = {
+        "any": features.with_signal(rows, ["a", "b"]),
+        "all": features.with_signal(rows, ["a", "b"], all_of_them=True),
+        "original": features.originals(rows),
+    }
+    tagged = [p.select("k", F.lit(name).alias("rule")) for name, p in parts.items()]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+
+
+@query(
+    "actives_pivot",
+    sql(
+        "ev",
+        "select match_id_platform, "
+        + ", ".join(f"round(avg(value) filter (n = {n}), 6) as day{n:03d}_percent_actives" for n in FUNNEL_DAYS)
+        + " from (select '1-V' || k as match_id_platform, day(ts) as n, value from ev where event_type = 'view') group by 1",
+    ),
+)
+def actives_pivot(spark, d):
+    title = F.concat(F.lit("V"), F.col("k").cast("string"))
+    seen = s.events(spark, d, "view").select(
+        title.alias("match_id"), F.dayofmonth("ts").alias("days_on_platform"), F.col("value").alias("pct_actives")
+    )
+    known = s.assets(spark, d).select(
+        F.col("viewable_id").alias("match_id"), F.concat(F.lit("1-"), "viewable_id").alias(KEY)
+    )
+    return _rounded(features.percent_actives_feature(seen, known))
+
+
 # --- encodings ------------------------------------------------------------------------------
 
 

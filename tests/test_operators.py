@@ -220,3 +220,23 @@ def test_empty_run_moves_the_mark(spark, tmp_path):
     planned = spark.createDataFrame([("current", -3), ("current", -2)], "platform string, nday int")
     assert [r.nday for r in incremental.due(planned, marks, ["platform", "nday"], "2024-01-05").collect()] == [-2]
     assert incremental.due(planned, marks, ["platform", "nday"], "2024-01-06").count() == 2
+
+
+def test_feature_choice_by_mode():
+    choice = features.FeatureChoice
+    assert choice(-5).spans() == []
+    assert choice(3, raw_log=False).spans(["percent_viewed", "mc"]) == [
+        ("log_percent_viewed", 1, 1), ("log_ratio_percent_viewed", 2, 3), ("mc", 3, 3),
+    ]
+    assert choice(3).spans(["percent_viewed"]) == [("log_ratio_percent_viewed", 2, 3), ("log_percent_viewed", 1, 3)]
+    assert choice(2, log_ratio=False, raw_log=False, cumulative_cost=False).spans(["vtp", "mc"]) == [
+        ("log_vtp", 1, 2), ("mc", 1, 2),
+    ]
+    assert choice(2, log_target=False, raw_log=False).spans(["percent_viewed", "vtp"]) == [("percent_viewed", 1, 2)]
+
+
+def test_unquoted_csv(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'say "hi"'), (2, None)], "k int, name string")
+    files.write_csv(df, str(tmp_path / "x"))
+    text_rows = [r.value for r in spark.read.text(str(tmp_path / "x")).collect()]
+    assert text_rows[0] == "k,name" and sorted(text_rows[1:]) == ['1,say "hi"', "2,\\N"]
