@@ -125,12 +125,16 @@ def _spend_by_title(
     legacy: str,
     since: str,
 ) -> DataFrame:
-    """Spend meets titles on lower-cased name and platform, both ready as columns."""
-    ads = campaigns.select(
-        F.lower("campaign_title").alias("_name"),
-        _spend_platform(current_product, current, legacy, since).alias("platform_name"),
-        "day",
-        "media_cost",
+    """Spend meets titles on lower-cased name and platform, both ready as columns.
+
+    Spend is summed by name and day first: a heavily advertised title then holds
+    one row per day, however many spend rows it has.
+    """
+    platform = _spend_platform(current_product, current, legacy, since)
+    ads = campaigns.groupBy(
+        F.lower("campaign_title").alias("_name"), platform.alias("platform_name"), "day"
+    ).agg(
+        F.sum("media_cost").alias("cost"), F.sum(F.col("media_cost") + 1).alias("cost_plus_ones")
     )
     named = titles.withColumn("_name", F.lower(before_season_mark(F.col("title_name"))))
     return named.join(ads, ["_name", "platform_name"])
@@ -157,7 +161,7 @@ def media_cost_curve(
         _spend_by_title(titles, campaigns, current_product, current, legacy, since)
         .where(F.col("day") >= F.col("launch"))
         .groupBy(KEY, F.datediff("day", F.to_date("launch")).alias("n"))
-        .agg(F.sum("media_cost").alias("_spend"))
+        .agg(F.sum("cost").alias("_spend"))
     )
     observed = rows.where(F.col("n") <= 28).select(KEY, "n").distinct()
     w = Window.partitionBy(KEY).orderBy("n")
@@ -190,7 +194,7 @@ def prelaunch_cost(
             & (F.col("day") <= add_minutes(F.col("launch"), -1))
         )
         .groupBy(KEY, "_name")
-        .agg(F.log(F.sum(F.col("media_cost") + 1)).alias("_ln"))
+        .agg(F.log(F.sum("cost_plus_ones")).alias("_ln"))
         .groupBy(KEY)
         .agg(F.max("_ln").alias("_ln"))
     )

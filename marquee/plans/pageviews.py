@@ -114,8 +114,11 @@ def page_view_table(
         one_title, "outside_id", "left_semi"
     )
     pages = clean.join(articles, "outside_id")
-    # page-view dates are text in the source; they are compared as dates
-    views = page_views.select("article", F.to_date("date").alias("date"), "page_views")
+    # page-view dates are text in the source; they are compared as dates. Summed here,
+    # a popular article brings one row per day to the join.
+    views = page_views.groupBy("article", F.to_date("date").alias("date")).agg(
+        F.sum("page_views").alias("page_views")
+    )
     return (
         views.join(pages, "article")
         .where(

@@ -58,6 +58,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder that every executor can reach."""
+    return f"{ensure_checkpoint_dir(spark)}/marquee-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Writes the rows once to the shared folder and reads them back.
 
@@ -65,6 +70,6 @@ def stored(df: DataFrame) -> DataFrame:
     end the lineage, and still allow column pruning and filter pushdown.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/marquee-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from marquee.constants import HOURS_WINDOW_NAMES, HOURS_WINDOWS
 from marquee.operators.joins import one_to_one
 from marquee.operators.pivots import max_pivot
 from marquee.plans import actives, hours, pageviews
+from marquee.session import scratch_path
 from marquee.sources.files import replace_table
 from marquee.sources.tables import calendar
 from marquee.streaming import incremental
@@ -585,7 +584,7 @@ def due_runs(spark, d):
 def rolling_rebuild(spark, d):
     """Daily counts recorded until the 20th; the last week and the days up to the 25th are rebuilt."""
     daily = s.table(spark, d, "events").groupBy(iso("ts").alias("day")).agg(F.count(F.lit(1)).alias("n_events"))
-    path = tempfile.mkdtemp(prefix="marquee-rebuild-") + "/daily"
+    path = scratch_path(spark) + "/daily"
     replace_table(daily.where("day <= '2024-01-20'").withColumn("origin", F.lit("kept")), path, ["day"])
 
     def build(first, last):

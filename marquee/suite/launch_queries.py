@@ -9,7 +9,7 @@ from marquee.operators.audience import audience_counts
 from marquee.operators.intervals import merge_intervals
 from marquee.operators.quality import check_rules, duplicate_keys
 from marquee.plans import funnel, trailers
-from marquee.plans.subscriptions import SESSION_KEYS
+from marquee.plans.subscriptions import SESSION_KEYS, active_islands
 from marquee.session import stored
 from marquee.suite import standins as s
 from marquee.suite.registry import big, query, rnd, us
@@ -124,7 +124,7 @@ def title_launches(spark, d):
 )
 def viewership_base(spark, d):
     _, _, streams = _streams(spark, d)
-    base = funnel.viewership_base(streams, s.islands(s.sessions(spark, d)))
+    base = funnel.viewership_base(streams, active_islands(s.sessions(spark, d)))
     return base.select(
         "title_name", "match_id", "user_id", "viewable_id", us("stream_at").alias("stream_us"),
         us("launch").alias("launch_us"), rnd("stream_hours").alias("stream_hours"),
@@ -176,7 +176,7 @@ def launch_funnel(spark, d):
     _, launches, streams = _streams(spark, d)
     sessions = s.stored_sessions(spark, d)
     rows = funnel.launch_funnel(
-        streams, launches, s.islands(sessions), s.islands(sessions, "current"), ts(END_TS), "current", FUNNEL_DAYS
+        streams, launches, active_islands(sessions), s.islands(sessions, "current"), ts(END_TS), "current", FUNNEL_DAYS
     )
     return rows.select(
         "title_name", "match_id", big("season_number_adj").alias("season_number_adj"), "content_category",

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from marquee.functions.metrics import unit_hash
 from marquee.plans import forecast, learning
-from marquee.session import stored
+from marquee.session import scratch_path, stored
 from marquee.suite import standins as s
 from marquee.suite.firstview_queries import RUN, decay_of, titles_with_references
 from marquee.suite.audience_queries import _hours_share
@@ -211,7 +209,7 @@ def score_days(spark, d):
 def model_roundtrip(spark, d):
     rows = _title_rows(spark, d)
     model = learning.fit(rows, learning.feature_stages(_NUMERIC), learning.linear("label"))
-    path = tempfile.mkdtemp(prefix="marquee-model-") + "/model"
+    path = scratch_path(spark) + "/model"
     learning.save_model(model, path)
     return learning.load_model(path).transform(rows).select("o_orderkey", "prediction")
 

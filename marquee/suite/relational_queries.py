@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -18,6 +16,7 @@ from marquee.operators.aggregates import (
 from marquee.operators.joins import band_join, merge_features, new_rows, not_in, small_side
 from marquee.operators.quality import logged_write
 from marquee.plans.publish import actual_metrics, decade_rollup, full_outer_metrics, predicted_metrics
+from marquee.session import scratch_path
 from marquee.sources import files
 from marquee.sources.tables import ViewershipSource, calendar, sample_rows, scan, viewership
 from marquee.suite import standins as s
@@ -514,7 +513,7 @@ def csv_roundtrip(spark, d):
         F.when(F.col("s_nationkey") % 3 != 0, F.col("s_acctbal")).alias("BALANCE"),
         F.lit(None).cast("string").alias("EMPTY"),
     )
-    path = tempfile.mkdtemp(prefix="marquee-csv-") + "/extract"
+    path = scratch_path(spark) + "/extract"
     files.write_csv(rows, path, quoted=True)
     back = files.read_csv_folder(spark, path, key="s_suppkey", excluded_keys=(3, 7))
     return back.select(big("s_suppkey").alias("s_suppkey"), "s_name", F.col("balance").cast("double").alias("balance"))
@@ -531,7 +530,7 @@ def csv_by_position(spark, d):
         F.when(bad, "broken").otherwise(F.col("n_nationkey").cast("string")).alias("a"),
         F.when(F.col("n_regionkey") != 2, F.col("n_name")).otherwise("").alias("b"),
     )
-    path = tempfile.mkdtemp(prefix="marquee-load-") + "/part"
+    path = scratch_path(spark) + "/part"
     files.write_csv(rows, path, quoted=True)
     loaded = files.load_by_position(spark, path, "k int, name string", "2024-01-29 12:00:00")
     return loaded.select("k", "name", iso("last_update_timestamp").alias("loaded"))
@@ -545,7 +544,7 @@ def csv_by_position(spark, d):
 def table_modes(spark, d):
     """Create, append, then rewrite one partition."""
     region = s.table(spark, d, "region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"))
-    path = tempfile.mkdtemp(prefix="marquee-modes-") + "/regions"
+    path = scratch_path(spark) + "/regions"
     files.replace_table(region.where("k < 3").withColumn("origin", F.lit("created")), path, ["k"])
     files.append_table(region.where("k >= 3").withColumn("origin", F.lit("appended")), path, ["k"])
     files.replace_partitions(region.where("k = 2").withColumn("origin", F.lit("rewritten")), path, ["k"])
@@ -557,7 +556,7 @@ def table_modes(spark, d):
     "select 'daily' as job, 'orders' as step, 'SUCCESS' as status, count(*) as row_count, 0::bigint as null_keys from orders",
 )
 def run_log(spark, d):
-    folder = tempfile.mkdtemp(prefix="marquee-log-")
+    folder = scratch_path(spark)
     log = logged_write(s.table(spark, d, "orders"), f"{folder}/orders", "daily", "orders", "o_orderkey", f"{folder}/log")
     return log.select("job", "step", "status", "row_count", "null_keys")
 
