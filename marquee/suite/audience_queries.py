@@ -8,7 +8,7 @@ from marquee.constants import HOURS_WINDOW_NAMES, HOURS_WINDOWS
 from marquee.operators.joins import one_to_one
 from marquee.operators.pivots import max_pivot
 from marquee.plans import actives, hours, pageviews
-from marquee.session import scratch_path
+from marquee.session import scratch_path, stored
 from marquee.sources.files import replace_table
 from marquee.sources.tables import calendar
 from marquee.streaming import incremental
@@ -434,7 +434,9 @@ def _page_titles(spark, d):
 def _page_views(spark, d):
     k = F.col("k").cast("string")
     found = s.events(spark, d)
-    id_map = found.select(F.concat(F.lit("tt"), k).alias("outside_id"), F.concat(F.lit("a"), k).alias("article")).distinct()
+    id_map = stored(
+        found.select(F.concat(F.lit("tt"), k).alias("outside_id"), F.concat(F.lit("a"), k).alias("article")).distinct()
+    )
     views = (
         s.events(spark, d, "click")
         .groupBy(F.concat(F.lit("a"), k).alias("article"), iso("ts").alias("date"))

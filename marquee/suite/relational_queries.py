@@ -521,34 +521,38 @@ def csv_roundtrip(spark, d):
 
 @query(
     "csv_by_position",
-    "select n_nationkey as k, case when n_regionkey <> 2 then n_name end as name, '2024-01-29' as loaded from nation where n_nationkey % 5 <> 4",
+    "select c_custkey as k, case when c_mktsegment <> 'MACHINERY' then c_name end as name, '2024-01-29' as loaded "
+    "from customer where c_acctbal >= 0",
 )
 def csv_by_position(spark, d):
-    """Keys of every fifth row are written as text, so the loader must skip those rows."""
-    bad = F.col("n_nationkey") % 5 == 4
-    rows = s.table(spark, d, "nation").select(
-        F.when(bad, "broken").otherwise(F.col("n_nationkey").cast("string")).alias("a"),
-        F.when(F.col("n_regionkey") != 2, F.col("n_name")).otherwise("").alias("b"),
+    """Customers in debt get a key that is no number, so the loader must skip those rows."""
+    rows = s.table(spark, d, "customer").select(
+        F.when(F.col("c_acctbal") < 0, "broken").otherwise(F.col("c_custkey").cast("string")).alias("a"),
+        F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_name")).otherwise("").alias("b"),
     )
     path = scratch_path(spark) + "/part"
     files.write_csv(rows, path, quoted=True)
-    loaded = files.load_by_position(spark, path, "k int, name string", "2024-01-29 12:00:00")
+    loaded = files.load_by_position(spark, path, "k bigint, name string", "2024-01-29 12:00:00")
     return loaded.select("k", "name", iso("last_update_timestamp").alias("loaded"))
 
 
 @query(
     "table_modes",
-    "select r_regionkey as k, r_name as name, case when r_regionkey = 2 then 'rewritten' when r_regionkey < 3 then 'created' "
-    "else 'appended' end as origin from region",
+    "select c_custkey, c_nationkey, case when c_nationkey = 2 then 'rewritten' when c_nationkey < 12 then 'created' "
+    "else 'appended' end as origin from customer",
 )
 def table_modes(spark, d):
     """Create, append, then rewrite one partition."""
-    region = s.table(spark, d, "region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"))
-    path = scratch_path(spark) + "/regions"
-    files.replace_table(region.where("k < 3").withColumn("origin", F.lit("created")), path, ["k"])
-    files.append_table(region.where("k >= 3").withColumn("origin", F.lit("appended")), path, ["k"])
-    files.replace_partitions(region.where("k = 2").withColumn("origin", F.lit("rewritten")), path, ["k"])
-    return spark.read.parquet(path).select("k", "name", "origin")
+    rows = s.table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    path = scratch_path(spark) + "/customers"
+
+    def part(where, origin):
+        return rows.where(where).withColumn("origin", F.lit(origin))
+
+    files.replace_table(part("c_nationkey < 12", "created"), path, ["c_nationkey"])
+    files.append_table(part("c_nationkey >= 12", "appended"), path, ["c_nationkey"])
+    files.replace_partitions(part("c_nationkey = 2", "rewritten"), path, ["c_nationkey"])
+    return spark.read.parquet(path).select("c_custkey", "c_nationkey", "origin")
 
 
 @query(
