@@ -40,6 +40,7 @@ from marquee.functions.keys import (
 from marquee.functions.metrics import (
     guarded_ratio,
     log1p_or_never,
+    log1p_unless_never,
     log_floored,
     log_or_not_reached,
     log_ratio_or_not_reached,
@@ -432,32 +433,52 @@ def log_features(cleaned: DataFrame, value: str) -> DataFrame:
     )
 
 
-def latest_signal(signal: DataFrame, value: str, days_before: int) -> DataFrame:
+def latest_signal(
+    signal: DataFrame, value: str, days_before: int, towards_launch: bool = True
+) -> DataFrame:
     """The signal on the last day at least ``days_before`` days before launch, logged.
 
-    ``day`` counts back from launch, so the wanted day is the smallest allowed one.
+    ``day`` counts back from launch, so the wanted day is the smallest allowed one. On
+    a grid filled with -1 that is exactly ``days_before``. Trailer columns are listed
+    away from launch; with ``towards_launch=False`` the last listed day is the largest.
     """
     eligible = signal.where(F.col("day") >= days_before)
-    picked = latest_per_key(eligible, [KEY], [-F.col("day")], ["day", value])
+    order = -F.col("day") if towards_launch else F.col("day")
+    picked = latest_per_key(eligible, [KEY], [order], ["day", value])
     return picked.select(
         KEY, F.col("day").alias("signal_day"), log_floored(F.col(value)).alias("selected")
     )
 
 
 def signal_days(signal: DataFrame, value: str, cumulative_days: str, days_before: int) -> DataFrame:
-    """Days a signal has been observed for when scored ``days_before`` days ahead."""
-    observed = signal.where((F.col("day") >= days_before) & (F.col(value) != -1))
+    """28 less the first observed day of a trailer, plus its days beyond those 28.
+
+    Only days known ``days_before`` days ahead of launch count; a signal that was
+    never observed has no row.
+    """
+    observed = signal.where((F.col("day") >= days_before) & (F.col(value) != NEVER_OBSERVED))
     first = observed.groupBy(KEY).agg(
-        F.min("day").alias("_newest"), F.max(cumulative_days).alias("_days")
+        F.max("day").alias("_first"), F.max(cumulative_days).alias("_days")
     )
     return first.select(
         KEY,
-        (F.lit(28) - F.col("_newest") + F.greatest(F.col("_days") - 28, F.lit(0))).alias(
+        (F.lit(28) - F.col("_first") + F.greatest(F.col("_days") - 28, F.lit(0))).alias(
             "cumulative_days"
         ),
     )
 
 
+def page_view_totals(rows: DataFrame) -> DataFrame:
+    """Sums of the page-view signals where both parts exist, logged unless never observed."""
+    if {"wiki_d28_selected", "wiki_befored28_total"} <= set(rows.columns):
+        total = F.col("wiki_d28_selected") + F.col("wiki_befored28_total")
+        rows = rows.withColumn("wiki_view_total", log1p_unless_never(total))
+    if {"day000_wiki_d28", "wiki_befored28_total"} <= set(rows.columns):
+        total = F.col("day000_wiki_d28") + F.col("wiki_befored28_total")
+        rows = rows.withColumn("wiki_prelaunch_total", log1p_unless_never(total))
+    return rows
+
+
 def popular_titles(titles: DataFrame, value: str, threshold: DataFrame) -> DataFrame:
     """Titles at or above the threshold on day 1, or not observed yet.
 

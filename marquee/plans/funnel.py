@@ -164,10 +164,10 @@ def user_title_changes(
     )
     facts = facts.where(F.col("eligible_from") < add_days(F.col("launch"), last_day))
     joined = F.greatest(F.col("n"), day_ceiling(F.col("eligible_from"), F.col("launch")))
+    # rows are partitioned by user here, which serves every step up to the title totals
     facts = (
         facts.withColumn("n", joined)
         .where(F.col("n") <= last_day)
-        .repartition(*TITLE_KEYS, "user_id")
         .groupBy(*title, "user_id", "viewable_id", "n")
         .agg(F.sum("hours").alias("hours"), F.max("runtime").alias("runtime"))
     )

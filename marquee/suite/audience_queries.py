@@ -400,7 +400,7 @@ def social_title_list(spark, d):
     return pageviews.social_title_list(_tracked(spark, d))
 
 
-_PAGEVIEWS = {
+PAGEVIEWS = {
     "titles0": f"""
         select 'Title ' || p as title_name, (case when p % 5 = 0 then '0-' else '1-' end) || 'V' || p as match_id_platform,
             'tt' || (case when p % 10 = 3 then p - 1 else p end) as outside_id, {launch_sql('p')} + interval 10 day as launch
@@ -421,7 +421,7 @@ _PAGEVIEWS = {
 }
 
 
-def _page_titles(spark, d):
+def page_titles(spark, d):
     p = F.col("p_partkey")
     return s.table(spark, d, "part").select(
         F.concat(F.lit("Title "), p.cast("string")).alias("title_name"),
@@ -431,7 +431,7 @@ def _page_titles(spark, d):
     )
 
 
-def _page_views(spark, d):
+def page_view_rows(spark, d):
     k = F.col("k").cast("string")
     found = s.events(spark, d)
     id_map = stored(
@@ -442,7 +442,7 @@ def _page_views(spark, d):
         .groupBy(F.concat(F.lit("a"), k).alias("article"), iso("ts").alias("date"))
         .agg(F.count(F.lit(1)).alias("page_views"))
     )
-    return pageviews.page_view_table(views, id_map, _page_titles(spark, d))
+    return pageviews.page_view_table(views, id_map, page_titles(spark, d))
 
 
 @query(
@@ -451,11 +451,11 @@ def _page_views(spark, d):
         "ev",
         "select title_name, strftime(d, '%Y-%m-%d') as date, n as days_since_first_offered, match_id_platform, "
         "outside_id, epoch_us(launch) as launch_us, total_page_views from pv",
-        **_PAGEVIEWS,
+        **PAGEVIEWS,
     ),
 )
 def pageview_table(spark, d):
-    return _page_views(spark, d).select(
+    return page_view_rows(spark, d).select(
         "title_name", iso("date").alias("date"), big("days_since_first_offered").alias("days_since_first_offered"),
         "match_id_platform", "outside_id", us("launch").alias("launch_us"), "total_page_views",
     )
@@ -468,13 +468,13 @@ def pageview_table(spark, d):
         "select t.match_id_platform, round(coalesce(sum(total_page_views) filter (n < -5), -1), 6)::double as wiki_befored28_total "
         "from (select distinct match_id_platform from titles0) t left join (select match_id_platform, n, "
         "total_page_views from pv where n < -5) p using (match_id_platform) group by 1",
-        **_PAGEVIEWS,
+        **PAGEVIEWS,
     ),
 )
 def pageviews_before(spark, d):
     """Shifted by 22 days: the month of events only reaches 29 days before a launch."""
-    table = _page_views(spark, d).withColumn("days_since_first_offered", F.col("days_since_first_offered") - 22)
-    return pageviews.views_before(table, _page_titles(spark, d)).select(
+    table = page_view_rows(spark, d).withColumn("days_since_first_offered", F.col("days_since_first_offered") - 22)
+    return pageviews.views_before(table, page_titles(spark, d)).select(
         "match_id_platform", "wiki_befored28_total"
     )
 
@@ -487,7 +487,7 @@ def _cumulative_sql(first: int, last: int, days, suffix: str, sign: str) -> str:
         "ev",
         f"select t.match_id_platform, {columns} from (select distinct match_id_platform from titles0) t "
         "left join cum using (match_id_platform) group by 1",
-        **_PAGEVIEWS,
+        **PAGEVIEWS,
         cum=f"select match_id_platform, n, sum(sum(total_page_views)) over (partition by match_id_platform order by n) as c "
         f"from pv where n between {first} and {last} group by 1, 2",
     )
@@ -495,12 +495,12 @@ def _cumulative_sql(first: int, last: int, days, suffix: str, sign: str) -> str:
 
 @query("pageviews_cumulative_before", _cumulative_sql(-27, 0, range(27, -1, -1), "wiki_d28", "-"))
 def pageviews_cumulative_before(spark, d):
-    return pageviews.cumulative_views_before(_page_views(spark, d), _page_titles(spark, d))
+    return pageviews.cumulative_views_before(page_view_rows(spark, d), page_titles(spark, d))
 
 
 @query("pageviews_cumulative_after", _cumulative_sql(1, 27, range(1, 28), "wiki_view", ""))
 def pageviews_cumulative_after(spark, d):
-    return pageviews.cumulative_views_after(_page_views(spark, d), _page_titles(spark, d))
+    return pageviews.cumulative_views_after(page_view_rows(spark, d), page_titles(spark, d))
 
 
 @query(

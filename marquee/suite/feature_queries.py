@@ -9,10 +9,11 @@ from marquee.functions import text as t
 from marquee.operators.aggregates import percentiles_per_key
 from marquee.operators.joins import merge_features
 from marquee.operators.pivots import common_labels, label_codes, multi_hot, one_hot
-from marquee.plans import features
+from marquee.plans import features, pageviews
 from marquee.plans.neighbors import trend_features, trend_neighbours
 from marquee.session import stored
 from marquee.suite import standins as s
+from marquee.suite.audience_queries import PAGEVIEWS, page_titles, page_view_rows
 from marquee.suite.registry import big, query, rnd, us
 from marquee.suite.standins import launch_sql, sql
 
@@ -527,7 +528,7 @@ def latest_signal(spark, d):
     "signal_days",
     sql(
         "ev",
-        "select match_id_platform, 28 - min(day) + greatest(max(days) - 28, 0) as cumulative_days "
+        "select match_id_platform, 28 - max(day) + greatest(max(days) - 28, 0) as cumulative_days "
         "from back where day >= 3 group by 1",
         back=_BACK,
     ),
@@ -632,6 +633,32 @@ def actives_pivot(spark, d):
     return _rounded(features.percent_actives_feature(seen, known))
 
 
+@query(
+    "signal_totals",
+    sql(
+        "ev",
+        """
+        select b.match_id_platform, round(case when d0 + early = -1 then -1 else ln(d0 + early + 1) end, 6) as wiki_prelaunch_total
+        from (select t.match_id_platform, coalesce(sum(total_page_views) filter (n < -3), -1)::double as early
+            from (select distinct match_id_platform from titles0) t left join pv using (match_id_platform) group by 1) b
+        join (select t.match_id_platform, coalesce(max(c), -1)::double as d0 from (select distinct match_id_platform from titles0) t
+            left join (select match_id_platform, n, sum(total_page_views) over (partition by match_id_platform order by n) as c
+                from pv where n between -27 and 0) c on c.match_id_platform = t.match_id_platform and n = 0 group by 1) z
+            using (match_id_platform) where d0 + early > -1 or d0 + early = -1""",
+        **PAGEVIEWS,
+    ),
+)
+def signal_totals(spark, d):
+    table = stored(page_view_rows(spark, d))
+    titles = page_titles(spark, d)
+    early = pageviews.views_before(
+        table.withColumn("days_since_first_offered", F.col("days_since_first_offered") - 24), titles
+    )
+    rows = pageviews.cumulative_views_before(table, titles).select(KEY, "day000_wiki_d28").join(early, KEY)
+    total = F.col("day000_wiki_d28") + F.col("wiki_befored28_total")
+    return _rounded(features.page_view_totals(rows.where(total >= -1)).select(KEY, "wiki_prelaunch_total"))
+
+
 # --- encodings ------------------------------------------------------------------------------
 
 
