@@ -51,22 +51,20 @@ def events_up_to(
         "_hour", F.get(F.filter("_points", reached), F.lit(0)).alias("_point")
     )
     counts = placed.groupBy("_hour", "_point").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per hour and per point from here on
     marks = counts.unionByName(
         points.select(_hour(F.col("_point")).alias("_hour"), "_point", F.lit(0).cast("long").alias("_n"))
     )
+    # one row per hour and per point: the calendar and the catalogue bound this window.
+    # Events after an hour's last point have no point and sort behind it.
     marks = marks.groupBy("_hour", "_point").agg(F.sum("_n").alias("_n"))
-    hours = marks.groupBy("_hour").agg(F.sum("_n").alias("_n"))
-    earlier = Window.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    before = hours.select("_hour", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_hour").orderBy("_point")
+    in_time = (
+        Window.orderBy("_hour", F.asc_nulls_last("_point"))
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
     return (
-        marks.where(F.col("_point").isNotNull())
-        .withColumn("_inside", F.sum("_n").over(inside))
-        .join(before, "_hour")
-        .select(
-            F.col("_point").alias(point), (F.col("_before") + F.col("_inside")).alias("n_events")
-        )
+        marks.withColumn("_total", F.sum("_n").over(in_time))
+        .where(F.col("_point").isNotNull())
+        .select(F.col("_point").alias(point), F.col("_total").alias("n_events"))
     )
 
 
