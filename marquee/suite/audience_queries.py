@@ -76,7 +76,7 @@ def _title_days(spark, d):
         """
         select 'M' || t.k as match_id, 'TITLE ' || t.k as title, dn as days_on_platform,
             round(n * 100.0 / cumulative, 6) as pct_actives
-        from td t join (select distinct k from td where k % 3 <> 0) c on c.k = t.k
+        from td t join part on p_partkey = t.k and p_type <> 'PROMO'
         join den on den.start_date = t.launch::date and den.days_after_launch = t.dn
         where dn between 1 and 28 and days_after_launch <= 28""",
         td=_TITLE_DAYS,
@@ -91,7 +91,8 @@ def title_pct_actives(spark, d):
         F.concat(F.lit("TITLE "), number).alias("title"), "k", F.col("launch").alias("first_release_date"),
         "days_on_platform", "cumulative_viewing_subs",
     ).withColumnRenamed("k", "title_id")
-    known = days.where(F.col("k") % 3 != 0).select(
+    listed = s.table(spark, d, "part").where("p_type <> 'PROMO'").select(F.col("p_partkey").alias("k"))
+    known = listed.select(
         F.concat(F.lit("Title "), number).alias("title"), F.col("k").alias("title_id"),
         F.concat(F.lit("M"), number).alias("match_id"),
     )
@@ -269,15 +270,15 @@ def hours_share(spark, d):
         f"""
         select m as match_id, w as window_days, strftime(offer_date, '%Y-%m-%d') as offer_date
         from offers, wins where offer_date + cast(w as integer) <= date '{_RUN}'
-            and not (m % 3 = 0 and w in (7, 28))""",
+            and not (m in (select p_partkey from part where p_type = 'PROMO') and w in (7, 28))""",
         offers=_HOURS["offers"],
         wins=_HOURS["wins"],
     ),
 )
 def unscored_windows(spark, d):
     _, offers = _hours_inputs(spark, d)
-    recorded = offers.where(F.col("match_id") % 3 == 0).select(
-        "match_id", F.explode(F.array(F.lit(7), F.lit(28))).alias("window")
+    recorded = s.table(spark, d, "part").where("p_type = 'PROMO'").select(
+        F.col("p_partkey").alias("match_id"), F.explode(F.array(F.lit(7), F.lit(28))).alias("window")
     )
     rows = hours.unscored_windows(offers, recorded, _RUN, HOURS_WINDOWS)
     return rows.select("match_id", F.col("window").alias("window_days"), iso("offer_date").alias("offer_date"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.functions.metrics import unit_hash
+from marquee.operators.joins import new_rows
 from marquee.plans import forecast, learning
 from marquee.session import scratch_path, stored
 from marquee.suite import standins as s
@@ -230,8 +231,8 @@ def share_forecast(spark, d):
         F.when(F.col("p_type") == "PROMO", "movies").otherwise("series").alias("content_category"),
         s.ts("2020-06-01 00:00:00").alias("earliest_offered_timestamp"),
     )
-    shares = _hours_share(spark, d)
-    shortened = shares.where((F.col("match_id") % 4 != 0) | (F.col("window") < 364))
+    recent = part.where("content_category = 'movies'").select("match_id", F.lit(364).alias("window"))
+    shortened = new_rows(_hours_share(spark, d), recent, ["match_id", "window"])
     rows = stored(forecast.share_features(shortened, part))
     numeric = [f"logit_{c}" for c in ("hourspct7d", "hourspct14d", "hourspct28d", "hourspct8w", "hourspct26w")]
     return forecast.share_forecast(
