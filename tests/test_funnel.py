@@ -9,7 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators.intervals import merge_intervals
-from marquee.plans.funnel import launch_funnel, user_title_changes, viewership_base
+from marquee.plans.funnel import (
+    asset_titles,
+    launch_funnel,
+    prelaunch_titles,
+    title_launches,
+    user_title_changes,
+    viewership_base,
+)
 
 L = datetime(2024, 1, 1, 7)
 STREAM = (
@@ -171,3 +178,57 @@ def test_base_keeps_each_stream_once(spark):
     # user 2 starts exactly 28 days after launch: the bound is strict
     assert [r.user_id for r in base.collect()] == [1]
     assert user_title_changes(spark.createDataFrame(streams, STREAM), islands, 28).count() == 1
+
+
+ASSET = (
+    "viewable_id string, series_id string, season_number int, series_title_long string, asset_title_long string, "
+    "content_category string, asset_type string, theatrical_release_date timestamp, original_linear_air_date timestamp, "
+    "first_offered_date_current timestamp, first_offered_date_legacy timestamp"
+)
+
+
+def asset(viewable, offered, series=None, season=None, category="movies", kind="FEATURE", cinema=None, legacy=None):
+    title = f"Show {series}" if series else None
+    return (viewable, series, season, title, f"Asset {viewable}", category, kind, cinema, None, offered, legacy)
+
+
+def test_title_keys_and_first_public_date(spark):
+    rows = [
+        asset("v1", at(0), "s1", None, "series", legacy=at(-9)),  # no season: the first
+        asset("v2", at(4), "s1", 1, "series", cinema=at(-90)),
+        asset("v3", at(1)),
+        asset("v4", None),  # not on this platform
+        asset("v5", at(1), kind="TRAILER"),
+        asset("v6", at(1), category=None),
+    ]
+    titles = asset_titles(spark.createDataFrame(rows, ASSET), "first_offered_date_current")
+    got = {r.match_id: r for r in title_launches(titles).collect()}
+    assert sorted(got) == ["s1-1", "v3"]
+    series = got["s1-1"]
+    assert (series.title_name, series.viewable_id_count, series.single_episode_ind) == ("Show s1 S1", 2, 0)
+    assert (series.launch, series.last_offered, series.earliest_public) == (at(0), at(4), at(-90))
+
+
+def test_prelaunch_rows_within_ninety_days_and_not_recorded(spark):
+    rows = [asset("a", at(0)), asset("b", at(90)), asset("c", at(91)), asset("d", at(-1)), asset("e", at(5))]
+    titles = asset_titles(spark.createDataFrame(rows, ASSET), "first_offered_date_current")
+    recorded = spark.createDataFrame(
+        [("e", "current", 0), ("a", "legacy", 0), ("b", "current", 3)],
+        "match_id string, platform_name string, days_since_first_offered int",
+    )
+    got = prelaunch_titles(titles, F.lit(L), "current", recorded).collect()
+    assert sorted(r.match_id for r in got) == ["a", "b"]
+    assert all(r.retail_played_count is None and r.days_since_first_offered == 0 for r in got)
+
+
+def test_recorded_rows_are_not_repeated(spark):
+    streams, periods = [stream(1, at(0.5), 0.5)], [(1, *ALWAYS)]
+    islands = merge_intervals(spark.createDataFrame(periods, PERIOD), ["user_id"], "starts_at", "ends_at")
+    launches = spark.createDataFrame([("t", "t", L, L, L, 1, "movies", 1, 1)], TITLE)
+    recorded = spark.createDataFrame(
+        [("t", "current", 1), ("t", "legacy", 2)], "match_id string, platform_name string, days_since_first_offered int"
+    )
+    rows = launch_funnel(
+        spark.createDataFrame(streams, STREAM), launches, islands, islands, F.lit(at(3)), "current", existing=recorded
+    )
+    assert sorted(r.days_since_first_offered for r in rows.collect()) == [2, 3]
