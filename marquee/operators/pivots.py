@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.constants import RARE_LABEL_SHARE
@@ -102,7 +102,8 @@ def one_hot(column: Column, values: Sequence, prefix: str) -> list[Column]:
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """Codes 0, 1, ... by sorted value; for columns with a small set of classes."""
+    """Codes 0, 1, ... by sorted value. Only the distinct values are numbered."""
     classes = df.select(column).where(F.col(column).isNotNull()).distinct()
-    ordered = classes.agg(F.array_sort(F.collect_set(column)).alias("_classes"))
-    return ordered.select(F.posexplode("_classes").alias("code", column))
+    return classes.select(
+        (F.row_number().over(Window.orderBy(column)) - 1).alias("code"), column
+    )
