@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, packing, sharding
+from marquee.llm import bpe, packing, quality, secrets, sharding
 from marquee.llm.common import documents, query
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -26,3 +26,13 @@ def op7_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE))
     return packing.best_fit(pieces)
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(documents(spark, sf_dir))
+
+
+@query("op6_adaptive_rules")
+def op6_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(documents(spark, sf_dir))
