@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, packing, quality, secrets, sharding
+from marquee.llm import bpe, ordermh, packing, quality, secrets, sharding
 from marquee.llm.common import documents, query
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -36,3 +36,8 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_adaptive_rules")
 def op6_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
+
+
+@query("op2_order_minhash")
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermh.digest(documents(spark, sf_dir))
