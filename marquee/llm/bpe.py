@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -73,6 +74,7 @@ class BytePairs:
         self.splitter = regex.compile("|".join(regex.escape(s) for s in self.special)) if self.special else None
         self.pair_table: dict[tuple[int, int], bool] = {}
         self.remembered: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # Offset table: token i is blob[starts[i] : starts[i] + sizes[i]].
         count = max([*self.pieces, *self.special.values()]) + 1
         every = {**self.pieces, **{i: s.encode() for s, i in self.special.items()}}
@@ -107,28 +109,35 @@ class BytePairs:
                 before, b = b + 1, self.left[b]
 
     def encode_word(self, word: bytes) -> list[int]:
-        longest = [-1] * len(word)
-        reach = [0] * len(word)
-        for end, token in self.automaton.iter(word.decode("latin-1")):
-            at = end - self.size[token] + 1
-            if self.size[token] > reach[at]:
-                reach[at], longest[at] = self.size[token], token
+        letters = word.decode("latin-1")
+        find, size, shorter, compatible = self.automaton.iter_long, self.size, self.shorter, self.compatible
+        # Longest matches in a row, as the search below would take them while all are compatible.
+        row = [token for _, token in find(letters)]
+        good = 1
+        known = self.pair_table
+        for pair in zip(row, row[1:]):
+            fits = known.get(pair)
+            if not (compatible(*pair) if fits is None else fits):
+                break
+            good += 1
+        if good >= len(row):
+            return row
+        out, token = row[:good], row[good]
+        at = sum(size[t] for t in out)
         dead = bytearray(len(word) + 1)
-        out: list[int] = []
-        at = 0
-        token = longest[0] if word else -1
         while at < len(word):
-            end = at + self.size[token]
-            if not dead[end] and (not out or self.compatible(out[-1], token)):
+            end = at + size[token]
+            if not dead[end] and (not out or compatible(out[-1], token)):
                 out.append(token)
                 at = end
-                token = longest[at] if at < len(word) else -1
-            elif self.shorter[token] >= 0:
-                token = self.shorter[token]
+                if at < len(word):
+                    token = next(find(letters, at))[1]
+            elif shorter[token] >= 0:
+                token = shorter[token]
             else:
                 dead[at] = 1
                 token = out.pop()
-                at -= self.size[token]
+                at -= size[token]
         return out
 
     def encode(self, text: str) -> bytes:
@@ -142,16 +151,18 @@ class BytePairs:
         return b"".join(out)
 
     def _encode_plain(self, text: str) -> bytes:
-        known = self.remembered
+        known, older = self.remembered, self.older
         words = self.words.findall(text)
         for word in set(words).difference(known):
-            known[word] = np.array(self.encode_word(word.encode()), "<u4").tobytes()
+            coded = older.get(word)
+            if coded is None:
+                ids = self.encode_word(word.encode())
+                coded = pack(f"<{len(ids)}I", *ids)
+            known[word] = coded
         out = b"".join(map(known.__getitem__, words))
-        if len(known) > REMEMBERED_WORDS:
-            known.clear()
-        else:
-            for word in [w for w in set(words) if len(w) > REMEMBERED_LENGTH]:
-                del known[word]
+        if len(known) > REMEMBERED_WORDS:  # words not met since the last time are forgotten
+            self.older = {w: c for w, c in known.items() if len(w) <= REMEMBERED_LENGTH}
+            self.remembered = {}
         return out
 
     def decode(self, ids: np.ndarray) -> bytes:
