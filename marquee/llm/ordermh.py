@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import documents_by_id, slices
+from marquee.llm.hashing import A, B, mixed, power_tables, running_hashes
 
 KMER = 12
 PARTS = 32
@@ -25,18 +26,6 @@ PICKED = 2
 SEED = 20
 BLOCK = 1 << 20
 
-_A = np.uint64(0x9E3779B97F4A7C15)
-_B = np.uint64(0xBF58476D1CE4E5B9)
-_C = np.uint64(0x94D049BB133111EB)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every input bit moves every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * _B
-    x = (x ^ (x >> np.uint64(27))) * _C
-    return x ^ (x >> np.uint64(31))
-
-
 def multipliers(parts: int = PARTS) -> np.ndarray:
     """One odd number for each part; numbered k-mers are ordered by hash times it, modulo 2^32."""
     return (mixed(np.arange(SEED, SEED + parts, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
@@ -49,12 +38,11 @@ def numbered_kmers(codes: np.ndarray, k: int = KMER) -> tuple[np.ndarray, np.nda
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     width = min(k, n)
-    codes = codes.astype(np.uint64) + np.uint64(1)
-    hashes = np.zeros(n - width + 1, np.uint64)
-    for j in range(width):
-        hashes *= _A
-        hashes += codes[j : n - width + 1 + j]
-    hashes = mixed(hashes)
+    sums = running_hashes(codes)
+    _, inverse = power_tables(n)
+    hashes = (sums[width:] - sums[: n - width + 1]) * inverse[: n - width + 1]
+    hashes ^= hashes >> np.uint64(29)
+    hashes *= B
     if n >= 1 << 31:
         raise ValueError("texts of 2^31 code points and more are not supported")
     # The high half of the hash and the place in one number: sorting it brings equal k-mers
@@ -62,13 +50,13 @@ def numbered_kmers(codes: np.ndarray, k: int = KMER) -> tuple[np.ndarray, np.nda
     order = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
     order.sort()
     kmer = order >> np.uint64(32)
-    fresh = np.concatenate([[True], kmer[1:] != kmer[:-1]])
-    starts = np.flatnonzero(fresh)
-    if len(starts) == len(kmer):
-        number = np.zeros(len(kmer), np.uint64)
-    else:
-        number = (np.arange(len(kmer)) - np.repeat(starts, np.diff([*starts, len(kmer)]))).astype(np.uint64)
-    return mixed(kmer * _A + number), (order & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    element = kmer * A
+    again = np.flatnonzero(kmer[1:] == kmer[:-1]) + 1
+    if len(again):  # runs of places in a row, counted from 1 on
+        starts = np.flatnonzero(np.diff(again, prepend=-1) != 1)
+        lengths = np.diff(starts, append=len(again))
+        element[again] += (np.arange(1, len(again) + 1) - np.repeat(starts, lengths)).astype(np.uint64)
+    return mixed(element), (order & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def fingerprint(text: str, factors: np.ndarray, picked: int = PICKED) -> np.ndarray:
@@ -92,7 +80,7 @@ def fingerprint(text: str, factors: np.ndarray, picked: int = PICKED) -> np.ndar
     in_order = np.take_along_axis(best, np.argsort(place[best], axis=1), axis=1)
     out = np.zeros(parts, np.uint64)
     for j in range(take):
-        out = mixed(out * _A + element[in_order[:, j]] + np.uint64(1))
+        out = mixed(out * A + element[in_order[:, j]] + np.uint64(1))
     return np.maximum((out >> np.uint64(32)).astype(np.uint32), np.uint32(1))
 
 
