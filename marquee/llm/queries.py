@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, ordermh, packing, quality, secrets, sharding
+from marquee.llm import bpe, classifier, language, ordermh, packing, quality, secrets, sharding
 from marquee.llm.common import documents, query
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -41,3 +41,13 @@ def op6_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_order_minhash")
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordermh.digest(documents(spark, sf_dir))
+
+
+@query("op5_byte_network")
+def op5_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op8_language_mixture")
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.held_out_prediction(documents(spark, sf_dir))
