@@ -2,19 +2,56 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.llm import classifier, jaccard, packing, quality, secrets
 from marquee.llm.common import documents, stored
 
-STAGES: list = []
+TOKENIZER = "word_bpe_49k.json"
 
-#: The stages cannot be expressed in SQL; tests hold them against brute force.
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a fixed rule or lie out of their group's range go."""
+    return quality.passing(docs)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network rejects go; it learns from the labels of those that are left."""
+    return classifier.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard.one_of_each(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by the name of their kind."""
+    return secrets.redact(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in sequences."""
+    return packing.best_fit(packing.token_pieces(docs, public_tokenizers.path(TOKENIZER)))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", near_duplicates),
+    ("secret scans", secret_scan),
+    ("best-fit packing", packing_stage),
+]
+
+#: The learned, sampled and tokenised stages cannot be expressed in SQL; tests hold them
+#: against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents; each stage's rows are written and read again."""
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -163,8 +163,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def passing(docs: DataFrame) -> DataFrame:
-    """The documents (columns doc_id, text, lang, source, n_chars) that the rules keep."""
+    """The documents (columns doc_id, text, lang, source, n_chars) that the rules keep; null
+    texts fail. The rows are written once with their counts, which limits and verdicts read."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    bounds = limits(with_counts(texts_of(docs, "lang", "source")))
-    counted = with_counts(texts_of(docs, "lang", "source", "n_chars"))
-    return judged(counted, bounds).where("kept").select(*columns)
+    counted = stored(with_counts(texts_of(docs, "lang", "source", "n_chars")))
+    return judged(counted, limits(counted)).where("kept").select(*columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, classifier, language, ordermh, packing, quality, secrets, sharding
+from marquee.llm import bpe, classifier, jaccard, language, ordermh, packing, quality, secrets, sharding
 from marquee.llm.common import documents, query
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -51,3 +51,8 @@ def op5_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language_mixture")
 def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.held_out_prediction(documents(spark, sf_dir))
+
+
+@query("op1_chosen_path_join")
+def op1_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir))
