@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, classifier, jaccard, language, ordermh, packing, quality, secrets, sharding
+from marquee.llm import bpe, classifier, jaccard, language, ordermh, packing, pii, quality, secrets, sharding
 from marquee.llm.common import documents, query
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -56,3 +56,8 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_chosen_path_join")
 def op1_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op10_disclosure_scan")
+def op10_disclosure_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.private_digest(documents(spark, sf_dir))
