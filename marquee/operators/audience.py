@@ -7,8 +7,10 @@ three parts that need no such join, because the islands of a user are disjoint:
   - islands that end before the window start
   - gaps between islands of one user that lie inside the window
 
-The first two are running counts over time, read at the window edges. The third
-only concerns gaps shorter than the window.
+The first two are running counts over time, read at the window edges. So is the
+third, once gaps are counted by the calendar day, hour or minute they start in: a
+window holds whole days, before them whole hours of its first day, before those
+whole minutes of its first hour, and the gaps that start in its first minute.
 """
 
 from __future__ import annotations
@@ -18,53 +20,114 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.dates import add_days, day_ceiling
-from marquee.operators.aggregates import running_by_day
-from marquee.operators.joins import small_side
+from marquee.functions.dates import add_days
 
 HOUR_US = 3_600_000_000
+MINUTE_US = 60_000_000
+DAY_US = 24 * HOUR_US
 
 
-def _hour(moment: Column) -> Column:
-    return F.floor(F.unix_micros(moment) / F.lit(HOUR_US)).cast("long")
+def _unit(moment: Column, micros: int) -> Column:
+    return F.floor(F.unix_micros(moment) / F.lit(micros)).cast("long")
 
 
 def events_up_to(
-    events: DataFrame, event: str, points: DataFrame, point: str, inclusive: bool = True
+    events: DataFrame,
+    event: str,
+    points: DataFrame,
+    point: str,
+    inclusive: bool = True,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Number of events at or before (or strictly before) each distinct point.
+    """Number of events at or before (or strictly before) each distinct point, per key.
 
-    Whole hours are counted by a map-side combined aggregate. Only events in an
-    hour that holds a point are placed more finely: each is matched to the next
-    point of that hour by a lookup in the hour's sorted point list.
-    Result: ``point``, ``n_events``.
+    Events are combined before the shuffle: by the hour, and in hours that hold a
+    point by the moment. Windows then run over the moments and points of one hour,
+    the hours of one day, and the days. Only the last knows no smaller part, and the
+    calendar bounds it. Result: ``keys``, ``point``, ``n_events``.
     """
-    points = points.select(F.col(point).alias("_point")).distinct()
-    by_hour = points.groupBy(_hour(F.col("_point")).alias("_hour")).agg(
-        F.array_sort(F.collect_set("_point")).alias("_points")
+    keys = list(keys)
+    points = points.select(*keys, F.col(point).alias("_at")).distinct()
+    points = points.withColumn("_hour", _unit(F.col("_at"), HOUR_US))
+    fine = points.select(*keys, "_hour").distinct().withColumn("_fine", F.lit(True))
+    counts = (
+        events.where(F.col(event).isNotNull())
+        .select(*keys, F.col(event).alias("_at"), _unit(F.col(event), HOUR_US).alias("_hour"))
+        .join(fine, [*keys, "_hour"], "left")
+        .groupBy(*keys, "_hour", F.when(F.col("_fine"), F.col("_at")).alias("_at"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    moments = events.where(F.col(event).isNotNull()).select(
-        F.col(event).alias("_at"), _hour(F.col(event)).alias("_hour")
+    marks = counts.withColumn("_point", F.lit(False)).unionByName(
+        points.select(*keys, "_hour", "_at", F.lit(0).cast("long").alias("_n"), F.lit(True).alias("_point"))
     )
-    reached = (lambda p: p >= F.col("_at")) if inclusive else (lambda p: p > F.col("_at"))
-    placed = moments.join(small_side(by_hour), "_hour", "left").select(
-        "_hour", F.get(F.filter("_points", reached), F.lit(0)).alias("_point")
+    first = F.col("_point").asc() if inclusive else F.col("_point").desc()
+    in_hour = (
+        Window.partitionBy(*keys, "_hour").orderBy("_at", first).rowsBetween(Window.unboundedPreceding, 0)
     )
-    counts = placed.groupBy("_hour", "_point").agg(F.count(F.lit(1)).alias("_n"))
-    marks = counts.unionByName(
-        points.select(_hour(F.col("_point")).alias("_hour"), "_point", F.lit(0).cast("long").alias("_n"))
+    read = marks.withColumn("_local", F.sum("_n").over(in_hour)).where("_point")
+    day = F.floor(F.col("_hour") / 24).alias("_day")
+    hours = marks.groupBy(*keys, "_hour").agg(F.sum("_n").alias("_n")).withColumn("_day", day)
+    earlier = Window.partitionBy(*keys, "_day").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.withColumn("_in_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    # one row per day: the calendar bounds this window
+    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = hours.groupBy(*keys, "_day").agg(F.sum("_n").alias("_n"))
+    days = days.select(*keys, "_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
+    carried = hours.join(days, [*keys, "_day"]).select(
+        *keys, "_hour", (F.col("_in_day") + F.col("_carry")).alias("_carry")
     )
-    # one row per hour and per point: the calendar and the catalogue bound this window.
-    # Events after an hour's last point have no point and sort behind it.
-    marks = marks.groupBy("_hour", "_point").agg(F.sum("_n").alias("_n"))
-    in_time = (
-        Window.orderBy("_hour", F.asc_nulls_last("_point"))
-        .rowsBetween(Window.unboundedPreceding, 0)
+    return read.join(carried, [*keys, "_hour"]).select(
+        *keys, F.col("_at").alias(point), (F.col("_local") + F.col("_carry")).alias("n_events")
+    )
+
+
+def gaps_inside(gaps: DataFrame, grid: DataFrame, start: str, end: str) -> DataFrame:
+    """Gaps that lie inside each window of ``grid`` (``opens``, ``closes``).
+
+    A window asks for one count per day, hour and minute that it is made of, each of the
+    gaps that start there and end by its close. Work grows with gaps plus windows; only
+    moments within the same minute ever meet. Result: ``opens``, ``closes``, ``n_gaps``.
+    """
+    windows = grid.select("opens", "closes").distinct()
+    sizes = (DAY_US, HOUR_US, MINUTE_US)
+
+    def parts(i: int) -> Column:
+        """Units of size i after the one that holds the start, within the next larger unit."""
+        first = _unit(F.col("opens"), sizes[i]) + 1
+        last = _unit(F.col("closes"), sizes[i])
+        if i:
+            each = sizes[i - 1] // sizes[i]
+            last = F.least(last, (_unit(F.col("opens"), sizes[i - 1]) + 1) * each - 1)
+        return F.when(first <= last, F.sequence(first, last))
+
+    asked = None
+    for i in range(len(sizes)):
+        rows = windows.select("opens", "closes", F.lit(i).alias("_size"), F.explode(parts(i)).alias("_part"))
+        asked = rows if asked is None else asked.unionByName(rows)
+    moment = F.unix_micros("opens")
+    asked = asked.unionByName(
+        windows.select("opens", "closes", F.lit(len(sizes)).alias("_size"), moment.alias("_part"))
+    )
+    needed = asked.select("_size", "_part").distinct()
+    starts = [F.struct(F.lit(i).alias("_size"), _unit(F.col(start), m).alias("_part")) for i, m in enumerate(sizes)]
+    whole = gaps.select(F.col(end).alias("_ends"), F.inline(F.array(*starts))).join(
+        needed.where(F.col("_size") < len(sizes)), ["_size", "_part"], "left_semi"
+    )
+    opened = windows.select("opens", _unit(F.col("opens"), MINUTE_US).alias("_minute")).distinct()
+    same_minute = (
+        gaps.select(F.col(start).alias("_from"), F.col(end).alias("_ends"))
+        .withColumn("_minute", _unit(F.col("_from"), MINUTE_US))
+        .join(opened, "_minute")
+        .where(F.col("_from") >= F.col("opens"))
+        .select("_ends", F.lit(len(sizes)).alias("_size"), moment.alias("_part"))
+    )
+    counts = events_up_to(
+        whole.unionByName(same_minute), "_ends", asked, "closes", keys=["_size", "_part"]
     )
     return (
-        marks.withColumn("_total", F.sum("_n").over(in_time))
-        .where(F.col("_point").isNotNull())
-        .select(F.col("_point").alias(point), F.col("_total").alias("n_events"))
+        asked.join(counts, ["_size", "_part", "closes"])
+        .groupBy("opens", "closes")
+        .agg(F.sum("n_events").alias("n_gaps"))
     )
 
 
@@ -84,51 +147,21 @@ def audience_counts(
         .withColumn("closes", add_days(F.col("launch"), F.col("n")))
         .where(F.col("closes") >= F.col("opens"))
     )
-    started = events_up_to(islands, user_start, grid, "closes").withColumnRenamed(
-        "n_events", "_started"
-    )
+    started = events_up_to(islands, user_start, grid, "closes").withColumnRenamed("n_events", "_started")
     ended = events_up_to(islands, user_end, anchors, "opens", inclusive=False).withColumnRenamed(
         "n_events", "_ended"
     )
-    last = max(days)
-    spans = anchors.withColumn(
-        "_day",
-        F.explode(
-            F.sequence(F.to_date("opens"), F.to_date(add_days(F.col("launch"), last)))
-        ),
-    ).where(add_days(F.col("launch"), last) >= F.col("opens"))
-    gaps = (
-        islands.where(F.col("previous_end").isNotNull())
-        .select(
-            F.col("previous_end").alias("_from"),
-            F.col(user_start).alias("_to"),
-            F.to_date("previous_end").alias("_day"),
-        )
-        # a gap longer than the longest window fits in none
-        .join(spans, "_day")
-        .where(
-            (F.col("_from") >= F.col("opens"))
-            & (F.col("_to") <= add_days(F.col("launch"), last))
-        )
-        .select("opens", "launch", day_ceiling(F.col("_to"), F.col("launch")).alias("_n0"))
-        .groupBy("opens", "launch", "_n0")
-        .agg(F.count(F.lit(1)).alias("_gaps"))
-    )
-    inner = running_by_day(gaps, ["opens", "launch"], "_n0", ["_gaps"], days).withColumnRenamed(
-        "_n0", "n"
-    )
+    inner = gaps_inside(islands.where(F.col("previous_end").isNotNull()), grid, "previous_end", user_start)
     return (
         grid.join(started, "closes", "left")
         .join(ended, "opens", "left")
-        .join(inner, ["opens", "launch", "n"], "left")
+        .join(inner, ["opens", "closes"], "left")
         .select(
             "opens",
             "launch",
             "n",
             (
-                F.coalesce("_started", F.lit(0))
-                - F.coalesce("_ended", F.lit(0))
-                - F.coalesce("_gaps", F.lit(0))
+                F.coalesce("_started", F.lit(0)) - F.coalesce("_ended", F.lit(0)) - F.coalesce("n_gaps", F.lit(0))
             ).alias("users"),
         )
     )
