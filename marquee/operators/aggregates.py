@@ -74,23 +74,34 @@ def share_of_total(df: DataFrame, value: str, out: str) -> DataFrame:
     )
 
 
+PIECE_VALUES = 1_000_000
+
+
 def percentiles_per_key(
-    df: DataFrame, keys: Sequence[str], value: str, shares: Mapping[str, float], pieces: int = 64
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    shares: Mapping[str, float],
+    pieces: int | None = None,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, without holding a group in one task.
 
     A sketch cuts each group's values into ``pieces`` ranges. Counts per range say
     which ranges hold the wanted ranks; only those are ordered, on distinct values.
-    Without keys the whole table is one group.
+    Without keys the whole table is one group. By default there are enough pieces
+    that one holds about PIECE_VALUES distinct values at most, whatever the table's size.
     """
     counted = (
         df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    if pieces is None:
+        largest = df.groupBy(*keys).agg(F.approx_count_distinct(value).alias("_v")).agg(F.max("_v")).first()[0]
+        pieces = max(64, -(-(largest or 0) // PIECE_VALUES))
     grid = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     groups = counted.groupBy(*keys).agg(
-        F.percentile_approx(value, grid, 10_000).alias("_cuts"),
+        F.percentile_approx(value, grid, max(10_000, 20 * pieces)).alias("_cuts"),
         F.sum("_n").alias("_size"),
     )
     # without keys ``groups`` is a single row

@@ -15,16 +15,23 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def source_bytes(df: DataFrame) -> int:
-    """Total estimated size of the tables a plan reads; no job is run."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+def is_scan(df: DataFrame) -> bool:
+    """Whether the plan only reads, filters and renames, so that it is no larger than its estimate."""
+    plain = ("Project", "Filter", "SubqueryAlias", "LogicalRelation", "Range", "LogicalRDD", "LocalRelation")
+    node = df._jdf.queryExecution().optimizedPlan()
+    while True:
+        if node.nodeName() not in plain and not node.nodeName().startswith("Relation"):
+            return False
+        if not node.children().size():
+            return True
+        node = node.children().apply(0)
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when the estimate is under the limit; otherwise unchanged,
-    which leaves a shuffled join that AQE can still split or convert."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    """Broadcast hint for plain scans with an estimate under the limit. Estimates of derived
+    sides can be far off, and a hint cannot be undone at run time, so those stay unchanged:
+    a shuffled join that AQE converts or splits by measured sizes."""
+    return F.broadcast(df) if is_scan(df) and estimated_bytes(df) <= limit else df
 
 
 def band_join(

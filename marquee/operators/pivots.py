@@ -7,9 +7,11 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.session import stored
 from marquee.constants import RARE_LABEL_SHARE
 from marquee.functions.dates import day_label
 from marquee.operators.aggregates import mode_from_counts
+from marquee.session import stored
 
 
 def day_pivot(
@@ -102,8 +104,15 @@ def one_hot(column: Column, values: Sequence, prefix: str) -> list[Column]:
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """Codes 0, 1, ... by sorted value. Only the distinct values are numbered."""
+    """Codes 0, 1, ... by sorted value. Only the distinct values are numbered: they are sorted
+    by range, numbered within their range, and moved by the sizes of the ranges before."""
     classes = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return classes.select(
-        (F.row_number().over(Window.orderBy(column)) - 1).alias("code"), column
+    ranges = stored(classes.repartitionByRange(column).withColumn("_range", F.spark_partition_id()))
+    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    # one row per range: as many as the sort had tasks
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
+    return ranges.withColumn("_place", place).join(F.broadcast(before), "_range").select(
+        (F.col("_place") + F.col("_before")).alias("code"), column
     )

@@ -1,10 +1,9 @@
 """Ordered windows that stay balanced when one key holds a large part of the rows.
 
 A window function sends every row of a key to one task. That is fine while no
-key is large, so ``with_segments`` first finds out: an input read from small
-tables needs no further look, a larger one gets a map-side combined count per
-key. Only if some key is above the row limit are its rows cut into time
-segments. Each segment is then a window partition of its own, and what has to
+key is large, so ``with_segments`` first finds out by a map-side combined count
+per key. Only if some key (null is one) is above the row limit are its rows cut
+into time segments. Each segment is then a window partition of its own, and what has to
 cross a segment border is carried through a summary with one row per hot key
 and segment.
 """
@@ -13,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.joins import source_bytes
 from marquee.session import stored
 
 SEGMENT = "_segment"
@@ -27,10 +26,9 @@ SEGMENT_MICROS = 86_400_000_000
 
 @dataclass(frozen=True)
 class SkewLimit:
-    """``rows`` a single key may hold; inputs read from less than ``bytes`` are not counted."""
+    """``rows`` a single key may hold before its rows are cut into segments of time."""
 
     rows: int = 5_000_000
-    bytes: int = 512 * 1024 * 1024
     segment_micros: int = SEGMENT_MICROS
 
 
@@ -63,28 +61,36 @@ def with_segments(
     The tagged rows are stored once, as later steps read them more than once.
     """
     keys = tuple(keys)
-    if limit is None or source_bytes(df) <= limit.bytes:
+    if limit is None:
         return Segmented(df, keys, False)
     hot = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > limit.rows)
-        .select(*keys, F.lit(True).alias(HOT))
+        .select(*(F.col(k).alias(f"_hot_{k}") for k in keys), F.lit(True).alias(HOT))
     )
     if hot.isEmpty():
         return Segmented(df, keys, False)
     bucket = F.floor(F.unix_micros(time) / F.lit(limit.segment_micros)).cast("long")
     tagged = (
-        df.join(F.broadcast(hot), list(keys), "left")
+        df.join(F.broadcast(hot), _same(keys, "_hot_"), "left")
+        .drop(*(f"_hot_{k}" for k in keys))
         .withColumn(SEGMENT, F.when(F.col(HOT), bucket).otherwise(F.lit(0).cast("long")))
         .withColumn(HOT, F.coalesce(HOT, F.lit(False)))
     )
     return Segmented(stored(tagged), keys, True)
 
 
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    """Equality with the prefixed columns; null keys are equal."""
+    return reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys))
+
+
 def _with_carry(rows: Segmented, df: DataFrame, carry: DataFrame) -> DataFrame:
     """One row per hot key and segment; AQE broadcasts it when it measures small."""
-    return df.join(carry, rows.partition, "left")
+    keys = rows.partition
+    carry = carry.withColumnsRenamed({k: f"_carry_{k}" for k in keys})
+    return df.join(carry, _same(keys, "_carry_"), "left").drop(*(f"_carry_{k}" for k in keys))
 
 
 def _earlier(rows: Segmented):

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.constants import HOURS_WINDOW_NAMES, SERVICE_LAUNCH_DATE
-from marquee.functions.dates import days_since_epoch_day
+from marquee.constants import HOURS_WINDOW_NAMES, SERVICE_LAUNCH_DATE, TRAIN_RECENCY_DAYS
+from marquee.functions.dates import add_days, days_since_epoch_day
 from marquee.functions.metrics import expit, logit, widest_window
 from marquee.functions.text import program_type_flag, series_flag
 from marquee.operators.joins import merge_features
@@ -27,6 +27,11 @@ GROWTH = (
 )
 
 
+def recent_history(rows: DataFrame, newest: str, run_ts: Column, days: int = TRAIN_RECENCY_DAYS) -> DataFrame:
+    """Titles to learn from: their newest value must be at least ``days`` old at the run."""
+    return rows.where(F.col(newest) <= add_days(run_ts, -days))
+
+
 def share_features(
     shares: DataFrame, metadata: DataFrame, epoch: str = SERVICE_LAUNCH_DATE
 ) -> DataFrame:
@@ -68,18 +73,29 @@ def share_forecast(
     )
 
 
+def _typed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("tier_adj", "prequel_count")})
+
+
 def fit_first_views(
-    training: DataFrame, key: str, run_date: str, rounds: int = 10, **params
+    training: DataFrame,
+    key: str,
+    run_date: str,
+    rounds: int = 10,
+    rate: float = 0.3,
+    depth: int = 6,
+    min_gain: float = 1.0,
 ) -> PipelineModel:
-    """Boosted model of log first views on resampled titles."""
+    """Boosted model of log first views on resampled titles, with the published settings: the
+    learner's defaults and a least gain of 1. The prequel count is a category."""
     drawn = learning.resample(firstviews.prepared(training, True), key, run_date)
-    typed = drawn.withColumn("tier_adj", F.col("tier_adj").cast("string"))
+    typed = _typed(drawn)
     stages = learning.feature_stages(
-        ["prequel_featured_count", "prequel_count"],
-        ["tier_adj", "category", "content_category"],
-        one_hot=True,
+        ["prequel_featured_count"], ["prequel_count", "tier_adj", "category", "content_category"], one_hot=True
+    )
+    model = learning.boosting(
+        "first_views_log", rounds=rounds, rate=rate, depth=depth, min_gain=min_gain, absolute_loss=False
     )
-    model = learning.boosting("first_views_log", rounds=rounds, absolute_loss=False, **params)
     return learning.fit(typed, stages, model)
 
 
@@ -87,7 +103,7 @@ def first_view_forecast(
     model: PipelineModel, future: DataFrame, curve: DataFrame, special_curve: DataFrame, run_date: str
 ) -> DataFrame:
     """Predicted first views of future titles by month."""
-    rows = firstviews.prepared(future, False).withColumn("tier_adj", F.col("tier_adj").cast("string"))
+    rows = _typed(firstviews.prepared(future, False))
     scored = model.transform(rows).select(
         "title_name",
         "season_number",

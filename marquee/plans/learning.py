@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from marquee.constants import (
     BACK_CONSIDERATION_DAYS,
+    BOOST_DEFAULT_DEPTH,
     BOOST_DEPTH,
     BOOST_FEATURE_FRACTION,
     BOOST_MIN_LEAF,
@@ -37,10 +38,12 @@ from marquee.constants import (
 )
 from marquee.functions.dates import add_days
 from marquee.functions.metrics import absolute_error, smape, unit_hash
+from marquee.operators.aggregates import percentiles_per_key
 from marquee.session import ensure_checkpoint_dir
 
 FEATURES = "features"
 PREDICTION = "prediction"
+ISOTONIC_STEPS = 1000
 
 
 # --- data preparation -----------------------------------------------------------
@@ -70,8 +73,12 @@ def resample(rows: DataFrame, key: str, run_date: str, special: str = "Popcorn")
     are left out, and tier 3 is kept as it is. Stratum sizes come from one aggregate.
     """
     cut = F.date_sub(F.lit(run_date).cast("date"), RECENT_DAYS)
-    rows = rows.withColumn("_recent", F.col("effective_start_date") >= cut).withColumn(
-        "_special", F.col("category") == special
+    # a title without a date counts as old, one without a category as not special
+    rows = rows.withColumns(
+        {
+            "_recent": F.coalesce(F.col("effective_start_date") >= cut, F.lit(False)),
+            "_special": F.coalesce(F.col("category") == special, F.lit(False)),
+        }
     )
     strata = ["tier", "_special", "_recent"]
     whole = ["_special", "_recent"]
@@ -92,13 +99,16 @@ def resample(rows: DataFrame, key: str, run_date: str, special: str = "Popcorn")
         .otherwise(F.lit(0.0))
     )
     # a handful of strata, whatever the size of the table
-    rates = sizes.select(*strata, F.coalesce(rate, F.lit(0.0)).alias("_rate"))
+    rates = sizes.select(
+        *(F.col(c).alias(f"_of{c}") for c in strata), F.coalesce(rate, F.lit(0.0)).alias("_rate")
+    )
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in strata))
     return (
-        rows.join(F.broadcast(rates), strata)
+        rows.join(F.broadcast(rates), same)
         .withColumn("_copies", copies(F.col("_rate"), key))
         .where(F.col("_copies") > 0)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .drop("_recent", "_special", "_rate", "_copies")
+        .drop("_recent", "_special", "_rate", "_copies", *(f"_of{c}" for c in strata))
     )
 
 
@@ -106,22 +116,26 @@ def resample(rows: DataFrame, key: str, run_date: str, special: str = "Popcorn")
 
 
 def fold_bounds(
-    rows: DataFrame, offered: str, n_folds: int, back_days: int = BACK_CONSIDERATION_DAYS
+    rows: DataFrame,
+    offered: str,
+    n_folds: int,
+    back_days: int = BACK_CONSIDERATION_DAYS,
+    current: Column | None = None,
 ) -> DataFrame:
     """Edges of the test folds: equal shares of the launches of the last ``back_days``.
 
-    One row per non-empty fold: fold, lower, upper (exclusive by a second), and
-    train_before, 28 days ahead of the fold's first launch. Launch times are counted
-    before the percentile, so it sees each distinct time once.
+    The newest launch is that of the titles for which ``current`` holds (the current
+    platform), of all if it is not given. One row per non-empty fold: fold, lower, upper
+    (exclusive by a second), and train_before, 28 days ahead of the fold's first launch.
     """
-    newest = rows.agg(F.max(offered).alias("_newest"))
+    newest = (rows if current is None else rows.where(current)).agg(F.max(offered).alias("_newest"))
     counts = rows.groupBy(F.col(offered).alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
-    recent = counts.crossJoin(F.broadcast(newest)).where(  # one row
-        F.col("_at") >= add_days(F.col("_newest"), -back_days)
+    recent = rows.crossJoin(F.broadcast(newest)).where(  # one row
+        F.col(offered) >= add_days(F.col("_newest"), -back_days)
     )
-    grid = F.array(*[F.lit(i / n_folds) for i in range(n_folds + 1)])
-    edges = recent.agg(F.percentile(F.unix_micros("_at"), grid, F.col("_n")).alias("_edges"))
-    pieces = edges.select(
+    shares = {f"_e{i}": i / n_folds for i in range(n_folds + 1)}
+    edges = percentiles_per_key(recent.select(F.unix_micros(offered).alias("_us")), [], "_us", shares)
+    pieces = edges.select(F.array(*shares).alias("_edges")).select(
         F.posexplode(F.slice("_edges", 1, n_folds)).alias("fold", "_low"), "_edges"
     ).select(
         "fold",
@@ -184,7 +198,7 @@ def feature_stages(
 def boosting(
     label: str,
     rounds: int = BOOST_ROUNDS[0],
-    depth: int = BOOST_DEPTH[0],
+    depth: int = BOOST_DEFAULT_DEPTH,
     rate: float = 0.05,
     feature_fraction: float = 1.0,
     min_leaf: int = BOOST_MIN_LEAF,
@@ -202,7 +216,6 @@ def boosting(
         minInstancesPerNode=min_leaf,
         minInfoGain=min_gain,
         lossType="absolute" if absolute_loss else "squared",
-        maxBins=64,
         seed=seed,
     )
 
@@ -224,17 +237,45 @@ def elastic_net(
     )
 
 
+def with_bins(estimator, prepared: DataFrame, least: int = 64):
+    """Trees need a bin for each value of a category; the vector's metadata has their number."""
+    if not estimator.hasParam("maxBins"):
+        return estimator
+    kinds = prepared.schema[FEATURES].metadata.get("ml_attr", {}).get("attrs", {})
+    widest = max((len(a.get("vals", ())) for a in kinds.get("nominal", ())), default=0)
+    return estimator.copy({estimator.maxBins: max(least, widest + 1)})
+
+
 def fit(rows: DataFrame, stages: Sequence, estimator) -> PipelineModel:
     ensure_checkpoint_dir(rows.sparkSession)
-    return Pipeline(stages=[*stages, estimator]).fit(rows)
+    before = Pipeline(stages=list(stages)).fit(rows)
+    prepared = before.transform(rows)
+    return PipelineModel([*before.stages, with_bins(estimator, prepared).fit(prepared)])
+
 
+def monotone_calibration(
+    scored: DataFrame, label: str, signal: str, steps: int = ISOTONIC_STEPS
+) -> DataFrame:
+    """Optional step after boosting: predictions rising with one signal.
 
-def monotone_calibration(scored: DataFrame, label: str, signal: str) -> DataFrame:
-    """Optional step after boosting: predictions rising with one signal."""
-    model = IsotonicRegression(labelCol=label, featuresCol=signal, predictionCol="calibrated").fit(
-        scored
+    The curve is fitted to the mean label and weight of at most ``steps`` equal ranges of
+    the signal's rank, since its last stage runs on the driver: its points are bounded.
+    Rows without a signal are calibrated as the least one.
+    """
+    cuts = scored.where(F.col(signal).isNotNull()).agg(
+        F.percentile_approx(signal, F.array(*[F.lit(i / steps) for i in range(1, steps)]), 10 * steps).alias("_cuts")
+    )
+    placed = scored.where(F.col(signal).isNotNull()).crossJoin(F.broadcast(cuts))  # one row
+    points = (
+        placed.groupBy(F.size(F.filter("_cuts", lambda c: c < F.col(signal))).alias("_step"))
+        .agg(F.avg(label).alias(label), F.avg(signal).alias(signal), F.count(F.lit(1)).cast("double").alias("_weight"))
     )
-    return model.transform(scored)
+    model = IsotonicRegression(
+        labelCol=label, featuresCol=signal, predictionCol="calibrated", weightCol="_weight"
+    ).fit(points)
+    lowest = F.lit(points.agg(F.min(signal)).first()[0])
+    kept = scored.withColumn("_signal", F.col(signal)).withColumn(signal, F.coalesce(signal, lowest))
+    return model.transform(kept).withColumn(signal, F.col("_signal")).drop("_signal")
 
 
 def importance(model: PipelineModel, rows: DataFrame, n: int = 20) -> DataFrame:
@@ -285,10 +326,12 @@ def cross_predict(
     The loop runs over at most a few fold edges; rows never leave the executors.
     """
     parts = []
-    for edge in bounds.orderBy("fold").collect():
+    edges = bounds.orderBy("fold").collect()
+    oldest = rows.agg(F.min(offered)).first()[0]  # one look instead of one for each fold
+    for edge in edges:
         train = rows.where(F.col(offered) < F.lit(edge["train_before"]))
         test = rows.where(F.col(offered).between(F.lit(edge["lower"]), F.lit(edge["upper"])))
-        if train.isEmpty():
+        if oldest is None or oldest >= edge["train_before"]:
             continue
         model = fit(train, stages, estimator)
         scored = model.transform(test).withColumn(PREDICTION, after(F.col(PREDICTION)))
@@ -367,7 +410,9 @@ def random_search(
         seed=seed,
     )
     prepared = Pipeline(stages=list(stages)).fit(rows)
-    return prepared, validator.fit(prepared.transform(rows))
+    ready = prepared.transform(rows)
+    validator.setEstimator(with_bins(model, ready))
+    return prepared, validator.fit(ready)
 
 
 # --- scoring per day -------------------------------------------------------------------

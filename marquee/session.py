@@ -52,12 +52,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, unlike the local form."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession) -> str:
     """A new path in the shared folder that every executor can reach."""
     return f"{ensure_checkpoint_dir(spark)}/marquee-{uuid.uuid4().hex}"

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 NULL_TEXT = "\\N"
 
 
-def write_csv(df: DataFrame, path: str, quoted: bool = False, single_file: bool = True) -> None:
-    """Headered CSV, replaced on each run.
+def write_csv(df: DataFrame, path: str, quoted: bool = False, single_file: bool = False) -> None:
+    """Headered CSV, replaced on each run; a folder of files, one from each task.
 
-    One file is the agreed format of the small feature extracts. Pass
-    ``single_file=False`` for anything large.
+    ``single_file=True`` is for the small feature extracts whose agreed format is one file:
+    the rows meet in one task for the write alone.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     writer = out.write.mode("overwrite").option("header", True).option("nullValue", NULL_TEXT)
     writer.option("quote", '"' if quoted else "").option("compression", "none").csv(path)
 

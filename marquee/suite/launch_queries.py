@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marquee.constants import FUNNEL_DAYS
 from marquee.operators.audience import audience_counts
 from marquee.operators.intervals import merge_intervals
+from marquee.operators.segments import DEFAULT_LIMIT, SkewLimit
 from marquee.operators.quality import check_rules, duplicate_keys
 from marquee.plans import funnel, trailers
 from marquee.plans.subscriptions import SESSION_KEYS, active_islands
@@ -68,26 +69,40 @@ def sub_sessions_one_day_gap(spark, d):
     )
 
 
-@query(
-    "interval_merge",
-    """
-    with v as (select distinct l_partkey as part, o_orderdate as s, l_shipdate as e
+_MERGED = """
+    with v as (select distinct {key} as part, o_orderdate as s, l_shipdate as e
             from orders join lineitem on o_orderkey = l_orderkey where l_shipdate >= o_orderdate),
         f as (select *, max(e) over (partition by part order by s, e rows between unbounded preceding and 1 preceding) as reach from v),
         g as (select *, sum(case when reach is null or s > reach then 1 else 0 end)
             over (partition by part order by s, e rows unbounded preceding) as island from f)
     select part, epoch_us(min(s)) as starts_us, epoch_us(max(e)) as ends_us from g group by part, island
-    """,
-)
-def interval_merge(spark, d):
+"""
+
+
+def _merged(spark, d, part, limit=DEFAULT_LIMIT):
     orders = s.table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").alias("s"))
     spans = s.table(spark, d, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("part"), F.col("l_shipdate").alias("e")
+        F.col("l_orderkey").alias("o_orderkey"), part.alias("part"), F.col("l_shipdate").alias("e")
     ).join(orders, "o_orderkey")
-    merged = merge_intervals(spans, ["part"], "s", "e")
+    merged = merge_intervals(spans, ["part"], "s", "e", limit)
     return merged.select("part", us("s").alias("starts_us"), us("e").alias("ends_us"))
 
 
+@query("interval_merge", _MERGED.format(key="l_partkey"))
+def interval_merge(spark, d):
+    return _merged(spark, d, F.col("l_partkey"))
+
+
+@query(
+    "interval_merge_split",
+    _MERGED.format(key="case when l_partkey % 3 = 0 then null when l_partkey % 3 = 1 then 1 else l_partkey end"),
+)
+def interval_merge_split(spark, d):
+    """A third of the rows on one key and a third on the null key: both are cut into segments."""
+    part = F.when(F.col("l_partkey") % 3 == 1, 1).when(F.col("l_partkey") % 3 == 2, F.col("l_partkey"))
+    return _merged(spark, d, part, SkewLimit(rows=500))
+
+
 def _streams(spark, d):
     titles = funnel.asset_titles(s.assets(spark, d), "first_offered_date_current")
     launches = stored(funnel.title_launches(titles))
@@ -237,7 +252,7 @@ def prelaunch_titles(spark, d):
     )
 
 
-# --- trailers: every part k < 100 is also advertised by a trailer asset T<k> --------
+# --- trailers: every part is also advertised by a trailer asset T<k> ---------------
 
 _TITLES_T = f"""
     select 'Show ' || k || ' S1' as title_name, 'M' || k as match_id, 'current' as platform_name,
@@ -268,14 +283,14 @@ _TRAILER_OUT = (
 )
 
 
-def _trailer_sql(days: str, opens: str) -> str:
+def _trailer_sql(days: str, opens: str, launch: str = "launch") -> str:
     end = f"timestamp '{END_TS}'"
     return sql(
         "ev sessions",
         _TRAILER_OUT,
         titles_t=_TITLES_T,
         links=_LINKS,
-        w=f"select *, {opens} as opens, n from links, (select unnest(generate_series({days}))::integer as n)",
+        w=f"select * replace ({launch} as launch), {opens} as opens, n from links, (select unnest(generate_series({days}))::integer as n)",
         subs=_TRAILER_SUBS,
         core=_TRAILER_CORE.format(end=end),
     )
@@ -339,11 +354,12 @@ def trailer_reach(spark, d):
     return _trailer_out(trailers.trailer_reach(clicks, links, s.islands(s.sessions(spark, d), "current"), ts(END_TS)))
 
 
-@query("trailer_reach_until", _trailer_sql("-3, -3", "trailer_at"))
+@query("trailer_reach_until", _trailer_sql("-28, -28", "trailer_at", "launch + interval 30 day"))
 def trailer_reach_until(spark, d):
-    """The "until a day before launch" form; on this month of events day -3 stands for -28."""
+    """Reach until 28 days before launches that follow 30 days later than those of the events."""
     clicks, links = _trailer_inputs(spark, d)
-    rows = trailers.trailer_reach(clicks, links, s.islands(s.sessions(spark, d), "current"), ts(END_TS), (-3,), None)
+    links = links.withColumn("launch", F.col("launch") + F.make_dt_interval(days=F.lit(30)))
+    rows = trailers.early_trailer_reach(clicks, links, s.islands(s.sessions(spark, d), "current"), ts(END_TS))
     return _trailer_out(rows)
 
 

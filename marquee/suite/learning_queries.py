@@ -17,7 +17,7 @@ from marquee.suite.registry import big, query, rnd, us
 # --- folds and sampling ----------------------------------------------------------------
 
 _FOLDS = """
-    with newest as (select max(o_orderdate) as m from orders),
+    with newest as (select max(o_orderdate) as m from orders where o_orderstatus = 'F'),
         recent as (select epoch_us(o_orderdate)::double as t from orders, newest where o_orderdate >= m - interval 180 day),
         edges as (select unnest(generate_series(0, 5)) as fold, quantile_cont(t, [0, 1/6, 2/6, 3/6, 4/6, 5/6, 1]) as q from recent),
         b as (select fold, q[fold + 1]::bigint as lo, q[fold + 2]::bigint - 1000000 as hi from edges),
@@ -27,7 +27,9 @@ _FOLDS = """
 
 
 def _bounds(spark, d):
-    return learning.fold_bounds(s.table(spark, d, "orders").select("o_orderdate"), "o_orderdate", 6)
+    """Orders as launches; those of status F are on the current platform."""
+    orders = s.table(spark, d, "orders").select("o_orderdate", "o_orderstatus")
+    return learning.fold_bounds(orders, "o_orderdate", 6, current=F.col("o_orderstatus") == "F")
 
 
 @query("time_split", _FOLDS + "select fold, lo as lower_us, hi as upper_us, cut as train_before_us from f")
@@ -73,11 +75,14 @@ def mask(spark, d):
 
 
 _STRATA = f"""
-    with r as (select p_partkey, p_size % 5 as tier, case when p_type = 'PROMO' then 'Popcorn' else p_type end as category,
-            date '2024-01-01' - (p_partkey % 300)::integer >= date '{RUN}' - 120 as recent from part),
-        sz as (select *, category = 'Popcorn' as special, count(*) over (partition by tier, category = 'Popcorn', recent) as n,
-            count(*) over (partition by category = 'Popcorn', recent) as ns,
-            (select count(*) from r where tier = 3) as t3 from r),
+    with r as (select p_partkey, case when p_partkey % 17 <> 0 then p_size % 5 end as tier,
+            case when p_type = 'PROMO' then 'Popcorn' when p_type <> 'SMALL' then p_type end as category,
+            coalesce(case when p_partkey % 13 <> 0 then date '2024-01-01' - (p_partkey % 300)::integer end
+                >= date '{RUN}' - 120, false) as recent from part),
+        sp as (select *, coalesce(category = 'Popcorn', false) as special from r),
+        sz as (select *, count(*) over (partition by tier, special, recent) as n,
+            count(*) over (partition by special, recent) as ns,
+            (select count(*) from r where tier = 3) as t3 from sp),
         rate as (select *, case when special then round(round(t3 * case when recent then 0.75 else 0.25 end) * case when recent then 0.3 else 0.2 end) / ns
             when tier in (0, 1, 2) then round(t3 * case when recent then 0.75 else 0.25 end) / n
             when tier = 3 then 1.0 else 0.0 end as rate from sz),
@@ -89,9 +94,12 @@ _STRATA = f"""
 def resample(spark, d):
     rows = s.table(spark, d, "part").select(
         "p_partkey",
-        (F.col("p_size") % 5).alias("tier"),
-        F.when(F.col("p_type") == "PROMO", "Popcorn").otherwise(F.col("p_type")).alias("category"),
-        F.date_sub(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 300).cast("int")).alias("effective_start_date"),
+        F.when(F.col("p_partkey") % 17 != 0, F.col("p_size") % 5).alias("tier"),
+        F.when(F.col("p_type") == "PROMO", "Popcorn").when(F.col("p_type") != "SMALL", F.col("p_type")).alias("category"),
+        F.when(
+            F.col("p_partkey") % 13 != 0,
+            F.date_sub(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 300).cast("int")),
+        ).alias("effective_start_date"),
     )
     drawn = learning.resample(rows, "p_partkey", RUN)
     return drawn.groupBy("p_partkey", "tier", "category").agg(F.max("copy").alias("copies"))
@@ -243,7 +251,7 @@ def share_forecast(spark, d):
 @query("first_view_forecast")
 def first_view_forecast(spark, d):
     titles = stored(titles_with_references(spark, d))
-    model = forecast.fit_first_views(titles, "title_id", RUN, depth=3)
+    model = forecast.fit_first_views(titles, "title_id", RUN)
     curve = stored(decay_of(spark, d))
     future = titles.withColumn("effective_start_date", F.date_add("effective_start_date", 60))
     return forecast.first_view_forecast(model, future, curve, curve, RUN)

@@ -15,6 +15,7 @@ from marquee.operators.aggregates import (
 )
 from marquee.operators.joins import band_join, merge_features, new_rows, not_in, small_side
 from marquee.operators.quality import logged_write
+from marquee.plans import forecast
 from marquee.plans.publish import actual_metrics, decade_rollup, full_outer_metrics, predicted_metrics
 from marquee.session import scratch_path
 from marquee.sources import files
@@ -243,10 +244,8 @@ def filter_history(spark, d):
     rows = s.table(spark, d, "lineitem").groupBy("l_partkey").agg(
         of(1).alias("a"), of(2).alias("b"), of(7).alias("c"), F.max("l_shipdate").alias("m")
     )
-    cut = ts("2001-08-01 00:00:00") - F.make_dt_interval(days=F.lit(60))
-    return rows.where(
-        F.col("a").isNotNull() & F.col("b").isNotNull() & F.col("c").isNotNull() & (F.col("c") != 0) & (F.col("m") <= cut)
-    ).select("l_partkey")
+    known = F.col("a").isNotNull() & F.col("b").isNotNull() & F.col("c").isNotNull() & (F.col("c") != 0)
+    return forecast.recent_history(rows.where(known), "m", ts("2001-08-01 00:00:00")).select("l_partkey")
 
 
 # --- aggregates and windows ----------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
-from marquee.operators.audience import audience_counts, events_up_to
+from marquee.operators.audience import audience_counts, events_up_to, gaps_inside
 from marquee.operators.intervals import merge_intervals
 
 T0 = datetime(2024, 1, 1)
@@ -57,3 +57,18 @@ def test_counts_match_definition(spark):
                     continue
                 users = {u for u, s, e in periods if e >= opens and s <= closes}
                 assert got[(opens, launch, n)] == len(users)
+
+
+def test_rows_do_not_grow_with_gaps_times_windows(spark):
+    """Four times the windows over the same gaps: no join makes more than a few rows for each."""
+    rng = random.Random(5)
+    gaps = [(m(t), m(t + rng.randrange(1, 9000))) for t in (rng.randrange(0, 60 * 1440) for _ in range(4000))]
+    df = spark.createDataFrame(gaps, "a timestamp, b timestamp")
+    for n in (20, 80):
+        grid = [(m(60 * i + 7), m(60 * i + 7 + 1440 * k)) for i in range(n) for k in (1, 5)]
+        frame = gaps_inside(df, spark.createDataFrame(grid, "opens timestamp, closes timestamp"), "a", "b")
+        got = {(r.opens, r.closes): r.n_gaps for r in frame.collect()}
+        for opens, closes in grid[:6]:
+            assert got[opens, closes] == sum(1 for a, b in gaps if a >= opens and b <= closes)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

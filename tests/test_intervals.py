@@ -12,8 +12,8 @@ from marquee.operators.segments import SkewLimit
 from marquee.plans.subscriptions import active_islands
 
 T0 = datetime(2024, 1, 1)
-SPLIT = SkewLimit(rows=3, bytes=0, segment_micros=86_400_000_000)
-LIMITS = [None, SPLIT, SkewLimit(rows=3, bytes=0, segment_micros=7 * 86_400_000_000)]
+SPLIT = SkewLimit(rows=3, segment_micros=86_400_000_000)
+LIMITS = [None, SPLIT, SkewLimit(rows=3, segment_micros=7 * 86_400_000_000)]
 
 
 def h(hours: float) -> datetime:

@@ -199,6 +199,28 @@ def test_cross_prediction_respects_the_embargo(spark):
     assert first(scored.agg(F.max(F.abs(F.col("prediction") - F.col("label"))).alias("e"))).e < 1e-6
 
 
+def test_boosting_takes_wide_categories(spark):
+    rows = [(i, f"c{i % 200}", float(i % 200)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, kind string, label double")
+    model = learning.fit(df, learning.feature_stages([], ["kind"]), learning.boosting("label", rounds=1, depth=2))
+    assert model.transform(df).count() == 600
+
+
+def test_calibration_rises_with_the_signal(spark):
+    rows = [(i, float(i % 50) if i % 11 else None, float((i % 50) + (i * 7) % 13)) for i in range(800)]
+    df = spark.createDataFrame(rows, "id int, x double, label double")
+    got = learning.monotone_calibration(df, "label", "x", steps=20).orderBy("x").collect()
+    assert len(got) == 800
+    values = [r.calibrated for r in got if r.x is not None]
+    assert values == sorted(values)
+
+
+def test_resampling_keeps_titles_without_category(spark):
+    rows = [(i, 3, None if i % 2 else "Drama", datetime(2023, 12, 1).date()) for i in range(20)]
+    df = spark.createDataFrame(rows, "id int, tier int, category string, effective_start_date date")
+    assert learning.resample(df, "id", "2024-01-01").count() == 20
+
+
 def test_csv_nulls_names_and_bad_rows(spark, tmp_path):
     df = spark.createDataFrame([(1, "a,b", None), (2, None, None)], "K int, NAME string, NONE string")
     files.write_csv(df, str(tmp_path / "x"), quoted=True)
@@ -237,6 +259,6 @@ def test_feature_choice_by_mode():
 
 def test_unquoted_csv(spark, tmp_path):
     df = spark.createDataFrame([(1, 'say "hi"'), (2, None)], "k int, name string")
-    files.write_csv(df, str(tmp_path / "x"))
+    files.write_csv(df, str(tmp_path / "x"), single_file=True)
     text_rows = [r.value for r in spark.read.text(str(tmp_path / "x")).collect()]
     assert text_rows[0] == "k,name" and sorted(text_rows[1:]) == ['1,say "hi"', "2,\\N"]
