@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, classifier, jaccard, language, ordermh, packing, pii, quality, secrets, sharding
+from marquee.llm import bpe, classifier, jaccard, language, ordermh, packing, pii, quality, secrets, sharding, sql
 from marquee.llm.common import documents, query
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -28,12 +28,12 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(pieces)
 
 
-@query("op3_secret_scan")
+@query("op3_secret_scan", sql.SECRETS)
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(documents(spark, sf_dir))
 
 
-@query("op6_adaptive_rules")
+@query("op6_adaptive_rules", sql.QUALITY)
 def op6_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
@@ -53,11 +53,11 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.held_out_prediction(documents(spark, sf_dir))
 
 
-@query("op1_chosen_path_join")
+@query("op1_chosen_path_join", sql.JACCARD)
 def op1_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
 
 
-@query("op10_disclosure_scan")
+@query("op10_disclosure_scan", sql.PRIVATE)
 def op10_disclosure_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.private_digest(documents(spark, sf_dir))
