@@ -17,7 +17,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,9 @@ REMEMBERED_CHARS = 12_000_000
 
 class WordIds:
     """Ids by the tokenizers library, asked once for each distinct word. A space or a line
-    break ends a word in this vocabulary's rules, so ids of words join to ids of the text."""
+    break ends a word in this vocabulary's rules, so ids of words join to ids of the text.
+    Plain words, letters with at most one full stop or comma behind, are asked for together:
+    in the answer each ends with a token that ends a word."""
 
     def __init__(self, source: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,20 +48,63 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.chars = 0
 
+    def _ask(self, words: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+
+    def _ask_plain(self, words: list[str]) -> list[bytes]:
+        ids = self._ask([" ".join(words)])[0]
+        last = np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1
+        if len(last) != len(words):  # a letter that the library takes for something else
+            return self._ask(words)
+        cuts = [0, *(4 * last).tolist()]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _learn(self, words: set[str]) -> None:
+        known, older = self.known, self.older
+        plain: dict[str, list[tuple[str, str]]] = {}
+        other = []
+        for word in words:
+            self.chars += len(word)
+            if (coded := older.get(word)) is not None:
+                known[word] = coded
+                continue
+            mark = word[-1:] if word[-1:] in (".", ",") else ""
+            stem = (word[:-1] if mark else word).lower()
+            if stem.isalpha() and "\u03a3" not in word:  # the library lowers a sigma by another rule
+                plain.setdefault(stem, []).append((word, mark))
+            else:
+                other.append(word)
+        stems = [s for s in plain if s not in known and s not in older]
+        if stems:
+            known.update(zip(stems, self._ask_plain(stems), strict=True))
+        if other:
+            known.update(zip(other, self._ask(other), strict=True))
+        for stem, forms in plain.items():
+            ids = known.get(stem) or older[stem]
+            for word, mark in forms:
+                known[word] = ids + self.marks[mark]
+
+    @cached_property
+    def marks(self) -> dict[str, bytes]:
+        return dict(zip(("", ".", ","), self._ask(["", ".", ","]), strict=True))
+
     def ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        known = self.known
-        if new := list(set(words).difference(known)):
-            for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[word] = np.array(coded.ids, "<u4").tobytes()
-                self.chars += len(word)
-        out = b"".join(map(known.__getitem__, words))
-        if len(known) > REMEMBERED_WORDS or self.chars > REMEMBERED_CHARS:
-            known.clear()
-            self.chars = 0
+        if new := set(words).difference(self.known):
+            self._learn(new)
+        out = b"".join(map(self.known.__getitem__, words))
+        if len(self.known) > REMEMBERED_WORDS or self.chars > REMEMBERED_CHARS:
+            self.older, self.known, self.chars = self.known, {}, 0  # what is not met again is forgotten
+            if sum(map(len, words)) > REMEMBERED_CHARS:
+                self.older = {}
         return out
 
 
@@ -222,8 +267,9 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     order = [F.col("length").desc(), F.col("doc_id"), F.col("piece")]
     kinds = "doc_id long, piece int, start long, length long, ids_crc32 long, sorted_part int, rank long"
+    pieces = stored(pieces.select(*columns))  # range sorting reads its input twice
     rows = stored(
-        pieces.select(*columns).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(ranked, kinds)
+        pieces.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(ranked, kinds)
     )
     shares = rows.groupBy("length", "sorted_part").count().collect()
     runs: dict[int, int] = defaultdict(int)
