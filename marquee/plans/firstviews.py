@@ -71,15 +71,17 @@ def base_assets(assets: DataFrame, offers: DataFrame, metadata: DataFrame, floor
     )
 
 
-def _countable(events: DataFrame, assets: DataFrame, run_date: str) -> DataFrame:
-    """Events of an asset while it was offered and its title's window was open."""
-    day = F.to_date("request_at")
+def _of_day(events: DataFrame) -> DataFrame:
+    return events.withColumn("request_date", F.to_date("request_at"))
+
+
+def _countable(dated: DataFrame, assets: DataFrame, run_date: str) -> DataFrame:
+    """Rows of an asset's days while it was offered and its title's window was open. Rows come
+    combined by asset and day, so a popular title is no large join key."""
     window = assets.select(
         *TITLE, "viewable_id", "asset_premiere", "asset_end", "effective_start_date", "effective_end_date"
     )
-    dated = events.withColumn("request_date", day).where(
-        F.col("request_date") < F.date_sub(F.lit(run_date).cast("date"), 1)
-    )
+    dated = dated.where(F.col("request_date") < F.date_sub(F.lit(run_date).cast("date"), 1))
     return band_join(
         dated,
         window,
@@ -95,8 +97,9 @@ def daily_first_views(
 ) -> DataFrame:
     """Distinct user and subscription pairs per title and day."""
     allowed = first_watched.where(F.col("country").isin(*FIRST_VIEW_COUNTRIES))
+    once = _of_day(allowed).select("viewable_id", "request_date", "user_id", "subscription_id").distinct()
     return (
-        _countable(allowed, assets, run_date)
+        _countable(once, assets, run_date)
         .groupBy(*TITLE, "request_date")
         .agg(F.countDistinct("user_id", "subscription_id").alias("first_views"))
     )
@@ -111,8 +114,11 @@ def daily_hours(
     streams: DataFrame, assets: DataFrame, run_date: str, min_seconds: float = MIN_STREAM_SECONDS
 ) -> DataFrame:
     long_enough = streams.where(F.col("stream_seconds") >= min_seconds)
+    daily = _of_day(long_enough).groupBy("viewable_id", "request_date").agg(
+        F.sum("stream_seconds").alias("stream_seconds")
+    )
     return (
-        _countable(long_enough, assets, run_date)
+        _countable(daily, assets, run_date)
         .groupBy(*TITLE, "request_date")
         .agg(_hours(F.sum("stream_seconds")).alias("hours_viewed"))
     )
@@ -181,12 +187,12 @@ def reference_graph(
     """
     first = links.where(F.col("reference_type").isin(*REFERENCE_TYPES)).select(
         "title_ref", "reference_type", F.col("reference_ref").alias("_ref")
-    )
+    ).distinct()
     second = links.where(F.col("reference_type") == FEATURED_TYPE).select(
         F.col("title_ref").alias("reference_title_id"),
         F.col("reference_type").alias("_type2"),
         F.col("reference_ref").alias("_ref2"),
-    )
+    ).distinct()
     named = names.select(
         F.col("title_ref").alias("reference_title_id"), F.col("original_title").alias("reference_title")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.constants import EMBARGO_DAYS, NO_NEIGHBOUR
@@ -13,9 +13,17 @@ BLOCK_ROWS = 2048
 _CANDIDATE = "id string, neighbour string, distance double, neighbour_target double"
 
 
-def _blocks(df: DataFrame, rows: int, block_rows: int, out: str) -> tuple[DataFrame, int]:
-    count = max(1, -(-rows // block_rows))
-    return df.withColumn(out, F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")), count
+def _edges(df: DataFrame, block_rows: int) -> list[int]:
+    """Launch times that cut the rows into blocks of about ``block_rows``: one number a block."""
+    count = -(-df.count() // block_rows)
+    shares = [i / count for i in range(1, count)]
+    return sorted({int(e) for e in df.approxQuantile("at_us", shares, 0.1 / count)}) if shares else []
+
+
+def _block(edges: list[int]) -> Column:
+    if not edges:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("at_us")))
 
 
 def _nearest(k: int, embargo_us: int):
@@ -55,32 +63,42 @@ def _nearest(k: int, embargo_us: int):
 def trend_neighbours(
     titles: DataFrame,
     k: int,
-    n_query: int,
-    n_base: int,
     embargo_days: int = EMBARGO_DAYS,
     block_rows: int = BLOCK_ROWS,
+    after: str | None = None,
 ) -> DataFrame:
     """The k nearest observed titles launched more than ``embargo_days`` earlier.
 
     ``titles`` has id (string), launched_at, curve (array) and target, null where
-    not observed yet. Both sides are cut into blocks of about ``block_rows`` rows;
-    one task compares one pair of blocks and returns k rows per title, so neither
-    side has to fit in a task and no list of pairs is ever written.
-    ``n_query`` and ``n_base`` only set the number of blocks.
+    not observed yet. Only titles launched after ``after`` look for neighbours. Both
+    sides are cut by launch time into blocks of about ``block_rows`` rows, and pairs of
+    blocks that the embargo rules out are never formed. One task compares one pair and
+    returns k rows per title, so neither side has to fit in a task.
     Result: ``id``, ``rank`` (1 = nearest), ``neighbour``, ``neighbour_target``.
     """
     rows = titles.select(
         "id", F.unix_micros("launched_at").alias("at_us"), "curve", F.col("target").cast("double").alias("target")
     )
-    query, q_count = _blocks(rows.drop("target"), n_query, block_rows, "q_block")
-    base, b_count = _blocks(rows.where(F.col("target").isNotNull()), n_base, block_rows, "b_block")
-    query = query.withColumn("b_block", F.explode(F.sequence(F.lit(0), F.lit(b_count - 1))))
-    base = base.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_count - 1))))
+    query, base = rows.drop("target"), rows.where(F.col("target").isNotNull())
+    if after is not None:
+        query = query.where(F.col("at_us") > F.unix_micros(F.lit(after).cast("timestamp")))
+    embargo = embargo_days * 86_400_000_000
+    q_edges, b_edges = _edges(query, block_rows), _edges(base, block_rows)
+    # the last block of the base that begins early enough for each block of the queries
+    last = [sum(b <= top - embargo for b in b_edges) for top in q_edges] + [len(b_edges)]
+    first = [next(q for q, b in enumerate(last) if b >= i) for i in range(len(b_edges) + 1)]
+    of = lambda values, block: F.get(F.array(*map(F.lit, values)), F.col(block))
+    query = query.withColumn("q_block", _block(q_edges)).withColumn(
+        "b_block", F.explode(F.sequence(F.lit(0), of(last, "q_block")))
+    )
+    base = base.withColumn("b_block", _block(b_edges)).withColumn(
+        "q_block", F.explode(F.sequence(of(first, "b_block"), F.lit(len(q_edges))))
+    )
     pair = ["q_block", "b_block"]
     found = (
         query.groupBy(*pair)
         .cogroup(base.groupBy(*pair))
-        .applyInPandas(_nearest(k, embargo_days * 86_400_000_000), _CANDIDATE)
+        .applyInPandas(_nearest(k, embargo), _CANDIDATE)
     )
     ranked = F.slice(
         F.array_sort(F.collect_list(F.struct("distance", "neighbour", "neighbour_target"))), 1, k

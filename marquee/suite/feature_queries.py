@@ -751,12 +751,13 @@ def text_licensors(spark, d):
 
 # --- neighbours -----------------------------------------------------------------------------
 
-_NEIGHBOURS = """
+_TREND_FLOOR = "2023-02-10 00:00:00"
+_NEIGHBOURS = f"""
     with v as (select vec_id, embedding::double[] as e, timestamp '2023-01-01' + to_days((vec_id % 120)::integer) as ts,
             case when vec_id % 4 <> 0 then label end as target from embeddings),
         r as (select q.vec_id as id, b.vec_id as neighbour, b.target,
             row_number() over (partition by q.vec_id order by list_distance(q.e, b.e), b.vec_id::varchar) as rank
-            from v q join v b on b.target is not null and b.ts + interval 28 day < q.ts)
+            from v q join v b on b.target is not null and b.ts + interval 28 day < q.ts and q.ts > timestamp '{_TREND_FLOOR}')
 """
 
 
@@ -772,8 +773,7 @@ def _curve_titles(spark, d):
 
 def _neighbours(spark, d):
     titles = _curve_titles(spark, d)
-    n = titles.count()
-    return titles, trend_neighbours(titles, 3, n, n, block_rows=256)
+    return titles, trend_neighbours(titles, 3, block_rows=256, after=_TREND_FLOOR)
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marquee.functions.metrics import unit_hash
@@ -154,6 +156,57 @@ def train_linear(spark, d):
     return scored.select("o_orderkey", "label", "prediction")
 
 
+@query(
+    "train_linear_check",
+    """select round(regr_slope(ln(o_totalprice), age), 7) as slope, round(regr_intercept(ln(o_totalprice), age), 5) as intercept
+        from (select o_totalprice, date_diff('day', date '1995-01-01', o_orderdate::date) as age from orders)""",
+)
+def train_linear_check(spark, d):
+    """One numeric input: the fitted line is the least-squares line."""
+    model = learning.fit(_title_rows(spark, d), learning.feature_stages(["age"]), learning.linear("label")).stages[-1]
+    line = [(float(model.coefficients[0]), float(model.intercept))]
+    rows = spark.createDataFrame(line, "slope double, intercept double")
+    return rows.select(rnd("slope", 7).alias("slope"), rnd("intercept", 5).alias("intercept"))
+
+
+@query("elastic_net_check", "select 4::bigint as n_inputs, 0::bigint as violations")
+def elastic_net_check(spark, d):
+    """Optimality of the penalised fit: the slope of the loss at each input against its penalty."""
+    alpha, share = 0.01, 0.5
+    rows = _title_rows(spark, d)
+    model = learning.fit(rows, learning.feature_stages(_NUMERIC), learning.elastic_net("label", alpha, share))
+    fitted = model.stages[-1]
+    scored = model.transform(rows).withColumn("r", F.col("label") - F.col("prediction"))
+    slopes = scored.select(vector_to_array("features").alias("x"), "r").agg(
+        *[F.avg(F.get("x", i) * F.col("r")).alias(f"g{i}") for i in range(len(_NUMERIC))]
+    ).first()
+    wrong = 0
+    for g, w in zip(slopes, fitted.coefficients):
+        left = g - alpha * (1 - share) * w
+        limit = alpha * share
+        wrong += abs(left) > limit + 1e-3 if w == 0 else abs(left - limit * (1 if w > 0 else -1)) > 1e-3
+    return spark.createDataFrame([(len(_NUMERIC), int(wrong))], "n_inputs long, violations long")
+
+
+@query(
+    "cross_predict_check",
+    _FOLDS
+    + """select o_orderkey, fold, round(o_totalprice, 2) as target, true as usable from f join orders
+        on epoch_us(o_orderdate) between lo and hi where (select min(epoch_us(o_orderdate)) from orders) < cut""",
+)
+def cross_predict_check(spark, d):
+    """Every title of a fold is scored once, by a linear model, over the six published folds."""
+    rows = _title_rows(spark, d)
+    scored = learning.cross_predict(
+        rows, _bounds(spark, d), "o_orderdate", learning.feature_stages(_NUMERIC, _CATEGORY, one_hot=True),
+        learning.linear("label"), F.exp,
+    )
+    usable = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.col("prediction") > 0)
+    return scored.select(
+        "o_orderkey", big("fold").alias("fold"), rnd(F.exp("label"), 2).alias("target"), usable.alias("usable")
+    )
+
+
 @query("train_elastic_net")
 def train_elastic_net(spark, d):
     rows = _title_rows(spark, d)
@@ -166,7 +219,7 @@ def train_elastic_net(spark, d):
 def cross_predict_boosting(spark, d):
     rows = _title_rows(spark, d)
     scored = learning.cross_predict(
-        rows, learning.fold_bounds(rows, "o_orderdate", 2), "o_orderdate", learning.feature_stages(_NUMERIC, _CATEGORY),
+        rows, _bounds(spark, d), "o_orderdate", learning.feature_stages(_NUMERIC, _CATEGORY),
         learning.boosting("label", **_SMALL), F.exp,
     )
     return learning.with_errors(scored.withColumn("target", F.exp("label")), "prediction", "target").select(
@@ -199,6 +252,37 @@ def monotone_calibration(spark, d):
     return learning.monotone_calibration(scored, "label", "quantity").select("o_orderkey", "calibrated")
 
 
+@query("monotone_check", "select count(*) as n_rows, 0::bigint as falls from orders")
+def monotone_check(spark, d):
+    """Calibrated values never fall while the signal rises."""
+    rows = _title_rows(spark, d).fillna(0.0, subset=["quantity"])
+    scored = learning.fit(rows, learning.feature_stages(_NUMERIC), learning.linear("label")).transform(rows)
+    steps = learning.monotone_calibration(scored, "label", "quantity").groupBy("quantity").agg(
+        F.min("calibrated").alias("low"), F.max("calibrated").alias("high"), F.count("*").alias("n")
+    )
+    # one row per distinct quantity
+    before = F.max("high").over(Window.orderBy("quantity").rowsBetween(Window.unboundedPreceding, -1))
+    return steps.withColumn("before", before).agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("low") < F.col("before") - 1e-9).alias("falls")
+    )
+
+
+@query(
+    "importance_check",
+    "select feature, true as in_range from (values ('quantity'), ('discount'), ('lines'), ('age'), "
+    "('o_orderstatus'), ('o_orderpriority')) as t(feature)",
+)
+def importance_check(spark, d):
+    """Every input has a share, and the shares add up to 100."""
+    table = feature_importance(spark, d)
+    total = table.agg(F.sum("importance").alias("total"))
+    name = F.regexp_replace("feature", "__(filled|code)$", "")
+    return table.crossJoin(F.broadcast(total)).select(  # one row
+        name.alias("feature"),
+        (F.col("importance").between(0, 100) & (F.abs(F.col("total") - 100) < 1e-6)).alias("in_range"),
+    )
+
+
 @query("score_days")
 def score_days(spark, d):
     """Day 0 is linear, day 7 boosted; newer orders are the titles to score."""
@@ -223,6 +307,20 @@ def model_roundtrip(spark, d):
     return learning.load_model(path).transform(rows).select("o_orderkey", "prediction")
 
 
+@query("model_roundtrip_check", "select count(*) as n_rows, 0::bigint as differing from orders")
+def model_roundtrip_check(spark, d):
+    """A restored model predicts what the saved one does."""
+    rows = _title_rows(spark, d)
+    model = learning.fit(rows, learning.feature_stages(_NUMERIC), learning.linear("label"))
+    path = scratch_path(spark) + "/model"
+    learning.save_model(model, path)
+    first = model.transform(rows).select("o_orderkey", F.col("prediction").alias("first"))
+    both = learning.load_model(path).transform(rows).join(first, "o_orderkey")
+    return both.agg(
+        F.count("*").alias("n_rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("first"))).alias("differing")
+    )
+
+
 @query("random_search")
 def random_search(spark, d):
     rows = _title_rows(spark, d)

@@ -499,6 +499,17 @@ def sampled(spark, d):
     return sample_rows(s.table(spark, d, "orders"))
 
 
+@query("sample_rows_check", "select 10::bigint as n_rows, 0::bigint as strangers")
+def sampled_check(spark, d):
+    """How many rows the sample has, and how many of them are not the table's."""
+    orders = s.table(spark, d, "orders")
+    some = sample_rows(orders)
+    known = some.join(orders.select("o_orderkey", F.col("o_totalprice").alias("_price")), "o_orderkey", "left")
+    return known.agg(
+        F.count("*").alias("n_rows"), F.count_if(~F.col("o_totalprice").eqNullSafe(F.col("_price"))).alias("strangers")
+    )
+
+
 @query(
     "csv_roundtrip",
     "select s_suppkey, s_name, round(case when s_nationkey % 3 <> 0 then s_acctbal end, 2) as balance from supplier "

@@ -167,7 +167,7 @@ def test_neighbours_match_numpy_across_blocks(spark):
     ]
     df = spark.createDataFrame(rows, "id string, launched_at timestamp, curve array<double>, target double")
     got = {}
-    for r in trend_neighbours(df, 3, 60, 60, block_rows=16).collect():
+    for r in trend_neighbours(df, 3, block_rows=16).collect():
         got.setdefault(r.id, {})[r["rank"]] = r.neighbour_target
     for key, when, curve, _ in rows:
         usable = [r for r in rows if r[3] is not None and r[1] + timedelta(days=28) < when]
