@@ -33,7 +33,7 @@ WIDTH = 5
 OVER, UNDER = 4, 5
 SAMPLED = 1.4  # expected common samples of two sets at the threshold
 RECALL = 0.999
-LEAF = 64
+LEAF = 256
 LEVELS = 4
 DENSE = 0.5  # a bucket that keeps this share of its parent is not split further
 BLOCK = 1024
