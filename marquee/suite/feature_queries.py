@@ -749,6 +749,27 @@ def text_licensors(spark, d):
     )
 
 
+_FOLDED = ((r"supplier#0*1\d*", "first house"), (r"supplier#0*2\d*", "second house"))
+
+
+@query(
+    "text_licensors_folded",
+    rf"""
+    with c as (select s_suppkey, regexp_replace(regexp_replace(lower(s_name) || ', other studios / partners ltd.',
+            '{_FOLDED[0][0]}', '{_FOLDED[0][1]}', 'g'), '{_FOLDED[1][0]}', '{_FOLDED[1][1]}', 'g') as t from supplier),
+        d as (select s_suppkey, replace(regexp_replace(t, '\bltd\.', '', 'g'), '/', ',') as t from c)
+    select s_suppkey, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(t, ','), lambda x: trim(x)), lambda x: length(x) > 2))), ';') as licensors
+    from d
+    """,
+)
+def text_licensors_folded(spark, d):
+    """Brands folded into one name by rules that the caller gives."""
+    names = F.concat(F.lower("s_name"), F.lit(", other studios / partners ltd."))
+    return s.table(spark, d, "supplier").select(
+        "s_suppkey", F.array_join(t.licensor_tokens(names, _FOLDED), ";").alias("licensors")
+    )
+
+
 # --- neighbours -----------------------------------------------------------------------------
 
 _TREND_FLOOR = "2023-02-10 00:00:00"
