@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -52,9 +54,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession) -> str:
-    """A new path in the shared folder that every executor can reach."""
-    return f"{ensure_checkpoint_dir(spark)}/marquee-{uuid.uuid4().hex}"
+    """A new path in the shared folder that every executor can reach; removed with the job."""
+    path = f"{ensure_checkpoint_dir(spark)}/marquee-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Removes what ``scratch_path`` gave out in this process. Frames that read it end here."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
+@atexit.register
+def _job_ends() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        with contextlib.suppress(Exception):  # the cluster may be gone before this process
+            remove_scratch(spark)
 
 
 def stored(df: DataFrame) -> DataFrame:
