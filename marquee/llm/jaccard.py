@@ -4,8 +4,8 @@ Texts are sets of runs of five words. In each of several independent runs a set
 of its elements by a shared hash, each with a chance in inverse proportion to its size, so
 that two sets at the threshold expect more than one sampled element in common. Sets that
 sampled the same element meet in a bucket. A large bucket is split again by sampled elements
-of the sets' fixed-size embedding, until it is small or no longer shrinks; such leaf buckets
-are compared by brute force, in blocks. Runs are repeated until the target recall. A pair
+of the sets' fixed-size embedding, until it is small or its members are alike; such leaf
+buckets are compared by brute force, in blocks. Runs are repeated until the target recall. A pair
 counts in the least leaf that its members share, so no pair is counted twice and none needs
 to be written down: a task returns link counts and a spanning star for its bucket.
 
@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import slices, stored, texts_of, utf8
@@ -35,7 +35,7 @@ SAMPLED = 1.4  # expected common samples of two sets at the threshold
 RECALL = 0.999
 LEAF = 256
 LEVELS = 4
-DENSE = 0.5  # a bucket that keeps this share of its parent is not split further
+DENSE = 0.5  # a bucket whose members agree so much with one of them is not split further
 BLOCK = 1024
 BINS = 64
 MARGIN = 4.5
@@ -108,31 +108,43 @@ def summaries(docs: DataFrame, runs: int) -> DataFrame:
     return texts_of(docs).mapInArrow(run, "doc_id long, node binary, size int, sketch binary, paths array<long>")
 
 
-def leaves(nodes: DataFrame, total: int) -> DataFrame:
+def leaves(nodes: DataFrame) -> DataFrame:
     """leaf, node, members: the leaf buckets that hold two or more classes."""
-    entries = nodes.select(F.explode("paths").alias("path"), "node").withColumn("above", F.lit(total).cast("long"))
+    entries = nodes.select(F.explode("paths").alias("path"), "node")
     chance = int(2**31 * SAMPLED * UNDER / OVER / BINS)
     out = None
     for level in range(1, LEVELS + 1):
         counts = entries.groupBy("path").agg(F.count("*").alias("members")).where("members > 1")
         rows = stored(entries.join(counts, "path"))
-        last = (F.col("members") <= LEAF) | (F.col("members") >= DENSE * F.col("above")) | F.lit(level == LEVELS)
+        last = (F.col("members") <= LEAF) | F.lit(level == LEVELS)
         leaf = rows.where(last).select(F.col("path").alias("leaf"), "node", "members")
         out = leaf if out is None else out.union(leaf)
-        split = rows.where(~last)
-        if level == LEVELS or split.isEmpty():
+        large = rows.where(~last)
+        if level == LEVELS or large.isEmpty():
             return out
-        split = split.select("path", "node", F.col("members").alias("above")).join(nodes.select("node", "sketch"), "node")
+        large = stored(large.join(nodes.select("node", "sketch"), "node"))
+        pivot = large.groupBy("path").agg(F.min_by("sketch", "node").alias("pivot"))
+        agreement = large.join(pivot, "path").groupBy("path").agg(F.avg(agreeing("sketch", "pivot")).alias("share"))
+        dense = agreement.where(F.col("share") >= DENSE).select("path")
+        alike = large.join(dense, "path", "left_semi").select(F.col("path").alias("leaf"), "node", "members")
+        out = out.union(alike)
+        split = large.join(dense, "path", "left_anti")
         drawn = F.filter(
             F.sequence(F.lit(0), F.lit(BINS - 1)),
             lambda i: F.xxhash64("path", i, F.lit(level)).bitwiseAND(F.lit(2**31 - 1)) < chance,
         )
         split = split.withColumn("place", F.explode(drawn))
         path = F.xxhash64("path", "place", F.expr("substring(sketch, place + 1, 1)"))
-        entries = split.select(path.alias("path"), "node", "above")
+        entries = split.select(path.alias("path"), "node")
     return out
 
 
+def agreeing(a: str, b: str) -> Column:
+    """Share of equal bytes of two embeddings."""
+    same = F.expr(f"filter(sequence(1, {BINS}), i -> substring({a}, i, 1) = substring({b}, i, 1))")
+    return F.size(same) / BINS
+
+
 def blocked(rows: DataFrame) -> DataFrame:
     """Adds key and side: a bucket of up to BLOCK members has one key; a larger one is cut into
     blocks, with a key for every two blocks, whose rows are on side 0 and 1, and one for each
@@ -327,7 +339,7 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
             F.first("paths").alias("paths"),
         )
     )
-    leaf = stored(leaves(nodes.select("node", "sketch", "paths"), nodes.count()))
+    leaf = stored(leaves(nodes.select("node", "sketch", "paths")))
     lists = leaf.groupBy("node").agg(F.sort_array(F.collect_list("leaf")).alias("list"))
     carried = nodes.select("node", "size", "sketch").join(lists, "node")
     chosen = stored(candidates(blocked(leaf.join(carried, "node"))))
