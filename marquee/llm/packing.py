@@ -31,8 +31,8 @@ from marquee.llm.common import slices, stored, texts_of
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
 BAND = 0.85
-REMEMBERED_WORDS = 300_000
-REMEMBERED_CHARS = 12_000_000
+REMEMBERED_WORDS = 500_000
+REMEMBERED_CHARS = 20_000_000
 
 
 class WordIds:
@@ -68,43 +68,40 @@ class WordIds:
         return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _learn(self, words: set[str]) -> None:
-        known, older = self.known, self.older
-        plain: dict[str, list[tuple[str, str]]] = {}
+        known, older, marks = self.known, self.older, self.marks
+        again = older.keys() & words
+        known.update({w: older[w] for w in again})
+        plain: list[tuple[str, str, str]] = []
         other = []
-        for word in words:
-            self.chars += len(word)
-            if (coded := older.get(word)) is not None:
-                known[word] = coded
-                continue
-            mark = word[-1:] if word[-1:] in (".", ",") else ""
+        for word in words - again:
+            mark = word[-1:] if word.endswith((".", ",")) else ""
             stem = (word[:-1] if mark else word).lower()
             if stem.isalpha() and "\u03a3" not in word:  # the library lowers a sigma by another rule
-                plain.setdefault(stem, []).append((word, mark))
+                plain.append((word, stem, mark))
             else:
                 other.append(word)
-        stems = [s for s in plain if s not in known and s not in older]
+        self.chars += sum(map(len, words))
+        stems = list({s for _, s, _ in plain} - known.keys() - older.keys())
         if stems:
             known.update(zip(stems, self._ask_plain(stems), strict=True))
         if other:
             known.update(zip(other, self._ask(other), strict=True))
-        for stem, forms in plain.items():
-            ids = known.get(stem) or older[stem]
-            for word, mark in forms:
-                known[word] = ids + self.marks[mark]
+        for word, stem, mark in plain:
+            known[word] = (known.get(stem) or older[stem]) + marks[mark]
 
     @cached_property
     def marks(self) -> dict[str, bytes]:
         return dict(zip(("", ".", ","), self._ask(["", ".", ","]), strict=True))
 
-    def ids(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        if new := set(words).difference(self.known):
+    def ids(self, texts: list[str]) -> list[bytes]:
+        words = [text.replace("\n", " ").split(" ") for text in texts]
+        if new := set().union(*words) - self.known.keys():
             self._learn(new)
-        out = b"".join(map(self.known.__getitem__, words))
+        out = [b"".join(map(self.known.__getitem__, some)) for some in words]
         if len(self.known) > REMEMBERED_WORDS or self.chars > REMEMBERED_CHARS:
-            self.older, self.known, self.chars = self.known, {}, 0  # what is not met again is forgotten
-            if sum(map(len, words)) > REMEMBERED_CHARS:
-                self.older = {}
+            # What is not met again is forgotten, and so are words without end.
+            keep = self.chars <= 2 * REMEMBERED_CHARS
+            self.older, self.known, self.chars = (self.known if keep else {}), {}, 0
         return out
 
 
@@ -134,8 +131,9 @@ def token_pieces(
         step = 4 * capacity
         for part in slices(batches):
             rows: list[tuple] = []
-            for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                coded = words.ids(text) + end
+            coded_texts = words.ids(part.column("text").to_pylist())
+            for doc, coded in zip(part.column("doc_id").to_pylist(), coded_texts, strict=True):
+                coded += end
                 for n, at in enumerate(range(0, len(coded), step)):
                     ids = coded[at : at + step]
                     rows.append((doc, n, at // 4, len(ids) // 4, zlib.crc32(ids), *[ids] * with_ids))
