@@ -1,11 +1,12 @@
 """Personal data: fixed patterns, and terms that reveal whom they stand beside.
 
 Every match of a pattern is a mention of a protected entity. The words around it are its
-context; over all distinct contexts of the corpus the pointwise mutual information of a term
+context; over all distinct texts of the corpus the pointwise mutual information of a term
 and an entity, as a share of the entity's own information, says how much of the entity the
-term discloses: 1 when the term occurs beside no other. Terms over the upper threshold are
-removed, those over the lower one generalised. Copies of a context count once, and a term
-must be met beside the entity in several contexts. Only native functions run.
+term discloses: 1 when the term occurs in no text without standing beside the entity. Terms
+over the upper threshold are removed, those over the lower one generalised, wherever they
+stand in the corpus. Copies of a text count once, and a term must be met beside the entity in
+several distinct contexts. Only native functions run.
 """
 
 from __future__ import annotations
@@ -91,25 +92,50 @@ def contexts(rows: DataFrame) -> DataFrame:
     return terms.select("text_key", "entity", context, F.inline(F.concat(left, right)))
 
 
-def disclosures(terms: DataFrame) -> DataFrame:
-    """entity, term, level ("general" or "removed") of the terms that disclose too much."""
-    places = terms.select("entity", "context").distinct()
-    of_entity = places.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    total = places.agg(F.count("*").alias("n"))  # one row
-    seen = terms.select("entity", "context", "term").distinct()
-    of_term = seen.groupBy("term").agg(F.count("*").alias("n_term"))
-    both = seen.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
-    rows = both.join(of_entity, "entity").join(of_term, "term").crossJoin(F.broadcast(total))
-    information = F.log2(F.col("n") / F.col("n_entity"))
-    mutual = F.log2(F.col("n_both") * F.col("n") / (F.col("n_term") * F.col("n_entity")))
-    share = F.when(information > 0, mutual / information)
-    level = F.when(share >= REMOVED, "removed").when(share >= GENERALISED, "general")
-    return rows.select("entity", "term", level.alias("level")).where("level is not null")
+def words_of(texts: DataFrame) -> DataFrame:
+    """text_key, term: the different terms of each text. ``texts``: text_key, text."""
+    every = F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower)
+    return texts.select("text_key", F.explode(F.array_distinct(every)).alias("term"))
 
 
-def added_spans(terms: DataFrame) -> DataFrame:
-    """text_key, added: the sorted spans of disclosing terms of each text that has any."""
-    hits = terms.join(disclosures(terms), ["entity", "term"])
+def disclosures(terms: DataFrame, texts: DataFrame) -> DataFrame:
+    """term, level ("general" or "removed") of the terms that disclose too much of any entity.
+    ``terms``: what ``contexts`` gives. ``texts``: text_key, text of all distinct texts, over
+    which the terms are counted, whether or not they stand beside a mention."""
+    of_entity = terms.groupBy("entity").agg(F.count_distinct("text_key").alias("n_entity"))
+    total = texts.agg(F.count("*").alias("n"))  # one row
+    of_term = words_of(texts).groupBy("term").agg(F.count("*").alias("n_word"))
+    seen = terms.groupBy("entity", "term").agg(
+        F.count_distinct("context").alias("n_contexts"), F.count_distinct("text_key").alias("n_both")
+    )
+    both = seen.where(F.col("n_contexts") >= SUPPORT)
+    rows = both.join(of_entity, "entity").join(of_term, "term", "left").crossJoin(F.broadcast(total))
+    # A part of a word that a mention cuts is a term beside it and no word of the text.
+    n_term = F.greatest("n_word", "n_both")
+    information = F.log2(F.col("n") / F.col("n_entity"))
+    mutual = F.log2(F.col("n_both") * F.col("n") / (n_term * F.col("n_entity")))
+    share = F.when(information > 0, mutual / information)
+    highest = rows.select("term", share.alias("share")).groupBy("term").agg(F.max("share").alias("share"))
+    level = F.when(F.col("share") >= REMOVED, "removed").when(F.col("share") >= GENERALISED, "general")
+    return highest.select("term", level.alias("level")).where("level is not null")
+
+
+def added_spans(terms: DataFrame, texts: DataFrame) -> DataFrame:
+    """text_key, added: the sorted spans of disclosing terms of each text that has any, at every
+    place in the text. Places are looked for only in texts that have such a term."""
+    levels = stored(disclosures(terms, texts))
+    pairs = F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("levels")
+    told = stored(words_of(texts).join(levels, "term").groupBy("text_key").agg(pairs))
+    rows = with_spans(texts.join(told, "text_key"), [Kind("term", TERM, lambda hit: F.lit(True))])
+    level_of = lambda s: F.try_element_at("levels", F.lower(s["hit"]))
+    # Not a column of spans: Spark would infer a filter on it and repeat all of its expressions.
+    here = F.transform(
+        F.filter("_s_term", lambda s: level_of(s).isNotNull()),
+        lambda s: F.struct(F.lower(s["hit"]).alias("term"), s["start"].alias("at"), s["end"].alias("to"), level_of(s).alias("level")),
+    )
+    places = rows.select("text_key", F.inline(here))
+    beside = terms.join(levels, "term").select("text_key", "term", "at", "to", "level")
+    hits = places.union(beside)
     order = len(BASE) + F.when(F.col("level") == "removed", 1).otherwise(0)
     span = F.struct(
         F.col("at").alias("start"), order.alias("ord"), F.col("level").alias("kind"), F.col("to").alias("end"), F.col("term").alias("hit")
@@ -137,7 +163,9 @@ def found(docs: DataFrame) -> DataFrame:
         ),
     )
     rows = stored(rows.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_key"), "base", mention.alias("mentions")))
-    added = added_spans(stored(contexts(rows.select("text_key", "mentions"))))
+    keyed = texts_of(docs).select(F.md5(F.col("text").cast("binary")).alias("text_key"), "text")
+    texts = stored(keyed.groupBy("text_key").agg(F.first("text").alias("text")))
+    added = added_spans(stored(contexts(rows.select("text_key", "mentions"))), texts)
     none = F.expr(f"cast(array() as {SPAN})")
     return rows.join(added, "text_key", "left").select(
         "doc_id", "text_key", "base", F.sort_array(F.concat("base", F.coalesce("added", none))).alias("spans")

@@ -200,6 +200,24 @@ def test_disclosing_terms(spark):
     assert "Kowalski" not in clean[0] and "<email>" in clean[0] and "team" in clean[0]
 
 
+def test_disclosing_terms_are_marked_wherever_they_stand(spark):
+    far = " and so on" * 20
+    rows = [(i, f"case {i} of Kowalski with plain words by k@x.example.org{far} so says KOWALSKI{i % 2 * ' again'}") for i in range(6)]
+    rows += [(10 + i, f"plain words on item {i} and so on") for i in range(400)]  # common, never beside a mention
+    rows.append((900, "nobody to write to, yet Kowalski is named"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans.split(",") for r in pii.private_digest(docs).collect()}
+    for doc, text in rows[:6] + rows[-1:]:
+        for m in re.finditer("(?i)kowalski", text):
+            assert f"removed:{m.start()}:{m.end()}" in found[doc]
+        if "plain" in text:
+            at = text.index("plain")
+            assert not any(s.endswith(f":{at}:{at + 5}") for s in found[doc])
+    assert all(found[10 + i] == [""] for i in range(400))
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert not any("kowalski" in t.lower() for t in clean.values()) and "plain words" in clean[0]
+
+
 def test_long_runs_stay_linear(spark):
     texts = ["a" * 200_000, "1" * 200_000, "a@" + "b." * 50_000 + "c", "+1" * 50_000, "token " * 20_000]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
