@@ -24,8 +24,9 @@ SKETCH_K = 2048
 MIN_GROUP = 100
 #: A ratio over q75 + REACH * max(q75 - q25, least spread) is out of range.
 REACH = 6.0
-#: Ratio: least spread, so that a group of near-equal values rejects no ordinary text.
-LEAST_SPREAD = {"symbols": 0.05, "word_length": 0.5, "dup_lines": 0.1, "repeats": 0.05}
+#: Ratio: least spread, so that a group of near-equal values rejects no ordinary text. Where
+#: texts hardly repeat themselves, the limit of repeats lies at 0.12, well below the fixed 0.3.
+LEAST_SPREAD = {"symbols": 0.05, "word_length": 0.5, "dup_lines": 0.05, "repeats": 0.02}
 #: Ratios that are also too low below q25 - REACH * spread.
 TWO_SIDED = ("word_length",)
 

@@ -139,6 +139,26 @@ def test_quality_limits_are_the_groups_quartiles(spark):
         assert rows[r.doc_id].kept == (not out and not rows[r.doc_id].base_failed)
 
 
+def test_each_ratio_alone_rejects(spark):
+    def plain(i: int) -> list[str]:
+        return [f"w{i}x{k}" for k in range(200)]
+
+    repeats = plain(1000)[:180] + [f"w{k % 10}" for k in range(20)] * 2  # 40 of 220 words
+    lines = "\n".join(" ".join(plain(1001 + k)[:9]) for k in range(6)) + "\nsame\nsame\nsame\nsame\nsame"
+    planted = {
+        "symbols": " ".join(w + "#" * (k < 120) for k, w in enumerate(plain(1010))),
+        "word_length": " ".join("a" * 30 + w for w in plain(1011)),
+        "dup_lines": lines,
+        "repeats": " ".join(repeats),
+    }
+    rows = [(i, " ".join(plain(i)), "en", "s") for i in range(150)]
+    rows += [(1000 + k, text, "en", "s") for k, text in enumerate(planted.values())]
+    found = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(found[i].kept for i in range(150))
+    for k, name in enumerate(planted):
+        assert not found[1000 + k].base_failed and not found[1000 + k].kept, name
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
