@@ -71,8 +71,14 @@ def class_of(some: np.ndarray) -> bytes:
     return hashlib.blake2b(some.tobytes(), digest_size=16).digest()
 
 
+def text_key() -> Column:
+    """Digest of the text, empty for a null one. With the doc_id it tells rows apart whose id is
+    null or met with several texts; rows with both the same are copies."""
+    return F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")).alias("text_key")
+
+
 def summaries(docs: DataFrame, runs: int) -> DataFrame:
-    """doc_id, node (digest of the set, null without words), size, sketch, paths."""
+    """doc_id, text_key, node (digest of the set, null without words), size, sketch, paths."""
     salts = mixed(np.arange(1, runs + 1, dtype=np.uint64))
     share = SAMPLED * UNDER / OVER
 
@@ -97,15 +103,17 @@ def summaries(docs: DataFrame, runs: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    part.column("text_key"),
                     pa.array([class_of(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array(sizes.astype(np.int32)),
                     pa.array([embedding(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                     paths,
                 ],
-                ["doc_id", "node", "size", "sketch", "paths"],
+                ["doc_id", "text_key", "node", "size", "sketch", "paths"],
             )
 
-    return texts_of(docs).mapInArrow(run, "doc_id long, node binary, size int, sketch binary, paths array<long>")
+    rows = texts_of(docs.select("doc_id", "text", text_key()), "text_key")
+    return rows.mapInArrow(run, "doc_id long, text_key string, node binary, size int, sketch binary, paths array<long>")
 
 
 def leaves(nodes: DataFrame) -> DataFrame:
@@ -302,7 +310,7 @@ def verified(rows: DataFrame) -> DataFrame:
 
 
 def elements_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, elements: the sets of the wanted classes (doc_id, node), from one text of each."""
+    """node, elements: the sets of the wanted classes (doc_id, text_key, node), from one text of each."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -312,45 +320,53 @@ def elements_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             names, out = zip(*hits, strict=True) if hits else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(out, pa.binary())], ["node", "elements"])
 
-    wanted = wanted.withColumnRenamed("doc_id", "_doc")
-    rows = texts_of(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("node", "text")
+    wanted = wanted.withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
+    rows = texts_of(docs.select("doc_id", "text", text_key()), "text_key")
+    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))).select("node", "text")
     return rows.mapInArrow(run, "node binary, elements binary").groupBy("node").agg(F.first("elements").alias("elements"))
 
 
-def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id, copy_id, n_links for every document.
-
-    Documents are linked when the Jaccard similarity of their sets is 0.8 or more. n_links is
-    the number of other documents linked to it, copies among them; copy_id the least doc_id with
-    the same set; class_id the least doc_id that links lead to, over any number of steps.
-    A text of one to four words is one run of all its words. Null texts and texts without words
-    link to nothing and are classes of their own. Repeated rows are documents of their own. A
-    class whose ids are all null has a null id. An empty table gives no rows.
-    """
+def classes_of(docs: DataFrame, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The summaries, and for each set node, the least doc_id (null only if all are) with its
+    text_key, copies, links and root, the node that names its class."""
     rows = stored(summaries(docs, runs_for(recall)))
-    nodes = stored(
+    nodes = (
         rows.where("node is not null")
         .groupBy("node")
         .agg(
-            F.min("doc_id").alias("doc_id"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("least"),
             F.count("*").alias("copies"),
             F.first("size").alias("size"),
             F.first("sketch").alias("sketch"),
             F.first("paths").alias("paths"),
         )
     )
+    nodes = stored(nodes.select("node", "least.doc_id", "least.text_key", "copies", "size", "sketch", "paths"))
     leaf = stored(leaves(nodes.select("node", "sketch", "paths")))
     lists = leaf.groupBy("node").agg(F.sort_array(F.collect_list("leaf")).alias("list"))
     carried = nodes.select("node", "size", "sketch").join(lists, "node")
     chosen = stored(candidates(blocked(leaf.join(carried, "node"))))
     wanted = chosen.select("node").distinct()
-    sets = stored(elements_of(docs, nodes.select("doc_id", "node").join(wanted, "node")))
+    sets = stored(elements_of(docs, nodes.select("doc_id", "text_key", "node").join(wanted, "node")))
     bodies = sets.join(nodes.select("node", "copies"), "node")
     links = stored(verified(chosen.join(bodies, "node")))
     root = components(links.select(F.col("node").alias("a"), F.col("peer").alias("b")))
     totals = links.groupBy("node").agg(F.sum("links").alias("links"))
-    named = nodes.select("node", "doc_id", "copies").join(totals, "node", "left").join(root, "node", "left")
-    named = stored(named.withColumn("root", F.coalesce("root", "node")))
+    named = nodes.select("node", "doc_id", "text_key", "copies").join(totals, "node", "left").join(root, "node", "left")
+    return rows, stored(named.withColumn("root", F.coalesce("root", "node")))
+
+
+def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id, copy_id, n_links for every document.
+
+    Documents are linked when the Jaccard similarity of their sets is 0.8 or more. n_links is
+    the number of other documents linked to it, copies among them; copy_id the least doc_id with
+    the same set; class_id the least doc_id that links lead to, over any number of steps.
+    A text of one to four words is one run of all its words. Null texts and texts without words
+    link to nothing and are classes of their own. Repeated rows are documents of their own. A
+    class whose ids are all null has a null id. An empty table gives no rows.
+    """
+    rows, named = classes_of(docs, recall)
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     classes = named.join(least, "root").select(
         "node",
@@ -367,15 +383,23 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents (columns doc_id, text, lang, source, n_chars) of which one stays for each
-    class: the one with the least doc_id, and of rows with that id and one text any."""
+    class: the one with the least doc_id (null comes last), and of rows with that id and one
+    text any. Rows are told apart by id and text, never by id alone. Texts without words are
+    classes of their own; of such rows with one id and one text one stays."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    drop = near_duplicates(docs).where("not (doc_id <=> class_id)").select(F.col("doc_id").alias("_doc"))
+    rows, named = classes_of(docs, RECALL)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "text_key")
+    stays = named.groupBy("root").agg(F.min(place).alias("least"))
+    stays = stays.select(F.col("least.doc_id").alias("_doc"), F.col("least.text_key").alias("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
+    every = rows.where("node is not null").select("doc_id", "text_key").distinct()
+    names = {"doc_id": "_doc", "text_key": "_key"}
     # Written tables, so their sizes are known and small ones are broadcast.
-    drop = stored(drop.distinct())
-    again = stored(docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_doc")))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc"))
-    kept = docs.select(*columns).join(drop, same, "left_anti")
+    drop = stored(every.join(stays, same, "left_anti").withColumnsRenamed(names))
+    again = rows.groupBy("doc_id", "text_key").count().where("count > 1").drop("count")
+    again = stored(again.withColumnsRenamed(names))
+    kept = docs.select(*columns, text_key()).join(drop, same, "left_anti")
     if again.isEmpty():
-        return kept
-    repeated = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(again, same, "left_anti").union(repeated)
+        return kept.select(*columns)
+    repeated = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return kept.join(again, same, "left_anti").union(repeated).select(*columns)

@@ -94,6 +94,24 @@ def test_one_document_of_each_class_stays(spark):
     assert {r.doc_id for r in jaccard.one_of_each(given).collect()} == stay
 
 
+def test_rows_are_told_apart_by_id_and_text(spark):
+    def words(name: str, changed: int = -1) -> str:
+        return " ".join(f"{name}{k}" if k != changed else "other" for k in range(120))
+
+    rows = [
+        (1, words("a")), (None, words("a", 60)),  # a near copy without an id
+        (None, words("b")), (None, None),  # unique, without an id
+        (2, words("a")), (2, words("c")),  # one id: a copy and a unique text
+        (None, words("d")), (None, words("d", 60)), (None, words("d") + " "),  # a class with only null ids
+        (3, words("e")), (3, words("e")),  # a repeated row
+    ]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in jaccard.one_of_each(docs).collect()]
+    of_d = [k for k in kept if k[1] and k[1].startswith("d0 ")]
+    assert len(of_d) == 1 and of_d[0][0] is None
+    assert cases.same([k for k in kept if k not in of_d], [(1, words("a")), (None, words("b")), (None, None), (2, words("c")), (3, words("e"))])
+
+
 def test_recall_follows_the_target():
     assert jaccard.runs_for(0.999) > jaccard.runs_for(0.9)
     for level in range(1, jaccard.LEVELS + 1):
