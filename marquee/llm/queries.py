@@ -5,11 +5,27 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, classifier, jaccard, language, ordermh, packing, pii, quality, secrets, sharding, sql
+from marquee.llm import (
+    bpe,
+    classifier,
+    divergence,
+    jaccard,
+    language,
+    negatives,
+    ordermh,
+    packing,
+    pii,
+    quality,
+    secrets,
+    sentencepieces,
+    sharding,
+    sql,
+)
 from marquee.llm.common import documents, query
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 @query("op4_bpe_round_trip")
@@ -61,3 +77,18 @@ def op1_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_disclosure_scan", sql.PRIVATE)
 def op10_disclosure_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.private_digest(documents(spark, sf_dir))
+
+
+@query("op11_source_divergence", sql.DIVERGENCE)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
+@query("op12_sentencepiece_round_trip")
+def op12_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.round_trip(documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE))
+
+
+@query("op13_hard_negatives", sql.NEGATIVES)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from marquee.llm import pii, quality, secrets
+import string
+
+from marquee.llm import divergence, negatives, pii, quality, secrets
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}'), lambda x: x <> '')"
@@ -173,6 +175,49 @@ def _private() -> str:
     """
 
 
+_GAP = "({0} - {1}) * ({0} - {1}) // {1}"
+
+DIVERGENCE = f"""
+    with d as (select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+            regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+        t as (select id, lang, source, unnest(terms) as term from d),
+        kept as (select lang, term, count(*) as n from t group by 1, 2 having count(distinct id) >= {divergence.MIN_DOCS}),
+        v as (select lang, count(*) as v, sum(n) as total from kept group by 1),
+        g as (select distinct lang, source from d),
+        c as (select lang, source, term, count(*) as n from t semi join kept using (lang, term) group by 1, 2, 3),
+        total as (select lang, source, coalesce(sum(n), 0) as total from g left join c using (lang, source) group by 1, 2),
+        p as (select total.lang, total.source, kept.term, coalesce(c.n, 0) as n,
+                1 + {divergence.UNIT}::hugeint * (coalesce(c.n, 0) + 1) // (total.total + v) as p,
+                1 + {divergence.UNIT}::hugeint * (kept.n + 1) // (v.total + v) as q
+            from total join v using (lang) join kept using (lang) left join c using (lang, source, term)),
+        every as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sum({_GAP.format("x.p", "y.p")}), 0) as value
+            from g a join g b on a.lang = b.lang and a.source <> b.source
+                left join p x on x.lang = a.lang and x.source = a.source
+                left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term
+            group by all
+            union all select lang, source, 'term', term, {_GAP.format("p", "q")} from p where n > 0 and p > q)
+    select lang, source, part, item, value::bigint as value,
+        row_number() over (partition by lang, source, part order by value desc, item) as rank
+    from every qualify part = 'pair' or rank <= {divergence.TOP_TERMS}
+"""
+
+NEGATIVES = f"""
+    with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor({negatives.FACTOR} * x::double)::bigint) as q from embeddings
+            where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select a.vec_id as anchor_id, v.vec_id, a.label = v.label as same,
+                list_sum(list_transform(range(1, len(v.q) + 1), lambda i: a.q[i] * v.q[i]))::bigint as score
+            from v a join v on a.vec_id <> v.vec_id where a.vec_id % 100 = 0),
+        pos as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {negatives.POSITIVES})
+    select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as rank,
+        vec_id as negative_id, positive_score, score as negative_score
+    from pos join s using (anchor_id)
+    where not same and {10 * negatives.EASIEST} * positive_score <= 100 * score and 100 * score <= {10 * negatives.HARDEST} * positive_score
+    qualify rank <= {negatives.NEGATIVES}
+"""
+
 SECRETS = _secrets()
 QUALITY = _quality()
 PRIVATE = _private()
