@@ -8,17 +8,19 @@ all terms without a count in a group would add is one number for the group.
 
 from __future__ import annotations
 
-import string
+import zlib
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import scratch_path, stored
+from marquee.llm.common import scratch_path, slices, stored, utf8
+from marquee.llm.hashing import mixed, power_tables, running_hashes
 
-# What separates terms, and the unit of a share.
-NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# Fixed value: the unit of a share.
 UNIT = 1_000_000_000
 
 MIN_DOCS = 3
@@ -26,37 +28,81 @@ MOST_TERMS = 2**31 - 1
 TOP_TERMS = 200
 #: Terms, told apart by language, that one fit may meet: what bounds the vocabulary that a fit
 #: holds on the driver and sends with its tasks.
-FIT_TERMS = 400_000
-
-
-def _in_groups(terms: Column, bins: int) -> Column:
-    """The terms of a row as one list for each bin of their hash that occurs."""
-    bin_of = lambda t: F.pmod(F.xxhash64(t), F.lit(bins)).cast("int")
-    keyed = F.array_sort(F.transform(terms, lambda t: F.struct(bin_of(t).alias("bin"), t.alias("term"))))
-    at = lambda x, i: F.get(x, i)["bin"]
-    return F.transform(
-        F.array(keyed),
-        lambda x: F.transform(
-            F.array(F.filter(F.sequence(F.lit(0), F.size(x)), lambda i: ~at(x, i).eqNullSafe(at(x, i - 1)))),
-            lambda edges: F.zip_with(
-                F.slice(edges, 1, F.greatest(F.size(edges) - 1, F.lit(0))),
-                F.slice(edges, 2, F.greatest(F.size(edges) - 1, F.lit(0))),
-                lambda a, b: F.struct(
-                    at(x, a).alias("bin"), F.transform(F.slice(x, a + 1, b - a), lambda t: t["term"]).alias("terms")
-                ),
-            ),
-        )[0],
-    )[0]
+FIT_TERMS = 1_000_000
+#: Bytes of text that are taken apart at a time: arrays small enough to stay in cache.
+SLICE_BYTES = 1 << 19
+
+
+#: What a byte of a text becomes: capitals their small letters, all that separates a space.
+LETTERS = np.full(256, 32, np.uint8)
+LETTERS[128:] = np.arange(128, 256)
+for _first in (65, 97):
+    LETTERS[_first : _first + 26] = np.arange(97, 123)
+
+
+def _terms(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, first and last places of all terms of a batch, the row of each, and its hash."""
+    data, bounds = utf8(part.column("text"))
+    data = LETTERS[data]
+    inside = data != 32
+    before, after = np.roll(inside, 1), np.roll(inside, -1)
+    edges = bounds[(bounds > 0) & (bounds < len(data))]
+    before[edges], before[:1] = False, False
+    after[edges - 1], after[-1:] = False, False
+    starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    rows = np.searchsorted(bounds, starts, side="right") - 1
+    sums = running_hashes(data)
+    hashes = mixed((sums[ends] - sums[starts]) * power_tables(len(data))[1][starts])
+    langs = {lang: np.uint64(zlib.crc32(lang.encode()) + 1) for lang in set(part.column("lang").to_pylist())}
+    salts = np.array([langs[lang] for lang in part.column("lang").to_pylist()], np.uint64)
+    return data, starts, ends, rows, mixed(hashes ^ mixed(salts[rows]))
+
+
+def _lists(part: pa.RecordBatch, bins: int) -> pa.RecordBatch:
+    """A row for each row and bin that has terms, every term followed by a space and its lang."""
+    data, starts, ends, rows, hashes = _terms(part)
+    group = rows * bins + (hashes % np.uint64(bins)).astype(np.int64)
+    order = np.argsort(group, kind="stable") if bins > 1 else np.arange(len(group))
+    group, starts, ends, rows = group[order], starts[order], ends[order], rows[order]
+    # Copies of all terms and tails in one buffer: term i goes to place at[i], its tail behind it.
+    tails, edges = utf8(pa.array([f" {lang}" for lang in part.column("lang").to_pylist()]))
+    pools = np.concatenate([data, tails])
+    firsts = np.stack([starts, len(data) + edges[rows]], axis=1).ravel()
+    sizes = np.stack([ends - starts, edges[rows + 1] - edges[rows]], axis=1).ravel()
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    buffer = pools[np.repeat(firsts - at[:-1], sizes) + np.arange(at[-1])]
+    words = pa.LargeStringArray.from_buffers(len(rows), pa.py_buffer(at[::2].astype(np.int64)), pa.py_buffer(buffer))
+    new = np.flatnonzero(np.diff(group, prepend=-1))
+    lists = pa.LargeListArray.from_arrays(pa.array(np.append(new, len(group)), pa.int64()), words)
+    source = part.column("source").take(pa.array(rows[new]))
+    return pa.RecordBatch.from_arrays(
+        [source, pa.array((group[new] % bins).astype(np.int32)), lists.cast(pa.list_(pa.string()))], ["source", "bin", "terms"]
+    )
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")))
+
+
+def term_lists(docs: DataFrame, bins: int = 1) -> DataFrame:
+    """source, bin and terms of each text: its terms by bins of their hash, each followed by a
+    space and the lang of the text. Texts without terms have no row."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, SLICE_BYTES):
+            yield _lists(part, bins)
+
+    return _rows(docs).mapInArrow(run, "source string, bin int, terms array<string>")
+
+
+def distinct_terms(docs: DataFrame) -> int:
+    """About how many terms there are, those of each lang for themselves."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, SLICE_BYTES):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_terms(part)[4]).view(np.int64))], ["term"])
 
-def term_lists(docs: DataFrame) -> DataFrame:
-    """lang, source and the terms of each text, every term followed by a space and its lang."""
-    empty = lambda c: F.coalesce(F.col(c), F.lit(""))
-    lowered = F.translate(empty("text"), string.ascii_uppercase, string.ascii_lowercase)
-    terms = F.array_remove(F.split(lowered, NOT_TERM), "")
-    rows = docs.select(empty("lang").alias("lang"), empty("source").alias("source"), terms.alias("terms"))
-    of_lang = F.concat(F.lit(" "), F.col("lang"))
-    return rows.withColumn("terms", F.transform("terms", lambda t: F.concat(t, of_lang)))
+    return _rows(docs).mapInArrow(run, "term long").agg(F.approx_count_distinct("term")).first()[0]
 
 
 def _group_sums(lists: DataFrame, min_docs: int) -> DataFrame:
@@ -93,20 +139,12 @@ def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fit_terms: int = FIT_
     fit alone.
     """
     spark = docs.sparkSession
-    lists = stored(term_lists(docs))
-    distinct = lists.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
-    bins = max(1, -(-distinct // fit_terms))
-    path = scratch_path(spark)
-    if bins > 1:
-        dealt = scratch_path(spark)
-        parts = lists.select("source", F.inline(_in_groups(F.col("terms"), bins)))
-        parts.write.partitionBy("bin").parquet(dealt)
-        every = spark.read.parquet(dealt)
-        frames = [every.where(F.col("bin") == b).select("source", "terms") for b in range(bins)]
-    else:
-        frames = [lists.select("source", "terms")]
-    for frame in frames:  # one after the other: the driver holds one vocabulary at a time
-        _group_sums(frame, min_docs).write.mode("append").parquet(path)
+    bins = max(1, -(-distinct_terms(docs) // fit_terms))
+    path, dealt = scratch_path(spark), scratch_path(spark)
+    term_lists(docs, bins).write.partitionBy("bin").parquet(dealt)
+    lists = spark.read.schema("source string, terms array<string>, bin int").parquet(dealt)
+    for turn in range(bins):  # one after the other: the driver holds one vocabulary at a time
+        _group_sums(lists.where(F.col("bin") == turn), min_docs).write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
 

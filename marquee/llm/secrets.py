@@ -1,11 +1,12 @@
 """Secret scan: fixed patterns, and windows of high Shannon entropy in candidate strings.
 
-A candidate is a whole run of 20 or more characters that keys are written in, with at least
-one digit. Its class sets the alphabet and the threshold: lower-case hex, upper-case hex, or
-any (base64 and alike). A window of 20 characters slides over it; the counts of the window's
-characters, and with them the sum of c*log2(c), change by the character that enters and the
-one that leaves. What the windows over the threshold cover is a span, unless an allow-list
-names the candidate as harmless. Only native functions run.
+A candidate is a whole run of 20 or more characters that keys are written in. Stretches that an
+allow-list names (placeholders, runs of one character, counting) suppress the windows that
+touch them: they cut the run into parts. A part's class sets the alphabet and the threshold:
+lower-case hex, upper-case hex, letters without a digit, or any (base64 and alike). A window of
+20 characters slides over it; the counts of the window's characters, and with them the sum of
+c*log2(c), change by the character that enters and the one that leaves. What the windows over
+the threshold cover is a span, unless the part as a whole is harmless. Only native functions run.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import texts_of
-from marquee.llm.spans import SPAN, Kind, count_of, joined, replaced, with_spans
+from marquee.llm.spans import SPAN, Kind, bound, count_of, joined, replaced, with_spans
 
 BASE = (
     Kind(
@@ -30,28 +31,41 @@ BASE = (
 )
 
 WINDOW = 20
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}"
-#: Class: its test, alphabet and least bits a character in a window.
+SIGNS = "A-Za-z0-9+/_=-"
+#: Class: its test, alphabet and least bits a character in a window. Letters alone must look
+#: more random than letters with digits: words joined in mixed case come near.
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CLASSES = (
     ("entropy_hex", r"^[0-9a-f]+$", "0123456789abcdef", 3.0),
     ("entropy_upper_hex", r"^[0-9A-F]+$", "0123456789ABCDEF", 3.0),
-    ("entropy_any", None, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.75),
+    ("entropy_letters", r"^[^0-9]+$", LETTERS, 4.05),
+    ("entropy_any", None, LETTERS, 3.75),
 )
-#: Harmless candidates: numbers with separators, UUIDs, placeholders, runs of one character,
-#: alphabets and counting, file paths and slugs of plain words with a number at the end.
+#: Stretches whose windows are suppressed, besides eight and more equal characters.
+QUIET = r"(?i:example|sample|placeholder|dummy|changeme|your[_-]?key|abcdefgh|01234567|12345678|qwerty)"
+#: Harmless parts: numbers with separators, UUIDs, file paths and slugs of plain words, each in
+#: lower case, upper case or capitalised, with a number at the end.
 ALLOWED = (
     r"^[0-9/_=+-]+$",
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"(?i)(example|sample|placeholder|dummy|changeme|your[_-]?key)",
-    r"(.)\1{7}",
-    r"(?i)(abcdefgh|01234567|12345678|qwerty)",
-    r"^[A-Za-z]+([/_=+-][A-Za-z]+)*[/_=+-]?[0-9]{0,4}$",
+    r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+    r"^[/_=+-]*+(?:(?:[A-Z]?[a-z]++|[A-Z]++)[/_=+-]++)*+(?:[A-Z]?[a-z]++|[A-Z]++)?[/_=+-]?[0-9]{0,4}$",
 )
 
 
+def quiet(group: int) -> str:
+    """Stretches that suppress; ``group`` is the number that the capturing group in it gets."""
+    return rf"{QUIET}|([{SIGNS}])\{group}{{7,}}"
+
+
+#: The parts of a long run one by one, suppressing stretches among them: from the start of the
+#: run, or from the end of the part before.
+PART = rf"(?:(?<![{SIGNS}])(?=[{SIGNS}]{{{WINDOW}}})|\G(?<=[{SIGNS}]))(?:{quiet(1)}|(?:(?!{quiet(2)})[{SIGNS}])++)"
+
+
 def entropy_span(hit: Column, alphabet: str, least: float, window: int = WINDOW) -> Column:
     """struct(first, last): start of the first and end of the last window over ``least`` bits;
-    first is -1 when there is none."""
+    first is -1 when there is none. The string is taken apart once; each step looks at the
+    counts of the character that enters and the one that leaves."""
     share = [c * math.log2(c) if c else 0.0 for c in range(window + 2)]
     table = F.array(*(F.lit(x) for x in share))
     zeros = F.array_repeat(F.lit(0), len(alphabet))
@@ -59,32 +73,33 @@ def entropy_span(hit: Column, alphabet: str, least: float, window: int = WINDOW)
         zeros.alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last")
     )
 
-    def code(i: Column) -> Column:
-        return F.when(i >= 0, F.instr(F.lit(alphabet), F.substring(hit, i + 1, F.lit(1))) - 1).otherwise(-1)
-
-    def step(a: Column, i: Column) -> Column:
-        return slid(a, i, code(i), code(i - window))
+    def steps(codes: Column) -> Column:
+        left = lambda i: F.when(i >= window, F.get(codes, i - window)).otherwise(-1)
+        return F.transform(codes, lambda c, i: F.struct(c.alias("enters"), left(i).alias("leaves"), i.alias("i")))
 
-    def slid(a: Column, i: Column, enters: Column, leaves: Column) -> Column:
-        counts = F.when(leaves < 0, a["counts"]).otherwise(
-            F.transform(a["counts"], lambda c, j: c - (j == leaves).cast("int"))
-        )
-        gone = F.get(a["counts"], leaves)
-        less = F.when(leaves < 0, a["sum"]).otherwise(
-            a["sum"] - F.get(table, gone) + F.get(table, gone - 1)
-        )
+    def slid(a: Column, x: Column) -> Column:
+        enters, leaves = x["enters"], x["leaves"]
+        gone = F.get(a["counts"], leaves)  # null while nothing leaves
         had = F.get(a["counts"], enters) - (leaves == enters).cast("int")
-        total = less - F.get(table, had) + F.get(table, had + 1)
-        high = (i >= window - 1) & (F.lit(math.log2(window)) - total / window >= least)
+        total = a["sum"] - F.coalesce(F.get(table, gone) - F.get(table, gone - 1), F.lit(0.0)) + F.get(table, had + 1) - F.get(table, had)
+        counts = F.transform(a["counts"], lambda c, j: c + (j == enters).cast("int") - (j == leaves).cast("int"))
+        return F.struct(counts.alias("counts"), total.alias("sum"), a["first"], a["last"])
+
+    def marked(a: Column, x: Column) -> Column:
+        high = (x["i"] >= window - 1) & (F.lit(math.log2(window)) - a["sum"] / window >= least)
         return F.struct(
-            F.transform(counts, lambda c, j: c + (j == enters).cast("int")).alias("counts"),
-            total.alias("sum"),
-            F.when(high & (a["first"] < 0), i - window + 1).otherwise(a["first"]).alias("first"),
-            F.when(high, i + 1).otherwise(a["last"]).alias("last"),
+            a["counts"],
+            a["sum"],
+            F.when(high & (a["first"] < 0), x["i"] - window + 1).otherwise(a["first"]).alias("first"),
+            F.when(high, x["i"] + 1).otherwise(a["last"]).alias("last"),
         )
 
+    codes = F.transform(F.split(hit, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
     return F.aggregate(
-        F.sequence(F.lit(0), F.length(hit) - 1), start, step, lambda a: F.struct(a["first"], a["last"])
+        bound(codes, steps),
+        start,
+        lambda a, x: bound(slid(a, x), lambda new: marked(new, x)),
+        lambda a: F.struct(a["first"], a["last"]),
     )
 
 
@@ -95,19 +110,25 @@ def allowed(hit: Column) -> Column:
     return out
 
 
+def rated(part: Column) -> Column:
+    """Whether a part is long enough, does not suppress and is not harmless as a whole."""
+    return (F.length(part) >= WINDOW) & ~part.rlike(f"^(?:{quiet(1)})$") & ~allowed(part)
+
+
 def scan(docs: DataFrame, *columns: str) -> DataFrame:
     """doc_id, text, the named columns, ``base`` and ``spans``: sorted arrays of spans.
 
     Null texts count as empty; both give no spans. Rows are independent: repeated rows and
-    null ids stay, an empty table gives no rows. Whole texts are scanned, in time that grows
-    with their length. Added spans may overlap base ones, which always stay.
+    null ids stay, an empty table gives no rows. Whole texts are scanned, very long texts and
+    candidates in time that grows with their length. Added spans may overlap base ones, which
+    always stay.
     """
     df = texts_of(docs, *columns)
     keep = df.columns
-    df = with_spans(df, [*BASE, Kind("candidate", CANDIDATE, lambda hit: ~allowed(hit))])
+    df = with_spans(df, [*BASE, Kind("candidate", PART, rated)])
     found = F.col("_s_candidate")
-    rated = F.transform(found, lambda s: F.struct(s.alias("s"), rate(s["hit"]).alias("r")))
-    df = df.withColumn("_rated", F.when(F.size(found) > 0, rated))
+    rates = F.transform(found, lambda s: F.struct(s.alias("s"), rate(s["hit"]).alias("r")))
+    df = df.withColumn("_rated", F.when(F.size(found) > 0, rates))
     high = F.transform(
         F.filter("_rated", lambda x: x["r"]["at"]["first"] >= 0),
         lambda x: F.struct(

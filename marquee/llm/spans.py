@@ -27,9 +27,14 @@ class Kind:
     group: int = 0
 
 
-def running_sums(values: Column, size: Column) -> Column:
-    """For each place the sum of all values before it. Sums run in blocks, whose own sums run
-    over the blocks, so long arrays cost little more than their length."""
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the value, which is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, size: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each place what ``join`` makes of 0 and all values before it. It runs in blocks, and
+    over the blocks' own results, so long arrays cost little more than their length."""
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor((size - 1) / BLOCK).cast("int")),
         lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK)),
@@ -42,20 +47,25 @@ def running_sums(values: Column, size: Column) -> Column:
             items,
             start,
             lambda a, x: F.struct(
-                (a["total"] + step(x)).alias("total"), F.concat(a["out"], F.array(a["total"])).alias("out")
+                join(a["total"], step(x)).alias("total"), F.concat(a["out"], F.array(a["total"])).alias("out")
             ),
             lambda a: a["out"],
         )
 
     def total(block: Column) -> Column:
-        return F.aggregate(block, F.lit(0), lambda a, x: a + x)
+        return F.aggregate(block, F.lit(0), join)
 
     inner = F.transform(blocks, lambda b: prefix(b, lambda x: x))
     return F.flatten(
-        F.zip_with(inner, prefix(blocks, total), lambda block, before: F.transform(block, lambda x: x + before))
+        F.zip_with(inner, prefix(blocks, total), lambda block, before: F.transform(block, lambda x: join(before, x)))
     )
 
 
+def running_sums(values: Column, size: Column) -> Column:
+    """For each place the sum of all values before it."""
+    return running(values, size, lambda a, x: a + x)
+
+
 def with_spans(df: DataFrame, kinds: Sequence[Kind], text: str = "text", prefix: str = "_s") -> DataFrame:
     """Adds ``<prefix>_<kind>`` columns: arrays of spans, in order. Texts must not be null."""
     empty = F.expr(f"cast(array() as {SPAN})")
@@ -127,18 +137,24 @@ def joined(spans: Column) -> Column:
 
 def replaced(text: Column, spans: Column, label: Callable[[Column], Column]) -> Column:
     """The text with each span replaced by its label; of overlapping spans the later part of a
-    second one goes without a label of its own. Spans must be sorted by start."""
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        gap = F.substring(text, a["at"] + 1, s["start"] - a["at"])
-        out = (
-            F.when(s["start"] >= a["at"], F.concat(a["out"], F.array(gap, label(s))))
-            .otherwise(a["out"])
+    second one goes without a label of its own. Spans must be sorted by start. The text is cut
+    into blocks once, so that the cost of a span does not grow with its place."""
+
+    def between(blocks: Column, first: Column, last: Column) -> Column:
+        at = F.floor(first / BLOCK).cast("int")
+        some = F.slice(blocks, at + 1, F.floor((last - 1) / BLOCK).cast("int") - at + 1)
+        return F.when(first >= last, "").otherwise(F.substring(F.array_join(some, ""), first - at * BLOCK + 1, last - first))
+
+    def built(blocks: Column, spans: Column, ends: Column) -> Column:
+        parts = F.zip_with(
+            spans,
+            ends,
+            lambda s, at: F.when(s["start"] >= at, F.concat(between(blocks, at, s["start"]), label(s))).otherwise(""),
         )
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.alias("out"))
-
-    def end(a: Column) -> Column:
-        return F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text)))
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(parts, ""), between(blocks, last, F.greatest(last, F.length(text))))
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, end))
+    cut = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))  # noqa: UP031
+    after = lambda spans: running(F.transform(spans, lambda s: s["end"]), F.size(spans), F.greatest)
+    whole = bound(cut, lambda b: bound(spans, lambda s: bound(after(s), lambda at: built(b, s, at))))
+    return F.when(F.size(spans) == 0, text).otherwise(whole)

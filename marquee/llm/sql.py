@@ -48,10 +48,12 @@ _ASSIGN = (
 
 
 def _secrets() -> str:
-    allowed = " or ".join(f"regexp_matches(hit, '{p}')" for p in secrets.ALLOWED if r"\1" not in p)
-    repeated = "len(list_filter(list_distinct(string_split(hit, '')), lambda c: contains(hit, repeat(c, 8)))) > 0"
+    plain = lambda p: p.replace("*+", "*").replace("++", "+")  # noqa: E731  SQL's patterns never give back
+    allowed = " or ".join(f"regexp_matches(part, '{plain(p)}')" for p in secrets.ALLOWED)
+    signs = string.ascii_letters + string.digits + "+/_=-"
+    quiet = "|".join([secrets.QUIET, *(f"[{c}]{{8,}}" for c in signs)])
     chosen = " ".join(
-        f"when regexp_matches(hit, '{test}') then {i}" for i, (_, test, _, _) in enumerate(secrets.CLASSES) if test
+        f"when regexp_matches(part, '{test}') then {i}" for i, (_, test, _, _) in enumerate(secrets.CLASSES) if test
     )
     last = len(secrets.CLASSES) - 1
     names = " ".join(f"when {i} then '{n}'" for i, (n, _, _, _) in enumerate(secrets.CLASSES))
@@ -63,10 +65,15 @@ def _secrets() -> str:
         {_span_cte("access", "access", 1, "AKIA[A-Z0-9]+", 0, "length(hit) >= 20")},
         {_span_cte("hex", "hex", 2, "[0-9a-f]+", 0, "length(hit) >= 24")},
         {_span_cte("runs", "", 0, "[A-Za-z0-9+/_=-]+", 0, f"length(hit) >= {width}")},
-        cand as (select *, case {chosen} else {last} end as class from runs
-            where regexp_matches(hit, '[0-9]') and not ({allowed} or {repeated})),
-        win as (select doc_id, a, hit, class, unnest(range(0, length(hit) - {width - 1})) as i from cand),
-        ch as (select doc_id, a, class, i, unnest(string_split(substr(hit, i::integer + 1, {width}), '')) as c from win),
+        cuts as (select doc_id, a, string_split_regex(hit, '{quiet}') as gaps,
+                [length(x) for x in regexp_extract_all(hit, '{quiet}')] as sizes from runs),
+        each as (select doc_id, a, gaps, sizes, unnest(gaps) as part, generate_subscripts(gaps, 1) as i from cuts),
+        parts as (select doc_id, part, a + coalesce(list_sum([length(x) for x in gaps[1:i - 1]]), 0)
+                    + coalesce(list_sum(sizes[1:i - 1]), 0) as a from each),
+        cand as (select doc_id, a, part, case {chosen} else {last} end as class from parts
+            where length(part) >= {width} and not ({allowed})),
+        win as (select doc_id, a, part, class, unnest(range(0, length(part) - {width - 1})) as i from cand),
+        ch as (select doc_id, a, class, i, unnest(string_split(substr(part, i::integer + 1, {width}), '')) as c from win),
         n as (select doc_id, a, class, i, c, count(*) as n from ch group by all),
         h as (select doc_id, a, class, i, -sum(n / {width}.0 * log2(n / {width}.0)) as bits from n group by all),
         high as (select doc_id, a + min(i) as a, 3 + class as o, case class {names} end as kind, a + max(i) + {width} as b, '' as hit
