@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm import classifier, jaccard, packing, quality, secrets
-from marquee.llm.common import documents, stored
+from marquee.llm.common import documents
+from marquee.session import scratch_mark, stored_alone
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -50,8 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents; each stage's rows are written and read again."""
+    """Applies the stages to documents; each stage's rows are written and read again, and what
+    was written before them on the way goes."""
     docs = documents(spark, sf_dir)
+    since = scratch_mark()
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        docs = stored_alone(stage(spark, docs, sf_dir), since)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -18,6 +18,7 @@ __all__ = [
     "documents_by_id",
     "query",
     "scratch_path",
+    "sifted",
     "slices",
     "stored",
     "texts_of",
@@ -82,6 +83,24 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+SIEVE_BITS = 1 << 26
+
+
+def sifted(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """Adds ``maybe``: false only for rows whose key (``columns``, the same in both) is surely not
+    among the keys. A bit for each hash value of a key, 8 MB at most however many keys there
+    are, goes to all tasks; so what a join then has to shuffle are the keys' own rows and the
+    share of others that meet a set bit, not all rows."""
+    place = F.pmod(F.xxhash64(*columns), F.lit(SIEVE_BITS)) + 1
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    bits = keys.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1, F.lit(False))
+    names = rows.columns
+    rows = rows.withColumns({"_place": bucket, "_bit": bit}).join(F.broadcast(bits), F.col("_place") == F.col("_bucket"), "left")
+    return rows.select(*names, maybe.alias("maybe"))
+
+
 RANGE_ROWS = 2000
 MOST_RANGES = 4096
 

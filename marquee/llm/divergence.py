@@ -31,6 +31,8 @@ TOP_TERMS = 200
 FIT_TERMS = 1_000_000
 #: Bytes of text that are taken apart at a time: arrays small enough to stay in cache.
 SLICE_BYTES = 1 << 19
+#: Bytes of sums that a task holds before it hands them on.
+SUM_BYTES = 128 << 20
 
 
 #: What a byte of a text becomes: capitals their small letters, all that separates a space.
@@ -105,21 +107,58 @@ def distinct_terms(docs: DataFrame) -> int:
     return _rows(docs).mapInArrow(run, "term long").agg(F.approx_count_distinct("term")).first()[0]
 
 
+def _summed(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Sums of sparse vectors by source: rows of places and sums, handed on when they take
+    SUM_BYTES. ``size``: how many places there are."""
+    held: dict[str, np.ndarray] = {}
+
+    def rows() -> pa.RecordBatch:
+        filled = {s: np.flatnonzero(x) for s, x in held.items()}
+        places = pa.ListArray.from_arrays(
+            pa.array(np.cumsum([0, *map(len, filled.values())]).astype(np.int32)),
+            pa.array(np.concatenate([*filled.values(), np.zeros(0, np.int64)]).astype(np.int32)),
+        )
+        sums = np.concatenate([*(held[s][x] for s, x in filled.items()), np.zeros(0, np.int64)])
+        sums = pa.ListArray.from_arrays(places.offsets, pa.array(sums))
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), places, sums], ["source", "place", "n"])
+
+    for batch in batches:
+        codes = batch.column("source").dictionary_encode()
+        of_row = np.asarray(codes.indices)
+        edges = np.asarray(batch.column("places").offsets)
+        of = np.repeat(of_row, np.diff(edges))
+        places = np.asarray(batch.column("places").flatten())
+        values = np.asarray(batch.column("counts").flatten())
+        for code, source in enumerate(codes.dictionary.to_pylist()):
+            mine = of == code
+            if source not in held:
+                held[source] = np.zeros(size, np.int64)
+            held[source] += np.bincount(places[mine], values[mine], size).astype(np.int64)
+            if len(held) * size * 8 > SUM_BYTES:
+                yield rows()
+                held.clear()
+    if held:
+        yield rows()
+
+
 def _group_sums(lists: DataFrame, min_docs: int) -> DataFrame:
     """lang, source, term, n over the documents' vectors of one fit; n is never 0."""
     spark = lists.sparkSession
     # The estimator refuses an empty vocabulary: documents of one mark, no term, keep it from that.
     marks = spark.range(min_docs).select(F.array(F.lit("")).alias("terms"))
-    estimator = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_docs), vocabSize=MOST_TERMS)
+    estimator = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=MOST_TERMS)
     model = estimator.fit(lists.select("terms").unionByName(marks))
     words = model.vocabulary
-    vocabulary = spark.createDataFrame(pa.table({"place": pa.array(range(len(words)), pa.int32()), "word": words}))
-    vector = F.unwrap_udt("counts")
+    size = len(words)
+    vocabulary = spark.createDataFrame(pa.table({"place": pa.array(range(size), pa.int32()), "word": words}))
+    vector = F.unwrap_udt("vector")
     sums = (
         model.transform(lists)
-        .select("source", F.inline(F.arrays_zip(vector["indices"].alias("place"), vector["values"].alias("n"))))
+        .select("source", vector["indices"].alias("places"), vector["values"].alias("counts"))
+        .mapInArrow(lambda batches: _summed(batches, size), "source string, place array<int>, n array<long>")
+        .select("source", F.inline(F.arrays_zip("place", "n")))
         .groupBy("source", "place")
-        .agg(F.sum("n").cast("long").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     space = F.instr("word", " ")
     return sums.join(vocabulary, "place").select(
@@ -141,7 +180,8 @@ def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fit_terms: int = FIT_
     spark = docs.sparkSession
     bins = max(1, -(-distinct_terms(docs) // fit_terms))
     path, dealt = scratch_path(spark), scratch_path(spark)
-    term_lists(docs, bins).write.partitionBy("bin").parquet(dealt)
+    # Most terms are rare in a file: a dictionary of them would cost more than it saves.
+    term_lists(docs, bins).write.option("parquet.enable.dictionary", "false").partitionBy("bin").parquet(dealt)
     lists = spark.read.schema("source string, terms array<string>, bin int").parquet(dealt)
     for turn in range(bins):  # one after the other: the driver holds one vocabulary at a time
         _group_sums(lists.where(F.col("bin") == turn), min_docs).write.mode("append").parquet(path)
@@ -150,7 +190,8 @@ def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fit_terms: int = FIT_
 
 def _share(n: str, total: str) -> Column:
     """1 + floor(UNIT * (n + 1) / total), exact beyond 64 bits."""
-    return F.expr(f"1 + {UNIT} * (cast({n} as decimal(28, 0)) + 1) div {total}")
+    wide = f"{UNIT} * (cast({n} as decimal(28, 0)) + 1) div {total}"
+    return F.expr(f"1 + case when {n} < {2**63 // UNIT - 1} then {UNIT} * ({n} + 1L) div {total} else {wide} end")
 
 
 def _gap(p: str, q: str) -> str:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import slices, stored, texts_of, utf8
+from marquee.llm.common import sifted, slices, stored, texts_of, utf8
 from marquee.llm.components import components
 from marquee.llm.hashing import mixed, shingle_sets
 
@@ -320,8 +320,9 @@ def elements_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             names, out = zip(*hits, strict=True) if hits else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(out, pa.binary())], ["node", "elements"])
 
-    wanted = wanted.withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
     rows = texts_of(docs.select("doc_id", "text", text_key()), "text_key")
+    rows = sifted(rows, wanted, ["doc_id", "text_key"]).where("maybe")
+    wanted = wanted.withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
     rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))).select("node", "text")
     return rows.mapInArrow(run, "node binary, elements binary").groupBy("node").agg(F.first("elements").alias("elements"))
 
@@ -346,8 +347,8 @@ def classes_of(docs: DataFrame, recall: float) -> tuple[DataFrame, DataFrame]:
     lists = leaf.groupBy("node").agg(F.sort_array(F.collect_list("leaf")).alias("list"))
     carried = nodes.select("node", "size", "sketch").join(lists, "node")
     chosen = stored(candidates(blocked(leaf.join(carried, "node"))))
-    wanted = chosen.select("node").distinct()
-    sets = stored(elements_of(docs, nodes.select("doc_id", "text_key", "node").join(wanted, "node")))
+    wanted = stored(nodes.select("doc_id", "text_key", "node").join(chosen.select("node").distinct(), "node"))
+    sets = stored(elements_of(docs, wanted))
     bodies = sets.join(nodes.select("node", "copies"), "node")
     links = stored(verified(chosen.join(bodies, "node")))
     root = components(links.select(F.col("node").alias("a"), F.col("peer").alias("b")))
@@ -364,7 +365,8 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     the same set; class_id the least doc_id that links lead to, over any number of steps.
     A text of one to four words is one run of all its words. Null texts and texts without words
     link to nothing and are classes of their own. Repeated rows are documents of their own. A
-    class whose ids are all null has a null id. An empty table gives no rows.
+    class whose ids are all null has a null id. An empty table gives no rows. Very long texts
+    are sets of as many elements as they have runs; their row must fit a task.
     """
     rows, named = classes_of(docs, recall)
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
@@ -393,13 +395,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     stays = stays.select(F.col("least.doc_id").alias("_doc"), F.col("least.text_key").alias("_key"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
     every = rows.where("node is not null").select("doc_id", "text_key").distinct()
+    drop = stored(every.join(stays, same, "left_anti"))
+    again = stored(rows.groupBy("doc_id", "text_key").count().where("count > 1").drop("count"))
+    key = ["doc_id", "text_key"]
+    found = sifted(docs.select(*columns, text_key()), drop.union(again), key)
     names = {"doc_id": "_doc", "text_key": "_key"}
-    # Written tables, so their sizes are known and small ones are broadcast.
-    drop = stored(every.join(stays, same, "left_anti").withColumnsRenamed(names))
-    again = rows.groupBy("doc_id", "text_key").count().where("count > 1").drop("count")
-    again = stored(again.withColumnsRenamed(names))
-    kept = docs.select(*columns, text_key()).join(drop, same, "left_anti")
-    if again.isEmpty():
-        return kept.select(*columns)
-    repeated = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text_key"])
-    return kept.join(again, same, "left_anti").union(repeated).select(*columns)
+    kept = found.where("maybe").drop("maybe").join(drop.withColumnsRenamed(names), same, "left_anti")
+    if not again.isEmpty():
+        again = again.withColumnsRenamed(names)
+        kept = kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates(key))
+    return found.where("not maybe").drop("maybe").union(kept).select(*columns)
