@@ -64,10 +64,16 @@ def scratch_path(spark: SparkSession) -> str:
     return path
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Removes what ``scratch_path`` gave out in this process. Frames that read it end here."""
+def scratch_mark() -> int:
+    """A point in time for ``remove_scratch``."""
+    return len(_SCRATCH)
+
+
+def remove_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Removes what ``scratch_path`` gave out in this process since a mark. Frames that read it
+    end here."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    while _SCRATCH:
+    while len(_SCRATCH) > since:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
         path.getFileSystem(hadoop).delete(path, True)
 
@@ -80,6 +86,15 @@ def _job_ends() -> None:
             remove_scratch(spark)
 
 
+def stored_alone(df: DataFrame, since: int) -> DataFrame:
+    """Stores the rows and removes all scratch tables since the mark that led to them."""
+    out = stored(df)
+    own = _SCRATCH.pop()
+    remove_scratch(df.sparkSession, since)
+    _SCRATCH.append(own)
+    return out
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Writes the rows once to the shared folder and reads them back.
 
