@@ -8,13 +8,14 @@ all terms without a count in a group would add is one number for the group.
 
 from __future__ import annotations
 
+import contextlib
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import scratch_path, slices, stored, utf8
@@ -148,9 +149,11 @@ def _group_sums(lists: DataFrame, min_docs: int) -> DataFrame:
     marks = spark.range(min_docs).select(F.array(F.lit("")).alias("terms"))
     estimator = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=MOST_TERMS)
     model = estimator.fit(lists.select("terms").unionByName(marks))
-    words = model.vocabulary
-    size = len(words)
-    vocabulary = spark.createDataFrame(pa.table({"place": pa.array(range(size), pa.int32()), "word": words}))
+    saved = scratch_path(spark)
+    model.save(saved)  # executors read the vocabulary from there: the driver holds it once
+    data = spark.read.parquet(f"{saved}/data")
+    size = data.select(F.size("vocabulary")).first()[0]
+    vocabulary = data.select(F.posexplode("vocabulary").alias("place", "word"))
     vector = F.unwrap_udt("vector")
     sums = (
         model.transform(lists)
@@ -169,6 +172,19 @@ def _group_sums(lists: DataFrame, min_docs: int) -> DataFrame:
     )
 
 
+@contextlib.contextmanager
+def _setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fit_terms: int = FIT_TERMS) -> DataFrame:
     """lang, source, term, n: occurrences of each kept term in each group that has it.
 
@@ -180,8 +196,9 @@ def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fit_terms: int = FIT_
     spark = docs.sparkSession
     bins = max(1, -(-distinct_terms(docs) // fit_terms))
     path, dealt = scratch_path(spark), scratch_path(spark)
-    # Most terms are rare in a file: a dictionary of them would cost more than it saves.
-    term_lists(docs, bins).write.option("parquet.enable.dictionary", "false").partitionBy("bin").parquet(dealt)
+    with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", bins):  # else whole tasks are sorted by bin
+        # Most terms are rare in a file: a dictionary of them would cost more than it saves.
+        term_lists(docs, bins).write.option("parquet.enable.dictionary", "false").partitionBy("bin").parquet(dealt)
     lists = spark.read.schema("source string, terms array<string>, bin int").parquet(dealt)
     for turn in range(bins):  # one after the other: the driver holds one vocabulary at a time
         _group_sums(lists.where(F.col("bin") == turn), min_docs).write.mode("append").parquet(path)

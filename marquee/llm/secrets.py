@@ -31,6 +31,7 @@ BASE = (
 )
 
 WINDOW = 20
+COUNTS = 8  # counts of characters that share a number, eight bits each
 SIGNS = "A-Za-z0-9+/_=-"
 #: Class: its test, alphabet and least bits a character in a window. Letters alone must look
 #: more random than letters with digits: words joined in mixed case come near.
@@ -64,25 +65,35 @@ PART = rf"(?:(?<![{SIGNS}])(?=[{SIGNS}]{{{WINDOW}}})|\G(?<=[{SIGNS}]))(?:{quiet(
 
 def entropy_span(hit: Column, alphabet: str, least: float, window: int = WINDOW) -> Column:
     """struct(first, last): start of the first and end of the last window over ``least`` bits;
-    first is -1 when there is none. The string is taken apart once; each step looks at the
+    first is -1 when there is none. The string is taken apart once; each step changes the
     counts of the character that enters and the one that leaves."""
     share = [c * math.log2(c) if c else 0.0 for c in range(window + 2)]
     table = F.array(*(F.lit(x) for x in share))
-    zeros = F.array_repeat(F.lit(0), len(alphabet))
+    zeros = F.array_repeat(F.lit(0).cast("long"), -(-len(alphabet) // COUNTS))
     start = F.struct(
         zeros.alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last")
     )
+    shift = lambda name, value, bits: F.call_function(name, value, bits)
 
     def steps(codes: Column) -> Column:
-        left = lambda i: F.when(i >= window, F.get(codes, i - window)).otherwise(-1)
-        return F.transform(codes, lambda c, i: F.struct(c.alias("enters"), left(i).alias("leaves"), i.alias("i")))
+        def step(code: Column, i: Column) -> Column:
+            left = F.when(i >= window, F.get(codes, i - window)).otherwise(-COUNTS)  # a word that is not there
+            parts = {"in": code, "out": left}
+            words = [F.shiftright(c, 3).alias(f"{n}_word") for n, c in parts.items()]
+            bits = [F.shiftleft(c.bitwiseAND(COUNTS - 1), 3).alias(f"{n}_bits") for n, c in parts.items()]
+            return F.struct(*words, *bits, i.alias("i"))
+
+        return F.transform(codes, step)
 
     def slid(a: Column, x: Column) -> Column:
-        enters, leaves = x["enters"], x["leaves"]
-        gone = F.get(a["counts"], leaves)  # null while nothing leaves
-        had = F.get(a["counts"], enters) - (leaves == enters).cast("int")
+        count = lambda n: shift("shiftright", F.get(a["counts"], x[f"{n}_word"]), x[f"{n}_bits"]).bitwiseAND(255).cast("int")
+        unit = lambda n: shift("shiftleft", F.lit(1).cast("long"), x[f"{n}_bits"])
+        moved = lambda n, j: F.when(j == x[f"{n}_word"], unit(n)).otherwise(0)
+        gone = count("out")  # null while nothing leaves
+        same = (x["in_word"] == x["out_word"]) & (x["in_bits"] == x["out_bits"])
+        had = count("in") - same.cast("int")
         total = a["sum"] - F.coalesce(F.get(table, gone) - F.get(table, gone - 1), F.lit(0.0)) + F.get(table, had + 1) - F.get(table, had)
-        counts = F.transform(a["counts"], lambda c, j: c + (j == enters).cast("int") - (j == leaves).cast("int"))
+        counts = F.transform(a["counts"], lambda c, j: c + moved("in", j) - moved("out", j))
         return F.struct(counts.alias("counts"), total.alias("sum"), a["first"], a["last"])
 
     def marked(a: Column, x: Column) -> Column:

@@ -155,6 +155,6 @@ def replaced(text: Column, spans: Column, label: Callable[[Column], Column]) ->
         return F.concat(F.array_join(parts, ""), between(blocks, last, F.greatest(last, F.length(text))))
 
     cut = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))  # noqa: UP031
-    after = lambda spans: running(F.transform(spans, lambda s: s["end"]), F.size(spans), F.greatest)
+    after = lambda spans: running(F.transform(spans, lambda s: s["end"]), F.size(spans), lambda a, x: F.greatest(a, x))
     whole = bound(cut, lambda b: bound(spans, lambda s: bound(after(s), lambda at: built(b, s, at))))
     return F.when(F.size(spans) == 0, text).otherwise(whole)
