@@ -29,7 +29,7 @@ MOST_TERMS = 2**31 - 1
 TOP_TERMS = 200
 #: Terms, told apart by language, that one fit may meet: what bounds the vocabulary that a fit
 #: holds on the driver and sends with its tasks.
-FIT_TERMS = 1_000_000
+FIT_TERMS = 1_500_000
 #: Bytes of text that are taken apart at a time: arrays small enough to stay in cache.
 SLICE_BYTES = 1 << 19
 #: Bytes of sums that a task holds before it hands them on.
@@ -142,8 +142,9 @@ def _summed(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         yield rows()
 
 
-def _group_sums(lists: DataFrame, min_docs: int) -> DataFrame:
-    """lang, source, term, n over the documents' vectors of one fit; n is never 0."""
+def _group_sums(lists: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
+    """lang, source, term, n over the documents' vectors of one fit, n never being 0; and how
+    many terms it keeps for each lang."""
     spark = lists.sparkSession
     # The estimator refuses an empty vocabulary: documents of one mark, no term, keep it from that.
     marks = spark.range(min_docs).select(F.array(F.lit("")).alias("terms"))
@@ -163,13 +164,10 @@ def _group_sums(lists: DataFrame, min_docs: int) -> DataFrame:
         .groupBy("source", "place")
         .agg(F.sum("n").alias("n"))
     )
-    space = F.instr("word", " ")
-    return sums.join(vocabulary, "place").select(
-        F.expr("substr(word, instr(word, ' ') + 1)").alias("lang"),
-        "source",
-        F.substr("word", F.lit(1), space - 1).alias("term"),
-        "n",
-    )
+    lang = F.expr("substr(word, instr(word, ' ') + 1)").alias("lang")
+    term = F.substr("word", F.lit(1), F.instr("word", " ") - 1).alias("term")
+    kept = vocabulary.where("word <> ''").groupBy(lang).agg(F.count("*").alias("kept"))
+    return sums.join(vocabulary, "place").select(lang, "source", term, "n"), kept
 
 
 @contextlib.contextmanager
@@ -185,8 +183,9 @@ def _setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fit_terms: int = FIT_TERMS) -> DataFrame:
-    """lang, source, term, n: occurrences of each kept term in each group that has it.
+def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fit_terms: int = FIT_TERMS) -> tuple[DataFrame, DataFrame]:
+    """lang, source, term, n: occurrences of each kept term in each group that has it; and
+    lang, kept: how many terms each lang keeps, for the langs that keep any.
 
     The lang is a part of every fitted term, so each lang has a vocabulary of its own however
     many share a fit. Terms are dealt over as many fits as their number asks for (at about
@@ -201,8 +200,11 @@ def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fit_terms: int = FIT_
         term_lists(docs, bins).write.option("parquet.enable.dictionary", "false").partitionBy("bin").parquet(dealt)
     lists = spark.read.schema("source string, terms array<string>, bin int").parquet(dealt)
     for turn in range(bins):  # one after the other: the driver holds one vocabulary at a time
-        _group_sums(lists.where(F.col("bin") == turn), min_docs).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        sums, kept = _group_sums(lists.where(F.col("bin") == turn), min_docs)
+        sums.write.mode("append").parquet(f"{path}/sums")
+        kept.write.mode("append").parquet(f"{path}/kept")
+    totals = spark.read.parquet(f"{path}/kept").groupBy("lang").agg(F.sum("kept").alias("kept"))
+    return spark.read.parquet(f"{path}/sums"), totals
 
 
 def _share(n: str, total: str) -> Column:
@@ -215,17 +217,18 @@ def _gap(p: str, q: str) -> str:
     return f"(({p} - {q}) * ({p} - {q}) div {q})"
 
 
-def _pairs(counts: DataFrame, groups: DataFrame) -> DataFrame:
+def _pairs(shares: DataFrame, counts: DataFrame, groups: DataFrame) -> DataFrame:
     """lang, source, item, value for every two sources of a lang.
 
     With p0 for the share of a term that a group does not have, the sum over all terms is what
     each side's own terms give against the other's p0 (by how many terms have each count), plus
     (v - terms of both) times the gap of the two p0, plus a correction for each shared term.
+    ``counts`` are the shares dealt by lang and term.
     """
     side = lambda x: groups.select("lang", *(F.col(c).alias(f"{x}_{c}") for c in ("source", "p0", "terms", "v")))
     every = side("a").join(side("b"), "lang").where("a_source <> b_source")
 
-    sizes = counts.groupBy("lang", "source", "p").agg(F.count("*").alias("k"))
+    sizes = shares.groupBy("lang", "source", "p").agg(F.count("*").alias("k"))
     own = (
         sizes.select("lang", F.col("source").alias("x"), "p", "k")
         .join(groups.select("lang", F.col("source").alias("y"), "p0"), "lang")
@@ -287,28 +290,29 @@ def source_divergence(
     long texts are one list of terms in their row; an empty table gives no rows; no column but
     the three is read. Sums stay in 64 bits: a lang's shares add to at most UNIT plus its terms.
     """
-    found = stored(kept_counts(docs, min_docs, fit_terms))
+    found, kept = kept_counts(docs, min_docs, fit_terms)
     empty = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
-    langs = found.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
-    sizes = langs.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
     sums = found.groupBy("lang", "source").agg(F.count("*").alias("terms"), F.sum("n").alias("total"))
     groups = (
         docs.select(empty("lang"), empty("source"))
         .distinct()
-        .join(sizes, "lang", "left")
+        .join(kept.withColumnRenamed("kept", "v"), "lang", "left")
         .join(sums, ["lang", "source"], "left")
-        .fillna(0, ["v", "lang_total", "terms", "total"])
+        .fillna(0, ["v", "terms", "total"])
+        .withColumn("lang_total", F.sum("total").over(Window.partitionBy("lang")))  # one row for each source
         .withColumn("p0", F.when(F.col("v") > 0, _share("0", "nullif(total + v, 0)")))
     )
     groups = stored(groups)
     shares = found.join(groups, ["lang", "source"]).withColumn("p", _share("n", "(total + v)"))
-    counts = stored(shares.select("lang", "source", "term", "p", "p0", "v", "lang_total"))
+    shares = shares.select("lang", "source", "term", "n", "p", "p0", "v", "lang_total")
+    counts = shares.repartition("lang", "term")  # shuffled once for both parts
+    of_term = Window.partitionBy("lang", "term")
     terms = (
-        counts.join(langs, ["lang", "term"])
+        counts.withColumn("lang_n", F.sum("n").over(of_term))  # one row for each source
         .withColumn("q", _share("lang_n", "(lang_total + v)"))
         .where("p > q")
         .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr(_gap("p", "q")).alias("value"))
     )
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = terms.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_terms)
-    return _pairs(counts, groups).withColumn("rank", F.row_number().over(order)).unionByName(ranked)
+    return _pairs(shares, counts, groups).withColumn("rank", F.row_number().over(order)).unionByName(ranked)
