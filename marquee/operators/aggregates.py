@@ -83,8 +83,10 @@ def percentiles_per_key(
     value: str,
     shares: Mapping[str, float],
     pieces: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, without holding a group in one task.
+    ``weight``: how many rows a row stands for.
 
     A sketch cuts each group's values into ``pieces`` ranges. Counts per range say
     which ranges hold the wanted ranks; only those are ordered, on distinct values.
@@ -94,7 +96,7 @@ def percentiles_per_key(
     counted = (
         df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     )
     if pieces is None:
         largest = df.groupBy(*keys).agg(F.approx_count_distinct(value).alias("_v")).agg(F.max("_v")).first()[0]

@@ -11,6 +11,10 @@ The first two are running counts over time, read at the window edges. So is the
 third, once gaps are counted by the calendar day, hour or minute they start in: a
 window holds whole days, before them whole hours of its first day, before those
 whole minutes of its first hour, and the gaps that start in its first minute.
+
+Where the windows have few different edges, as launches on a calendar do, all three come
+from one pass: each moment is placed among the edges, and counts by a gap's place among the
+openings and among the closes are summed up over both.
 """
 
 from __future__ import annotations
@@ -131,6 +135,79 @@ def gaps_inside(gaps: DataFrame, grid: DataFrame, start: str, end: str) -> DataF
     )
 
 
+EDGES = 10_000
+CELLS = 2_000_000
+
+
+def _place(edges: str, moment: Column, strict: bool) -> Column:
+    """How many edges are before the moment, or at it too unless ``strict``. The edges are a sorted
+    array of rows of about the square root of their number, so two short looks find the place."""
+    at = F.unix_micros(moment)
+    below = (lambda e: e < at) if strict else (lambda e: e <= at)
+    row = F.size(F.filter(edges, lambda r: below(r[0]))) - 1
+    width = F.size(F.get(edges, F.lit(0)))
+    return F.when(row < 0, 0).otherwise(row * width + F.size(F.filter(F.get(edges, row), below)))
+
+
+def _direct_counts(
+    islands: DataFrame, grid: DataFrame, opens: list[int], closes: list[int], user_start: str, user_end: str
+) -> DataFrame:
+    """``audience_counts`` for windows of few different edges (sorted microseconds).
+
+    A moment is by the close number c where c is at least the number of closes before it, and
+    at or after the opening number o where o is below the number of openings up to it.
+    """
+    spark = islands.sparkSession
+
+    def rows_of(edges: list[int]) -> list[list[int]]:
+        width = max(1, int(len(edges) ** 0.5))
+        return [edges[i : i + width] for i in range(0, len(edges), width)]
+
+    schema = "_opens array<array<bigint>>, _closes array<array<bigint>>"
+    edges = spark.createDataFrame([(rows_of(opens), rows_of(closes))], schema)  # one row
+    by_close = _place("_closes", F.col(user_start), strict=True)
+    counted = [
+        F.struct(F.lit(0).alias("kind"), F.lit(0).alias("o"), by_close.alias("c")),
+        F.struct(F.lit(1).alias("kind"), _place("_opens", F.col(user_end), strict=False).alias("o"), F.lit(0).alias("c")),
+        F.struct(F.lit(2).alias("kind"), _place("_opens", F.col("previous_end"), strict=False).alias("o"), by_close.alias("c")),
+    ]
+    cells = (
+        islands.select(user_start, user_end, "previous_end")
+        .crossJoin(F.broadcast(edges))
+        .select("previous_end", F.inline(F.array(*counted)))
+        .where((F.col("kind") < 2) | F.col("previous_end").isNotNull())
+        .groupBy("kind", "o", "c")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    # At most CELLS rows from here on. Ends before opening o: all that are not at or after it.
+    every_o = spark.range(len(opens)).select(F.col("id").cast("int").alias("o"))
+    every_c = spark.range(len(closes)).select(F.col("id").cast("int").alias("c"))
+    started = every_c.join(cells.where("kind = 0").select("c", "_n"), "c", "left")
+    started = started.select("c", F.coalesce(F.sum("_n").over(Window.orderBy("c")), F.lit(0)).alias("_started"))
+    ended = every_o.join(cells.where("kind = 1").select("o", "_n"), "o", "left")
+    ended = ended.select("o", F.coalesce(F.sum("_n").over(Window.orderBy("o")), F.lit(0)).alias("_ended"))
+    # A gap of place o is inside the windows of all openings below o, so it counts at o - 1 down.
+    inner = cells.where("kind = 2 and o > 0").select((F.col("o") - 1).alias("o"), "c", "_n")
+    dense = every_o.crossJoin(F.broadcast(every_c)).join(inner, ["o", "c"], "left")
+    up, down = Window.partitionBy("o").orderBy("c"), Window.partitionBy("c").orderBy(F.desc("o"))
+    dense = dense.withColumn("_n", F.coalesce(F.sum("_n").over(up), F.lit(0)))
+    dense = dense.select("o", "c", F.sum("_n").over(down).alias("_gaps"))
+    numbered = lambda name, edges: spark.createDataFrame(
+        list(zip(range(len(edges)), edges, strict=True)), f"{name} int, _{name} bigint"
+    )
+    windows = grid.join(F.broadcast(numbered("o", opens)), F.unix_micros("opens") == F.col("_o"))
+    windows = windows.join(F.broadcast(numbered("c", closes)), F.unix_micros("closes") == F.col("_c"))
+    users = F.col("_started") - F.col("_ended") - F.col("_gaps")
+    found = windows.join(started, "c").join(ended, "o").join(dense, ["o", "c"])
+    return found.select("opens", "launch", "n", users.alias("users"))
+
+
+def _few(moments: DataFrame) -> list[int] | None:
+    """The sorted microseconds of a column, if there are at most EDGES different ones."""
+    found = moments.distinct().limit(EDGES + 1).collect()
+    return None if len(found) > EDGES else sorted(r[0] for r in found)
+
+
 def audience_counts(
     islands: DataFrame, anchors: DataFrame, days: Sequence[int], user_start: str, user_end: str
 ) -> DataFrame:
@@ -147,6 +224,10 @@ def audience_counts(
         .withColumn("closes", add_days(F.col("launch"), F.col("n")))
         .where(F.col("closes") >= F.col("opens"))
     )
+    opens = _few(grid.select(F.unix_micros("opens")))
+    closes = _few(grid.select(F.unix_micros("closes"))) if opens else None
+    if opens and closes and len(opens) * len(closes) <= CELLS:
+        return _direct_counts(islands, grid, opens, closes, user_start, user_end)
     started = events_up_to(islands, user_start, grid, "closes").withColumnRenamed("n_events", "_started")
     ended = events_up_to(islands, user_end, anchors, "opens", inclusive=False).withColumnRenamed(
         "n_events", "_ended"

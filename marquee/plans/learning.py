@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 import itertools
-import random
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,20 +27,18 @@ from marquee.constants import (
     OLD_SHARE,
     RECENT_DAYS,
     RECENT_SHARE,
-    SEARCH_DRAWS,
-    SEARCH_FOLDS,
-    SEARCH_SPACE,
     SPECIAL_OLD_SHARE,
     SPECIAL_RECENT_SHARE,
 )
 from marquee.functions.dates import add_days
 from marquee.functions.metrics import absolute_error, smape, unit_hash
 from marquee.operators.aggregates import percentiles_per_key
-from marquee.session import ensure_checkpoint_dir
+from marquee.session import ensure_checkpoint_dir, stored
 
 FEATURES = "features"
 PREDICTION = "prediction"
 ISOTONIC_STEPS = 1000
+FOLD_PIECES = 64
 
 
 # --- data preparation -----------------------------------------------------------
@@ -129,12 +124,14 @@ def fold_bounds(
     (exclusive by a second), and train_before, 28 days ahead of the fold's first launch.
     """
     newest = (rows if current is None else rows.where(current)).agg(F.max(offered).alias("_newest"))
-    counts = rows.groupBy(F.col(offered).alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
-    recent = rows.crossJoin(F.broadcast(newest)).where(  # one row
-        F.col(offered) >= add_days(F.col("_newest"), -back_days)
+    counts = stored(rows.groupBy(F.col(offered).alias("_at")).agg(F.count(F.lit(1)).alias("_n")))
+    recent = counts.crossJoin(F.broadcast(newest)).where(  # one row
+        F.col("_at") >= add_days(F.col("_newest"), -back_days)
     )
     shares = {f"_e{i}": i / n_folds for i in range(n_folds + 1)}
-    edges = percentiles_per_key(recent.select(F.unix_micros(offered).alias("_us")), [], "_us", shares)
+    # launches of half a year: their different times are few beside the rows
+    recent = recent.select(F.unix_micros("_at").alias("_us"), "_n")
+    edges = percentiles_per_key(recent, [], "_us", shares, pieces=FOLD_PIECES, weight="_n")
     pieces = edges.select(F.array(*shares).alias("_edges")).select(
         F.posexplode(F.slice("_edges", 1, n_folds)).alias("fold", "_low"), "_edges"
     ).select(
@@ -351,110 +348,7 @@ def boosting_grid(
     return [dict(zip(names, c)) for c in itertools.product(rounds, fractions, depths, rates)]
 
 
-def tune(
-    rows: DataFrame,
-    bounds: DataFrame,
-    offered: str,
-    stages: Sequence,
-    label: str,
-    original: Column,
-    grid: Sequence[Mapping],
-) -> tuple[dict, DataFrame]:
-    """Grid search by out-of-fold SMAPE; the best setting on originals is returned."""
-    table = []
-    for number, params in enumerate(grid):
-        scored = cross_predict(rows, bounds, offered, stages, boosting(label, **params))
-        result = evaluate(scored, PREDICTION, label, original).first()
-        table.append((number, str(dict(params)), result["smape_all"], result["smape_original"]))
-    schema = "setting int, params string, smape_all double, smape_original double"
-    best = min(table, key=lambda r: float("inf") if r[3] is None else r[3])
-    return dict(grid[best[0]]), rows.sparkSession.createDataFrame(table, schema)
-
-
-def random_search(
-    rows: DataFrame,
-    stages: Sequence,
-    label: str,
-    draws: int = SEARCH_DRAWS,
-    folds: int = SEARCH_FOLDS,
-    rounds: int = 100,
-    space: Mapping[str, Sequence] = SEARCH_SPACE,
-    seed: int = 58,
-    parallelism: int = 4,
-):
-    """Cross-validated search over settings drawn from the space."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    model = boosting(label, rounds=rounds, absolute_loss=False)
-    rng = random.Random(seed)
-    maps = []
-    for _ in range(draws):
-        pick = {name: rng.choice(values) for name, values in space.items()}
-        share = pick["colsample_bytree"]
-        settings = {
-            model.stepSize: pick["learning_rate"],
-            model.maxDepth: pick["max_depth"],
-            model.minInstancesPerNode: pick["min_child_weight"],
-            model.minInfoGain: pick["gamma"],
-            model.featureSubsetStrategy: "all" if share >= 1 else str(share),
-        }
-        builder = ParamGridBuilder()
-        for param, value in settings.items():
-            builder = builder.addGrid(param, [value])
-        maps.extend(builder.build())
-    validator = CrossValidator(
-        estimator=model,
-        estimatorParamMaps=maps,
-        evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    prepared = Pipeline(stages=list(stages)).fit(rows)
-    ready = prepared.transform(rows)
-    validator.setEstimator(with_bins(model, ready))
-    return prepared, validator.fit(ready)
-
-
-# --- scoring per day -------------------------------------------------------------------
-
-
-def score_days(
-    days: Iterable[int],
-    rows_for_day: Callable[[int], tuple[DataFrame, DataFrame]],
-    stages_for_day: Callable[[int], Sequence],
-    estimator_for_day: Callable[[int], object],
-    keep: Sequence[str],
-    after: Callable[[Column], Column] = lambda c: c,
-) -> DataFrame:
-    """One model per prediction day; new titles of every day in one table.
-
-    ``rows_for_day`` gives the titles to learn from and those to score. A day
-    without titles to score is skipped.
-    """
-    parts = []
-    for day in days:
-        known, new = rows_for_day(day)
-        if new.isEmpty() or known.isEmpty():
-            continue
-        model = fit(known, stages_for_day(day), estimator_for_day(day))
-        parts.append(
-            model.transform(new).select(
-                *keep, F.lit(day).alias("pred_day"), after(F.col(PREDICTION)).alias(PREDICTION)
-            )
-        )
-    if not parts:
-        raise ValueError("no day has titles to score")
-    return reduce(DataFrame.unionByName, parts)
-
-
-def actives_estimator(day: int, label: str, **params):
-    """Percent-actives: linear before launch and from day 14, boosting in between."""
-    return boosting(label, **params) if 1 <= day <= 13 else linear(label)
-
-
-def viewed_estimator(day: int, label: str, **params):
-    """Percent-viewed: boosting on every day, squared loss before launch."""
-    return boosting(label, absolute_loss=day >= 1, **params)
+# --- stored models ---------------------------------------------------------------------
 
 
 def save_model(model: PipelineModel, path: str) -> None:

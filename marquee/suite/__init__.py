@@ -6,6 +6,7 @@ from marquee.suite import (  # noqa: F401
     firstview_queries,
     launch_queries,
     learning_queries,
+    matrix_queries,
     relational_queries,
     scalar_queries,
 )

@@ -194,7 +194,7 @@ def multiplier_model(spark, d):
         """
         select c.g, c.k, c.day, m.to_day as days_after_launch,
             round(case when c.day <= m.to_day then c.v * multiplier end, 6) as prediction
-        from curves c left join m on m.g = c.g and m.from_day = c.day where c.day = 3""",
+        from curves c left join m on m.g = c.g and m.from_day = c.day""",
         curves=_CURVES,
         m=_MULTIPLIER,
     ),
@@ -202,7 +202,7 @@ def multiplier_model(spark, d):
 def multiplier_predict(spark, d):
     curves = _curves(spark, d)
     m = actives.fit_multipliers(curves, ["g"], "k", "day", "v")
-    rows = actives.apply_multipliers(curves.where("day = 3"), m, ["g"], "day", "v")
+    rows = actives.apply_multipliers(curves, m, ["g"], "day", "v")
     return rows.select(
         "g", "k", big("day").alias("day"), big("days_after_launch").alias("days_after_launch"),
         rnd("prediction").alias("prediction"),
@@ -213,7 +213,7 @@ def multiplier_predict(spark, d):
 
 _FLOOR = "1995-06-01"
 _RUN = "2001-06-30"
-_HOURS = {
+HOURS = {
     "streams": "select l_partkey as m, l_shipdate as seen_at, l_quantity as secs from lineitem "
     f"where l_quantity >= 5 and l_shipdate >= date '{_FLOOR}'",
     "offers": f"""
@@ -255,7 +255,7 @@ def _hours_share(spark, d, recorded=None):
 
 @query(
     "hours_share",
-    sql("", "select match_id, window_days, round(score, 6) as score from share", **_HOURS),
+    sql("", "select match_id, window_days, round(score, 6) as score from share", **HOURS),
 )
 def hours_share(spark, d):
     return _hours_share(spark, d).select(
@@ -271,8 +271,8 @@ def hours_share(spark, d):
         select m as match_id, w as window_days, strftime(offer_date, '%Y-%m-%d') as offer_date
         from offers, wins where offer_date + cast(w as integer) <= date '{_RUN}'
             and not (m in (select p_partkey from part where p_type = 'PROMO') and w in (7, 28))""",
-        offers=_HOURS["offers"],
-        wins=_HOURS["wins"],
+        offers=HOURS["offers"],
+        wins=HOURS["wins"],
     ),
 )
 def unscored_windows(spark, d):
@@ -312,7 +312,7 @@ def hours_title_offers(spark, d):
         "select match_id, "
         + ", ".join(f"round(max(score) filter (window_days = {w}), 6) as {n}" for w, n in HOURS_WINDOW_NAMES.items())
         + " from share group by 1",
-        **_HOURS,
+        **HOURS,
     ),
 )
 def window_pivot(spark, d):

@@ -8,7 +8,7 @@ from marquee.constants import FUNNEL_DAYS, NOT_REACHED
 from marquee.functions import text as t
 from marquee.operators.aggregates import percentiles_per_key
 from marquee.operators.joins import merge_features
-from marquee.operators.pivots import common_labels, label_codes, multi_hot, one_hot
+from marquee.operators.pivots import common_labels, label_codes, one_hot
 from marquee.plans import features, pageviews
 from marquee.plans.neighbors import trend_features, trend_neighbours
 from marquee.session import stored
@@ -662,19 +662,6 @@ def signal_totals(spark, d):
 # --- encodings ------------------------------------------------------------------------------
 
 
-@query(
-    "multi_hot",
-    """
-    select p_partkey, """
-    + ", ".join(f"case when list_contains(string_split(p_name, ' '), '{w}') then 1 else 0 end as tag_{w}" for w in ("red", "bolt", "small", "old"))
-    + " from part",
-)
-def multi_hot_words(spark, d):
-    return multi_hot(
-        s.table(spark, d, "part"), "p_partkey", t.tokens(F.col("p_name"), " "), ["red", "bolt", "small", "old"], "tag_"
-    )
-
-
 @query(
     "rare_filter",
     """

@@ -6,29 +6,33 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from marquee.constants import HOURS_WINDOW_NAMES
 from marquee.functions.metrics import unit_hash
 from marquee.operators.joins import new_rows
 from marquee.plans import forecast, learning
 from marquee.session import scratch_path, stored
 from marquee.suite import standins as s
 from marquee.suite.firstview_queries import RUN, decay_of, titles_with_references
-from marquee.suite.audience_queries import _hours_share
+from marquee.suite.audience_queries import HOURS, _hours_share
 from marquee.suite.registry import big, query, rnd, us
 
 
 # --- folds and sampling ----------------------------------------------------------------
 
-_FOLDS = """
-    with newest as (select max(o_orderdate) as m from orders where o_orderstatus = 'F'),
-        recent as (select epoch_us(o_orderdate)::double as t from orders, newest where o_orderdate >= m - interval 180 day),
-        edges as (select unnest(generate_series(0, 5)) as fold, quantile_cont(t, [0, 1/6, 2/6, 3/6, 4/6, 5/6, 1]) as q from recent),
-        b as (select fold, q[fold + 1]::bigint as lo, q[fold + 2]::bigint - 1000000 as hi from edges),
-        f as (select fold, lo, hi, min(epoch_us(o_orderdate)) - 28 * 86400000000 as cut from b join orders
-            on epoch_us(o_orderdate) between lo and hi group by 1, 2, 3)
-"""
 
 
-def _bounds(spark, d):
+FOLDS = {
+    "newest": "select max(o_orderdate) as m from orders where o_orderstatus = 'F'",
+    "recent": "select epoch_us(o_orderdate)::double as t from orders, newest where o_orderdate >= m - interval 180 day",
+    "edges": "select unnest(generate_series(0, 5)) as fold, quantile_cont(t, [0, 1/6, 2/6, 3/6, 4/6, 5/6, 1]) as q from recent",
+    "b": "select fold, q[fold + 1]::bigint as lo, q[fold + 2]::bigint - 1000000 as hi from edges",
+    "f": "select fold, lo, hi, min(epoch_us(o_orderdate)) - 28 * 86400000000 as cut from b join orders "
+    "on epoch_us(o_orderdate) between lo and hi group by 1, 2, 3",
+}
+_FOLDS = "with " + ", ".join(f"{name} as ({body})" for name, body in FOLDS.items()) + " "
+
+
+def bounds_of(spark, d):
     """Orders as launches; those of status F are on the current platform."""
     orders = s.table(spark, d, "orders").select("o_orderdate", "o_orderstatus")
     return learning.fold_bounds(orders, "o_orderdate", 6, current=F.col("o_orderstatus") == "F")
@@ -36,7 +40,7 @@ def _bounds(spark, d):
 
 @query("time_split", _FOLDS + "select fold, lo as lower_us, hi as upper_us, cut as train_before_us from f")
 def time_split(spark, d):
-    return _bounds(spark, d).select(
+    return bounds_of(spark, d).select(
         big("fold").alias("fold"), us("lower").alias("lower_us"), us("upper").alias("upper_us"),
         us("train_before").alias("train_before_us"),
     )
@@ -50,17 +54,17 @@ def time_split(spark, d):
 )
 def time_split_sizes(spark, d):
     orders = s.table(spark, d, "orders").select("o_orderdate")
-    sizes = learning.fold_sizes(orders, _bounds(spark, d), "o_orderdate")
+    sizes = learning.fold_sizes(orders, bounds_of(spark, d), "o_orderdate")
     return sizes.select(big("fold").alias("fold"), big("n_train").alias("n_train"), big("n_test").alias("n_test"))
 
 
-def _hash_sql(text: str) -> str:
+def hash_sql(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 8))::bigint / 4294967296.0"
 
 
 @query(
     "unit_hash",
-    f"select doc_id, round({_hash_sql("'seed|' || doc_id")}, 9)::double as u from documents",
+    f"select doc_id, round({hash_sql("'seed|' || doc_id")}, 9)::double as u from documents",
 )
 def unit_hash_query(spark, d):
     return s.table(spark, d, "documents").select("doc_id", rnd(unit_hash(F.col("doc_id"), seed="seed"), 9).alias("u"))
@@ -68,8 +72,8 @@ def unit_hash_query(spark, d):
 
 @query(
     "mask",
-    f"""select doc_id, case when {_hash_sql("'242|' || doc_id || '|n_chars'")} >= 0.1 then n_chars end as n_chars,
-        case when {_hash_sql("'242|' || doc_id || '|source'")} >= 0.1 then source end as source from documents""",
+    f"""select doc_id, case when {hash_sql("'242|' || doc_id || '|n_chars'")} >= 0.1 then n_chars end as n_chars,
+        case when {hash_sql("'242|' || doc_id || '|source'")} >= 0.1 then source end as source from documents""",
 )
 def mask(spark, d):
     rows = s.table(spark, d, "documents").select("doc_id", "n_chars", "source")
@@ -88,7 +92,7 @@ _STRATA = f"""
         rate as (select *, case when special then round(round(t3 * case when recent then 0.75 else 0.25 end) * case when recent then 0.3 else 0.2 end) / ns
             when tier in (0, 1, 2) then round(t3 * case when recent then 0.75 else 0.25 end) / n
             when tier = 3 then 1.0 else 0.0 end as rate from sz),
-        c as (select *, floor(rate)::integer + case when {_hash_sql("'58|' || p_partkey")} < rate - floor(rate) then 1 else 0 end as copies from rate)
+        c as (select *, floor(rate)::integer + case when {hash_sql("'58|' || p_partkey")} < rate - floor(rate) then 1 else 0 end as copies from rate)
 """
 
 
@@ -145,7 +149,6 @@ def _title_rows(spark, d):
 
 _NUMERIC = ["quantity", "discount", "lines", "age"]
 _CATEGORY = ["o_orderstatus", "o_orderpriority"]
-_SMALL = {"rounds": 3, "depth": 3, "rate": 0.1}
 
 
 @query("train_linear")
@@ -198,7 +201,7 @@ def cross_predict_check(spark, d):
     """Every title of a fold is scored once, by a linear model, over the six published folds."""
     rows = _title_rows(spark, d)
     scored = learning.cross_predict(
-        rows, _bounds(spark, d), "o_orderdate", learning.feature_stages(_NUMERIC, _CATEGORY, one_hot=True),
+        rows, bounds_of(spark, d), "o_orderdate", learning.feature_stages(_NUMERIC, _CATEGORY, one_hot=True),
         learning.linear("label"), F.exp,
     )
     usable = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.col("prediction") > 0)
@@ -215,36 +218,6 @@ def train_elastic_net(spark, d):
     return scored.select("o_orderkey", "label", "prediction")
 
 
-@query("cross_predict_boosting")
-def cross_predict_boosting(spark, d):
-    rows = _title_rows(spark, d)
-    scored = learning.cross_predict(
-        rows, _bounds(spark, d), "o_orderdate", learning.feature_stages(_NUMERIC, _CATEGORY),
-        learning.boosting("label", **_SMALL), F.exp,
-    )
-    return learning.with_errors(scored.withColumn("target", F.exp("label")), "prediction", "target").select(
-        "o_orderkey", "fold", "target", "prediction", "smape", "mae"
-    )
-
-
-@query("tune_grid")
-def tune_grid(spark, d):
-    rows = _title_rows(spark, d)
-    grid = learning.boosting_grid((2,), (1.0,), (2, 3), (0.1,))
-    _, table = learning.tune(
-        rows, learning.fold_bounds(rows, "o_orderdate", 2), "o_orderdate", learning.feature_stages(_NUMERIC),
-        "label", F.col("o_orderstatus") == "F", grid,
-    )
-    return table
-
-
-@query("feature_importance")
-def feature_importance(spark, d):
-    rows = _title_rows(spark, d)
-    model = learning.fit(rows, learning.feature_stages(_NUMERIC, _CATEGORY), learning.boosting("label", **_SMALL))
-    return learning.importance(model, rows)
-
-
 @query("monotone_calibration")
 def monotone_calibration(spark, d):
     rows = _title_rows(spark, d).fillna(0.0, subset=["quantity"])
@@ -267,37 +240,6 @@ def monotone_check(spark, d):
     )
 
 
-@query(
-    "importance_check",
-    "select feature, true as in_range from (values ('quantity'), ('discount'), ('lines'), ('age'), "
-    "('o_orderstatus'), ('o_orderpriority')) as t(feature)",
-)
-def importance_check(spark, d):
-    """Every input has a share, and the shares add up to 100."""
-    table = feature_importance(spark, d)
-    total = table.agg(F.sum("importance").alias("total"))
-    name = F.regexp_replace("feature", "__(filled|code)$", "")
-    return table.crossJoin(F.broadcast(total)).select(  # one row
-        name.alias("feature"),
-        (F.col("importance").between(0, 100) & (F.abs(F.col("total") - 100) < 1e-6)).alias("in_range"),
-    )
-
-
-@query("score_days")
-def score_days(spark, d):
-    """Day 0 is linear, day 7 boosted; newer orders are the titles to score."""
-    rows = _title_rows(spark, d)
-    cut = s.ts("2001-01-01 00:00:00")
-
-    def parts(day):
-        return rows.where(F.col("o_orderdate") < cut), rows.where(F.col("o_orderdate") >= cut)
-
-    return learning.score_days(
-        (0, 7), parts, lambda day: learning.feature_stages(_NUMERIC),
-        lambda day: learning.actives_estimator(day, "label", **_SMALL), ["o_orderkey"], F.exp,
-    )
-
-
 @query("model_roundtrip")
 def model_roundtrip(spark, d):
     rows = _title_rows(spark, d)
@@ -321,31 +263,122 @@ def model_roundtrip_check(spark, d):
     )
 
 
-@query("random_search")
-def random_search(spark, d):
-    rows = _title_rows(spark, d)
-    prepared, found = learning.random_search(rows, learning.feature_stages(_NUMERIC), "label", draws=2, folds=2, rounds=2)
-    return found.bestModel.transform(prepared.transform(rows)).select("o_orderkey", "prediction")
+# --- 52-week share ----------------------------------------------------------------------
 
 
-@query("share_forecast")
-def share_forecast(spark, d):
-    """52-week share of titles without a full year, from the hours of the others."""
-    part = s.table(spark, d, "part").select(
-        F.col("p_partkey").alias("match_id"),
-        F.when(F.col("p_partkey") % 2 == 0, "original").otherwise("acquired").alias("program_type"),
+def _share_features(spark, d):
+    """Parts as titles: four sources besides the hours shares, each lacking some titles."""
+    k = F.col("p_partkey")
+    part = s.table(spark, d, "part")
+    items = s.table(spark, d, "lineitem").withColumnRenamed("l_partkey", "match_id")
+    orders = s.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    metadata = part.where(k % 13 != 0).select(
+        k.alias("match_id"),
+        (F.col("p_size") % 4).alias("season_number_adj"),
+        F.when(k % 3 == 0, "original").when(k % 3 == 1, "acquired").otherwise("unknown").alias("program_type"),
         F.when(F.col("p_type") == "PROMO", "movies").otherwise("series").alias("content_category"),
-        s.ts("2020-06-01 00:00:00").alias("earliest_offered_timestamp"),
+        (k % 2).alias("single_episode_ind"),
+        (F.col("p_size") % 2).alias("in_sequantial_releasing_period"),
+        (F.col("p_size") % 5 == 0).cast("int").alias("at_release_year"),
+        (k % 7 + 1).alias("dayofweek_earliest_date"),
+        (F.col("p_retailprice") / 1000).alias("total_hours"),
+        (F.lit(2020) - F.col("p_size") % 5).alias("prod_release_year"),
+        (F.col("p_size") / 10).alias("title_age_approx"),
+    )
+    genres = part.select(
+        k.alias("match_id"),
+        F.when(k % 11 != 0, F.concat(F.lower("p_type"), F.lit(" | "), F.split("p_name", " ")[0])).alias("wm_enterprise_genres_agg"),
+    )
+    cost = items.where("l_returnflag = 'A'").groupBy("match_id").agg(
+        F.avg("l_extendedprice").alias("content_cost"), F.log1p(F.sum("l_tax")).alias("ln_total_media_cost_pre_launch")
     )
-    recent = part.where("content_category = 'movies'").select("match_id", F.lit(364).alias("window"))
+    offers = items.select("l_orderkey", "match_id", "l_shipdate").join(orders, "l_orderkey").groupBy("match_id").agg(
+        F.min(F.datediff("l_shipdate", "o_orderdate")).alias("min_days_since_offered"),
+        F.min("o_orderdate").alias("earliest_offered_timestamp"),
+    )
+    recent = part.where("p_type = 'PROMO'").select(k.alias("match_id"), F.lit(364).alias("window"))
     shortened = new_rows(_hours_share(spark, d), recent, ["match_id", "window"])
-    rows = stored(forecast.share_features(shortened, part))
-    numeric = [f"logit_{c}" for c in ("hourspct7d", "hourspct14d", "hourspct28d", "hourspct8w", "hourspct26w")]
-    return forecast.share_forecast(
-        rows, [*numeric, "is_original", "is_series"], "2024-01-01", draws=2, folds=2, rounds=2
+    return stored(forecast.share_features(shortened, [metadata, genres, cost, offers], "1995-01-01"))
+
+
+_SHARE = {
+    **HOURS,
+    "short": "select * from share where not (window_days = 364 and match_id in (select p_partkey from part where p_type = 'PROMO'))",
+    "hp": "select match_id, "
+    + ", ".join(f"max(score) filter (window_days = {w}) as {c}" for w, c in HOURS_WINDOW_NAMES.items())
+    + " from short group by 1",
+    "cost": "select l_partkey as match_id, avg(l_extendedprice) as content_cost, ln(1 + sum(l_tax)) as media from lineitem "
+    "where l_returnflag = 'A' group by 1",
+    "offered": "select l_partkey as match_id, min(date_diff('day', o_orderdate::date, l_shipdate::date)) as least, min(o_orderdate) as first "
+    "from lineitem join orders on o_orderkey = l_orderkey group by 1",
+    "inputs": """
+        select hp.*, p_size % 4 as season_number_adj, case p_partkey % 3 when 0 then 1.0 when 1 then 0.0 end as is_original,
+            case when p_type = 'PROMO' or p_partkey % 13 = 0 then 0.0 else 1.0 end as is_series, p_partkey % 2 as single_episode_ind,
+            p_size % 2 as in_sequantial_releasing_period, (p_size % 5 = 0)::integer as at_release_year,
+            p_partkey % 7 + 1 as dayofweek_earliest_date, p_retailprice / 1000 as total_hours, 2020 - p_size % 5 as prod_release_year,
+            p_size / 10 as title_age_approx, content_cost, media as ln_total_media_cost_pre_launch, least as min_days_since_offered,
+            date_diff('day', date '1995-01-01', first::date) as launch_time, p_partkey % 13 = 0 as gone,
+            case when p_partkey % 11 = 0 then 'nan' else lower(p_type) || '|' || split_part(p_name, ' ', 1) end as genres
+        from hp join part on p_partkey = hp.match_id left join cost using (match_id) left join offered using (match_id)
+        where hourspct7d is not null and hourspct14d is not null""",
+}
+_META_INPUTS = (
+    "season_number_adj", "is_original", "single_episode_ind", "in_sequantial_releasing_period", "at_release_year",
+    "dayofweek_earliest_date", "total_hours", "prod_release_year", "title_age_approx",
+)
+_OTHER_INPUTS = ("is_series", "content_cost", "ln_total_media_cost_pre_launch", "min_days_since_offered", "launch_time")
+
+
+@query(
+    "share_inputs",
+    s.sql(
+        "",
+        "select match_id, "
+        + ", ".join(
+            f"round(case when {c} > 0 and {c} < 100 then ln({c} / 100 / (1 - {c} / 100)) end, 6)::double as logit_{c}"
+            for c in HOURS_WINDOW_NAMES.values()
+        )
+        + ", "
+        + ", ".join(f"case when not gone then round({c}, 6)::double end as {c}" for c in _META_INPUTS)
+        + ", "
+        + ", ".join(f"round({c}, 6)::double as {c}" for c in _OTHER_INPUTS)
+        + ", array_to_string(list_sort(list_distinct(string_split(genres, '|'))), ';') as genres from inputs",
+        **_SHARE,
+    ),
+)
+def share_inputs(spark, d):
+    rows = _share_features(spark, d)
+    number = lambda c: F.round(F.col(c).cast("double"), 6).alias(c)
+    logits = [f"logit_{c}" for c in HOURS_WINDOW_NAMES.values()]
+    return rows.select(
+        "match_id", *map(number, logits), *map(number, _META_INPUTS), *map(number, _OTHER_INPUTS),
+        F.array_join("genres", ";").alias("genres"),
     )
 
 
+@query("share_forecast")
+def share_forecast(spark, d):
+    """52-week share of titles without a full year: 100 draws over ten folds on the others."""
+    return forecast.share_forecast(_share_features(spark, d), "2024-01-01", limit=400)
+
+
+@query(
+    "share_forecast_check",
+    s.sql(
+        "",
+        """select match_id, '2024-01-01' as prediction_date, true as in_range, case when hourspct26w is not null then 182
+            when hourspct13w is not null then 91 when hourspct8w is not null then 56 when hourspct28d is not null then 28
+            when hourspct21d is not null then 21 else 14 end as window_days
+            from inputs where hourspct52w is null and (select count(*) from inputs where hourspct52w > 0 and hourspct52w < 100) > 0""",
+        **_SHARE,
+    ),
+)
+def share_forecast_check(spark, d):
+    rows = share_forecast(spark, d)
+    inside = F.coalesce(F.col("predicted_hourspct").between(0, 100), F.lit(False))
+    return rows.select("match_id", "prediction_date", inside.alias("in_range"), "window_days")
+
+
 @query("first_view_forecast")
 def first_view_forecast(spark, d):
     titles = stored(titles_with_references(spark, d))

@@ -5,6 +5,9 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pytest
+
+from marquee.operators import audience
 from marquee.operators.audience import audience_counts, events_up_to, gaps_inside
 from marquee.operators.intervals import merge_intervals
 
@@ -27,7 +30,9 @@ def test_events_up_to(spark):
             assert got[p] == sum(1 for (e,) in events if (e <= p if inclusive else e < p))
 
 
-def test_counts_match_definition(spark):
+@pytest.mark.parametrize("edges", [0, 10_000])
+def test_counts_match_definition(spark, monkeypatch, edges):
+    monkeypatch.setattr(audience, "EDGES", edges)  # 0: no window set is small enough to place directly
     rng = random.Random(11)
     day = 24 * 60
     periods = []

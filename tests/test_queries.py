@@ -17,8 +17,6 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_sql(spark, con, name):
-    if name == "share_forecast":
-        pytest.skip("too few titles with a full year of hours on the smallest tables")
     ok, text = compare(name, spark, SF, con)
     assert ok, text
 
