@@ -576,6 +576,35 @@ def due_runs(spark, d):
     return incremental.due(planned, marks, ["platform", "nday"], "2024-01-28").select("platform", "nday")
 
 
+@query(
+    "empty_runs",
+    sql(
+        "ev",
+        """
+        select p as platform, n as nday from (select unnest(['view', 'click', 'trailer']) as p),
+            (select unnest(generate_series(0, 12)) as n)
+        left join (select event_type, k % 10 as nday, max(ts)::date as m from ev where value > 150 group by 1, 2) e
+            on event_type = p and nday = n
+        where (m is null or m < date '2024-01-28') and not (p = 'trailer' and n >= 10)""",
+    ),
+)
+def empty_runs(spark, d):
+    """Runs that found nothing record their state, so they are not due again."""
+    rows = s.events(spark, d).where("value > 150").select(
+        F.col("event_type").alias("platform"), (F.col("k") % 10).alias("nday"), "ts"
+    )
+    path = scratch_path(spark)
+    for nday in (10, 11, 12):
+        incremental.record_empty_run(spark, path, "trailers", "trailer", nday, "2024-01-28")
+    state = spark.read.parquet(path).select("platform", F.col("nday").cast("bigint").alias("nday"), "last_update_date")
+    marks = incremental.high_water(rows, ["platform", "nday"], "ts").unionByName(state)
+    planned = spark.range(0, 13).withColumnRenamed("id", "nday").withColumn(
+        "platform", F.explode(F.array(F.lit("view"), F.lit("click"), F.lit("trailer")))
+    )
+    latest = incremental.high_water(marks, ["platform", "nday"], "last_update_date")
+    return incremental.due(planned, latest, ["platform", "nday"], "2024-01-28").select("platform", "nday")
+
+
 @query(
     "rolling_rebuild",
     """

@@ -247,6 +247,8 @@ _DECAY = {
         select *, case when days_since_premiere = 0 then cumpct
             else cumpct - lag(cumpct) over (partition by category order by days_since_premiere) end as pct from curve0""",
 }
+#: Titles, daily grid and decay curve, for queries that forecast from them.
+FIRST_VIEWS = {**_ASSETS, **_DECAY}
 _DECAY_KEYS = ["title_id", "season_number", "content_category", "category", "tier", "effective_start_date"]
 
 

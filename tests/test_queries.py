@@ -19,6 +19,8 @@ def con():
 def test_query_matches_sql(spark, con, name):
     ok, text = compare(name, spark, SF, con)
     assert ok, text
+    if name not in entry.oracle_sql():
+        pytest.skip("no SQL: only rows and finite numbers were held")
 
 
 def test_entry_has_rows(spark):
