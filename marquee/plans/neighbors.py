@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marquee.constants import EMBARGO_DAYS, NO_NEIGHBOUR
 
 BLOCK_ROWS = 2048
+TILE = 1 << 20  # distances that a task holds at a time
 _CANDIDATE = "id string, neighbour string, distance double, neighbour_target double"
 
 
@@ -26,36 +27,45 @@ def _block(edges: list[int]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("at_us")))
 
 
+def _closest(left: np.ndarray, right: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row of ``left`` its k nearest allowed rows of ``right``: row, place and distance,
+    nearest first, equal distances by place.
+
+    One matrix product gives all squared distances up to rounding; those that may be among the
+    first k within its error are taken again exactly.
+    """
+    size = (left**2).sum(1)[:, None] + (right**2).sum(1)[None, :]
+    rough = np.where(allowed, size - 2 * left @ right.T, np.inf)
+    n = min(k, rough.shape[1])
+    limit = np.partition(rough, n - 1, axis=1)[:, n - 1 : n]
+    error = 1e-12 * left.shape[1] * size.max(initial=0.0, where=np.isfinite(size))
+    row, place = np.nonzero(allowed & (rough <= limit + 2 * error))
+    exact = np.sqrt(((right[place] - left[row]) ** 2).sum(axis=1))
+    order = np.lexsort((place, exact, row))
+    row, place, exact = row[order], place[order], exact[order]
+    first = np.searchsorted(row, row)
+    keep = np.arange(len(row)) - first < k
+    return row[keep], place[keep], exact[keep]
+
+
 def _nearest(k: int, embargo_us: int):
     def search(key, query: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame(
-            {"id": [], "neighbour": [], "distance": [], "neighbour_target": []}
-        ).astype({"id": str, "neighbour": str, "distance": float, "neighbour_target": float})
-        if query.empty or base.empty:
-            return empty
-        base = base.sort_values("id", kind="stable")
-        left = np.stack(query["curve"].to_numpy()).astype(float)
-        right = np.stack(base["curve"].to_numpy()).astype(float)
-        base_at = base["at_us"].to_numpy()
-        names, targets = base["id"].to_numpy(), base["target"].to_numpy()
         parts = []
-        for row, at, vector in zip(query["id"], query["at_us"], left):
-            distance = np.sqrt(((right - vector) ** 2).sum(axis=1))
-            distance[base_at + embargo_us >= at] = np.inf
-            # stable, so equal distances keep the order of ids
-            order = np.argsort(distance, kind="stable")[:k]
-            order = order[np.isfinite(distance[order])]
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "id": row,
-                        "neighbour": names[order],
-                        "distance": distance[order],
-                        "neighbour_target": targets[order],
-                    }
-                )
-            )
-        return pd.concat(parts, ignore_index=True) if parts else empty
+        if len(query) and len(base):
+            base = base.sort_values("id", kind="stable")  # equal distances keep the order of ids
+            left = np.stack(query["curve"].to_numpy()).astype(float)
+            right = np.stack(base["curve"].to_numpy()).astype(float)
+            base_at, query_at = base["at_us"].to_numpy(), query["at_us"].to_numpy()
+            names, targets, own = base["id"].to_numpy(), base["target"].to_numpy(), query["id"].to_numpy()
+            step = max(1, TILE // len(base))
+            for at in range(0, len(query), step):
+                some = slice(at, at + step)
+                allowed = base_at[None, :] + embargo_us < query_at[some, None]
+                row, place, distance = _closest(left[some], right, allowed, k)
+                parts.append((own[some][row], names[place], distance, targets[place]))
+        columns = [np.concatenate([p[i] for p in parts]) if parts else [] for i in range(4)]
+        kinds = {"id": str, "neighbour": str, "distance": float, "neighbour_target": float}
+        return pd.DataFrame(dict(zip(kinds, columns, strict=True))).astype(kinds)
 
     return search
 

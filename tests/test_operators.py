@@ -14,7 +14,7 @@ from marquee.operators.aggregates import mode_per_key, percentiles_per_key, runn
 from marquee.operators.joins import new_rows, not_in, one_to_one, small_side
 from marquee.operators.pivots import common_labels, day_pivot, multi_hot, one_hot, unpivot_days
 from marquee.plans import actives, features, learning
-from marquee.plans.neighbors import trend_neighbours
+from marquee.plans.neighbors import _closest, trend_neighbours
 from marquee.sources import files
 from marquee.streaming import incremental
 
@@ -262,3 +262,17 @@ def test_unquoted_csv(spark, tmp_path):
     files.write_csv(df, str(tmp_path / "x"), single_file=True)
     text_rows = [r.value for r in spark.read.text(str(tmp_path / "x")).collect()]
     assert text_rows[0] == "k,name" and sorted(text_rows[1:]) == ['1,say "hi"', "2,\\N"]
+
+
+def test_closest_rows_are_exact_and_ties_keep_their_order():
+    draw = np.random.default_rng(4)
+    left, right = draw.normal(size=(40, 6)).round(1), draw.normal(size=(90, 6)).round(1)
+    right[50:60] = right[40:50]  # equal distances
+    left[:5] = right[:5] + 1e7  # large numbers round away in the product
+    allowed = draw.random((40, 90)) < 0.7
+    allowed[3] = False
+    row, place, distance = _closest(left, right, allowed, 4)
+    for i in range(40):
+        exact = np.sqrt(((right - left[i]) ** 2).sum(1))
+        want = sorted((exact[j], j) for j in range(90) if allowed[i, j])[:4]
+        assert [(d, p) for d, p in zip(distance[row == i], place[row == i])] == want
