@@ -50,8 +50,9 @@ def chunks(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     start = bounds[doc] + (np.arange(first[-1]) - first[doc]) * STEP
     at = start[:, None] + np.arange(CHUNK)
     inside = at < bounds[doc + 1][:, None]
-    codes = np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))] if len(data) else 0, PAD)
-    return codes.astype(np.uint16), first
+    known = data[np.minimum(at, max(len(data) - 1, 0))].astype(np.uint16) if len(data) else np.uint16(0)
+    codes = np.where(inside, known, np.uint16(PAD))
+    return codes, first
 
 
 class Network:
@@ -134,7 +135,8 @@ class Network:
 
 def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, per_row: int = FIT_CHUNKS) -> DataFrame:
     """quality and at most ``per_row`` chunks of each of at most ``rows`` labelled documents, the
-    ones with the least hash of the id. The sample's ids are a bounded table."""
+    ones with the least hash of the id. The sample's ids are a bounded table; of an id that
+    several rows have, the text that sorts first teaches."""
     marked = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -145,7 +147,7 @@ def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, per_row
         .select("doc_id", "quality")
     )
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows_in = texts.join(F.broadcast(marked), "doc_id").select("doc_id", "text", "quality")
+    rows_in = texts.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
