@@ -8,6 +8,8 @@ equal runs they are the shards, so the shards' row counts are at most one apart.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -52,7 +54,12 @@ def shuffle_to_shards(
     rows = int(before[-1])
     edges = np.array([-(-s * rows // shards) for s in range(shards + 1)], np.int64)
 
-    def shuffle(table: pa.Table) -> pa.Table:
+    def shuffle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield from shuffled(pa.Table.from_batches(held)).to_batches(max_chunksize=10_000)
+
+    def shuffled(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         order = pc.sort_indices(table, [("key", "ascending"), ("doc_id", "ascending")])
         place = np.empty(table.num_rows, np.int64)
@@ -67,7 +74,8 @@ def shuffle_to_shards(
             .append_column("shard", pa.array(shard.astype(np.int32)))
         )
 
-    keyed.groupBy("bucket").applyInArrow(
+    # Each bucket is a partition of its own, so a task holds one bucket however many there are.
+    keyed.repartitionById(buckets, "bucket").mapInArrow(
         shuffle, "doc_id long, text string, size long, slot long, shard int"
     ).write.partitionBy("shard").parquet(path)
     return docs.sparkSession.read.schema("doc_id long, text string, size long, slot long, shard int").parquet(path)
