@@ -150,7 +150,8 @@ def _private() -> str:
     term = r"\p{L}[\p{L}\p{N}\x27-]{2,}"
     reach = pii.REACH
     return f"""
-    with t as (select doc_id, coalesce(text, '') as text from documents),
+    with d as (select doc_id, coalesce(text, '') as text from documents),
+        t as (select row_number() over () as doc_id, text from (select distinct text from d)),
         {_span_cte("email", "email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 0, "true")},
         {_span_cte("ip", "ip", 1, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", 0, parts)},
         {_span_cte("card", "card", 2, r"[0-9](?:[\x20-]?[0-9])+", 0, f"length({digits}) between 14 and 19 and {luhn}")},
@@ -160,25 +161,28 @@ def _private() -> str:
                 substr(text, b + 1, {reach}) as after, greatest(a - {reach}, 0) as from_, b as to_ from base join t using (doc_id)),
         windows as (select row_number() over () as doc_id, doc_id as doc, entity, before, after, before as text, from_ as shift, true as is_before from sides
             union all select -row_number() over (), doc_id, entity, before, after, after, to_, false from sides),
-        {_span_cte("term", "term", 0, term, 0, "true", "windows")},
+        {_span_cte("beside", "beside", 0, term, 0, "true", "windows")},
         terms as (select distinct doc, entity, before || chr(0) || after as context, lower(hit) as term, shift + a as a, shift + b as b
-            from term join windows using (doc_id) where case when is_before then a > 0 or shift = 0 else b < {reach} end),
-        ne as (select entity, count(distinct context) as n_entity from terms group by 1),
-        nt as (select term, count(*) as n_term from (select distinct entity, context, term from terms) group by 1),
-        nb as (select entity, term, count(distinct context) as n_both from terms group by 1, 2 having count(distinct context) >= {pii.SUPPORT}),
-        total as (select count(*) as n from (select distinct entity, context from terms)),
-        told as (select entity, term, log2(n_both * n / (n_term * n_entity)) / nullif(log2(n / n_entity), 0) as share
-            from nb join ne using (entity) join nt using (term), total),
-        added as (select distinct doc as doc_id, a, case when share >= {pii.REMOVED} then 5 else 4 end as o,
-            case when share >= {pii.REMOVED} then 'removed' else 'general' end as kind, b from terms join told using (entity, term)
-            where share >= {pii.GENERALISED}),
+            from beside join windows using (doc_id) where case when is_before then a > 0 or shift = 0 else b < {reach} end),
+        {_span_cte("word", "word", 0, term, 0, "true")},
+        nw as (select lower(hit) as term, count(distinct doc_id) as n_word from word group by 1),
+        ne as (select entity, count(distinct doc) as n_entity from terms group by 1),
+        nb as (select entity, term, count(distinct doc) as n_both from terms group by 1, 2 having count(distinct context) >= {pii.SUPPORT}),
+        total as (select count(*) as n from t),
+        told as (select term, max(case when n > n_entity then
+                log2(n_both * n / (greatest(coalesce(n_word, 0), n_both) * n_entity)) / log2(n / n_entity) end) as share
+            from nb join ne using (entity) left join nw using (term), total group by 1),
+        levels as (select term, share >= {pii.REMOVED} as gone from told where share >= {pii.GENERALISED}),
+        places as (select doc_id, a, b, gone from word join levels on term = lower(hit)
+            union select doc, a, b, gone from terms join levels using (term)),
+        added as (select doc_id, a, case when gone then 5 else 4 end as o, case when gone then 'removed' else 'general' end as kind, b from places),
         every as (select doc_id, a, o, kind, b from base union all select * from added),
         d1 as (select doc_id, {_LIST} as s, {", ".join(f"count(*) filter (kind = '{k.name}') as n_{k.name}" for k in pii.BASE)}
             from base group by 1),
         d2 as (select doc_id, {_LIST} as s from every group by 1)
-    select t.doc_id, {", ".join(f"coalesce(n_{k.name}, 0) as n_{k.name}" for k in pii.BASE)},
+    select d.doc_id, {", ".join(f"coalesce(n_{k.name}, 0) as n_{k.name}" for k in pii.BASE)},
         sha256(coalesce(d1.s, '')) as base_sha256, coalesce(d2.s, '') as spans
-    from t left join d1 using (doc_id) left join d2 using (doc_id)
+    from d join t using (text) left join d1 on d1.doc_id = t.doc_id left join d2 on d2.doc_id = t.doc_id
     """
 
 
