@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -150,3 +153,92 @@ def test_pipeline_takes_edge_cases(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, "/root/testdata/sf0.001"))
         assert docs.count() >= 0
+
+
+def plain_score(network, text: str) -> float:
+    """The network's probability by loops over bytes, windows and filters."""
+    data = list(text.encode())
+    starts, pooled = [0], []
+    while starts[-1] + classifier.CHUNK < len(data):
+        starts.append(starts[-1] + classifier.STEP)
+    for start in starts:
+        codes = [data[i] if i < len(data) else classifier.PAD for i in range(start, start + classifier.CHUNK)]
+        peaks = [-math.inf] * classifier.FILTERS
+        for at in range(0, classifier.CHUNK - classifier.WIDTH + 1, classifier.STRIDE):
+            window = [float(v) for c in codes[at : at + classifier.WIDTH] for v in network.embedding[c]]
+            for f in range(classifier.FILTERS):
+                value = sum(w * float(x) for w, x in zip(window, network.filters[:, f], strict=True))
+                peaks[f] = max(peaks[f], value)
+        pooled.append([max(p + float(o), 0.0) for p, o in zip(peaks, network.offset, strict=True)])
+    mean = [sum(column) / len(pooled) for column in zip(*pooled, strict=True)]
+    z = sum(m * float(w) for m, w in zip(mean, network.weights, strict=True)) + float(network.bias[0])
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_are_the_plain_convolutions(spark):
+    docs = cases.edge(spark).where("doc_id in (1, 4, 6, 12, 13)")
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 12)], "doc_id long, quality int, toxic int")
+    network = classifier.fitted(docs, classifier.learnable(marks))
+    got = {}
+    for r in classifier.quality_scores(docs, marks).collect():
+        got.setdefault(r.doc_id, []).append(r.score)
+    for doc, text in cases.texts(docs):
+        assert got[doc] == [pytest.approx(plain_score(network, text), abs=1e-3)]
+
+
+def test_rows_of_one_labelled_id_teach_once(spark):
+    schema = "doc_id long, text string"
+    rows = [(1, "good prose " * 40), (2, "bad #### " * 40)]
+    marks = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    many = spark.createDataFrame(rows + rows[:1] * 500, schema)
+    once = spark.createDataFrame(rows, schema)
+    samples = [sorted(map(tuple, classifier.fit_sample(d, marks).collect())) for d in (once, many)]
+    assert samples[0] == samples[1]
+
+
+def plain_mixture(model, counts: dict[int, int]) -> tuple[str, float]:
+    """Mixtures by loops: full expectation-maximisation ranks the languages, then one more is
+    taken while the penalised likelihood rises."""
+    table = model.table.astype(float)
+    languages = range(len(model.names))
+    total = sum(counts.values())
+
+    def mixed(some):
+        shares = [1 / len(some)] * len(some)
+        for _ in range(language.STEPS if len(some) > 1 else 0):
+            new = [0.0] * len(some)
+            for kind, n in counts.items():
+                whole = sum(table[kind][l] * s for l, s in zip(some, shares, strict=True))
+                for i, l in enumerate(some):
+                    new[i] += n * shares[i] * table[kind][l] / whole
+            shares = [x / total for x in new]
+        value = sum(n * math.log(sum(table[k][l] * s for l, s in zip(some, shares, strict=True))) for k, n in counts.items())
+        return shares, value
+
+    alone = [mixed([l])[1] for l in languages]
+    chosen, shares, reached = [alone.index(max(alone))], [1.0], max(alone)
+    full = mixed(list(languages))[0]
+    order = sorted(languages, key=lambda l: -full[l])
+    penalty = language.PENALTY * language.OVERLAP * 0.5 * math.log(total + 1)
+    for size in range(2, len(order) + 1):
+        some, value = mixed(order[:size])
+        if value - penalty * (size - 1) <= reached:
+            break
+        chosen, shares, reached = order[:size], some, value - penalty * (size - 1)
+    best = shares.index(max(shares))
+    return model.names[chosen[best]], min(max(shares[best], 0.0), 1.0)
+
+
+def test_predictions_are_the_plain_mixtures(spark):
+    docs = cases.given(spark)
+    learn = docs.where(language.fold(5) != 0)
+    counts = [tuple(r) for r in language.trigram_counts(learn.where("lang is not null").select(F.coalesce("text", F.lit("")).alias("text"), "lang")).collect()]
+    model = language.Languages(counts)
+    got = {r.doc_id: r for r in language.held_out_prediction(docs).collect()}
+    for doc, text in cases.texts(docs.where("length(text) < 1500"))[:60]:
+        if not language.LETTER.search(text):
+            assert got[doc].lang_pred == "und"
+            continue
+        kinds = Counter(language.trigrams(text).tolist())
+        name, score = plain_mixture(model, kinds)
+        assert got[doc].lang_pred == name and abs(got[doc].score - score) < 1e-3

@@ -9,9 +9,10 @@ import re
 import time
 from collections import Counter
 
+import duckdb
 import pytest
 
-from marquee.llm import pii, quality, secrets
+from marquee.llm import pii, quality, secrets, sql
 
 from . import cases
 
@@ -298,3 +299,32 @@ def test_redacted_texts(spark, which):
         text = r.text and "".join(out) + r.text[at:]
         expected.append((r.doc_id, text, r.lang, r.source, None if text is None else len(text)))
     assert cases.same(secrets.redact(docs).collect(), expected)
+
+
+def test_disclosing_terms_agree_with_sql(spark, tmp_path):
+    """A table in which the method acts: names that stand beside one mailbox or number alone."""
+    draw = random.Random(9)
+    common = "we met at noon and went on to the river with plain words about rain".split()
+    texts = []
+    for i in range(300):
+        words = draw.choices(common, k=30)
+        who = i % 10
+        if i % 3 == 0:
+            words[5 + i % 9] = f"Person{chr(97 + who)} {'of Kraków ' * (i % 2)}wrote p{who}@mail{who}.example.org"
+        if i % 7 == 0:
+            words[20] = f"ring +1 555 010 {4000 + who} for Doctor{chr(97 + who)}"
+        if i % 11 == 0:
+            words[29] = f"so says PERSON{chr(65 + who)}"
+        texts.append(" ".join(words))
+    texts += texts[:20] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = str(tmp_path / "documents")
+    docs.coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{path}/*.parquet')")
+    found = con.execute(sql.PRIVATE)
+    names = [c[0] for c in found.description]
+    got = pii.private_digest(docs)
+    assert cases.same([tuple(r[c] for c in names) for r in got.collect()], found.fetchall())
+    spans = " ".join(r.spans for r in got.collect())
+    assert spans.count("removed") > 50
