@@ -85,9 +85,11 @@ def share_forecast(
     folds: int = SEARCH_FOLDS,
     rounds: int = SEARCH_ROUNDS,
     limit: int = trials.FIT_ROWS,
+    path: str | None = None,
 ) -> DataFrame:
     """Predicted 52-week share in percent for titles without one, by the best of the drawn
-    settings. Without a title that has a full year there is nothing to learn from: no rows."""
+    settings. Without a title that has a full year there is nothing to learn from: no rows.
+    ``path`` keeps the trials, so that a search that was cut off goes on."""
     spark = features.sparkSession
     rows, inputs = share_inputs(features)
     label = f"logit_{FINAL}"
@@ -95,7 +97,7 @@ def share_forecast(
     sample = trials.sample_of(train, "match_id", label, inputs, limit=limit)
     best = trials.Boosting()
     if len(sample):
-        best, _ = trials.random_search(spark, sample, trials.drawn_settings(draws, rounds=rounds), folds)
+        best, _ = trials.random_search(spark, sample, trials.drawn_settings(draws, rounds=rounds), folds, path)
     models = trials.fitted(spark, sample, [trials.Task(tuple(inputs), best)])
     new = rows.where(F.col(FINAL).isNull())
     scored = trials.scored(new, models, ["match_id", "max_window"], "_model")

@@ -309,11 +309,12 @@ def cross_predict(
     offered: str,
     settings: Boosting,
     keep: Sequence[str],
+    path: str | None = None,
 ) -> DataFrame:
     """Out-of-fold predictions of all rows of the test folds: each fold by a model of the sampled
     titles before it."""
     tasks = [Task(sample.columns, settings, f.train(sample)) for f in folds]
-    models = fitted(spark, sample, tasks)
+    models = fitted(spark, sample, tasks, path)
     at = F.unix_micros(offered)
     listed = F.filter(
         F.array(*(F.when(at.between(f.lower, f.upper), F.lit(i)) for i, f in enumerate(folds))), lambda x: x.isNotNull()

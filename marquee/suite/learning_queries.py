@@ -356,10 +356,15 @@ def share_inputs(spark, d):
     )
 
 
+_SHARE_TRIALS: dict[tuple, str] = {}  # the trials of a process, read again by the check below
+
+
 @query("share_forecast")
 def share_forecast(spark, d):
     """52-week share of titles without a full year: 100 draws over ten folds on the others."""
-    return forecast.share_forecast(_share_features(spark, d), "2024-01-01", limit=400)
+    key = (spark.sparkContext.applicationId, d)
+    path = _SHARE_TRIALS.setdefault(key, scratch_path(spark))
+    return forecast.share_forecast(_share_features(spark, d), "2024-01-01", limit=400, path=path)
 
 
 @query(

@@ -111,9 +111,29 @@ def _ahead(lines):
     return so_far.select(KEY, (F.lit(27) - F.col("back")).alias("day"), F.lit("wiki").alias("metric"), value.alias("value"))
 
 
+#: Tables that a daily job would publish for all models, and the trials of one run of a search:
+#: written once in a process and read by every query that needs them.
+_PUBLISHED: dict[tuple, object] = {}
+
+
+def _published(spark, d, name, build):
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _PUBLISHED:
+        _PUBLISHED[key] = build()
+    return _PUBLISHED[key]
+
+
+def _trials(spark, d, name):
+    return _published(spark, d, f"trials of {name}", lambda: scratch_path(spark))
+
+
 def _matrix(spark, d):
     """The fitted matrix and its wide rows with launch, kind of title and target (the log of the
     share on day 28, null until that day)."""
+    return _published(spark, d, "matrix", lambda: _built(spark, d))
+
+
+def _built(spark, d):
     lines = stored(_lines(spark, d))
     titles = stored(_titles(spark, d, lines))
     signals = stored(_signals(lines, titles))
@@ -310,7 +330,8 @@ _SAMPLE = f"select key, launch, original from wide where target is not null orde
 def tune_grid(spark, d):
     matrix, rows = _matrix(spark, d)
     folds = trials.folds_of(bounds_of(spark, d))
-    _, table = trials.tune(spark, _sample(rows, matrix.columns(14)), folds, learning.boosting_grid())
+    sample = _sample(rows, matrix.columns(14))
+    _, table = trials.tune(spark, sample, folds, learning.boosting_grid(), path=_trials(spark, d, "grid"))
     return table
 
 
@@ -348,7 +369,7 @@ def _searched(spark, d):
     matrix, rows = _matrix(spark, d)
     columns = [c for c in matrix.columns(3) if not c.startswith(("tag_", "licensor_"))]
     sample = _sample(rows, columns, SEARCH_ROWS)
-    return trials.random_search(spark, sample, trials.drawn_settings())[1]
+    return trials.random_search(spark, sample, trials.drawn_settings(), path=_trials(spark, d, "search"))[1]
 
 
 @query("random_search")
@@ -375,11 +396,11 @@ def random_search_check(spark, d):
     ).withColumn("fold", big("fold"))
 
 
-def _day_scores(spark, d, days, learner):
+def _day_scores(spark, d, days, learner, name):
     matrix, rows = _matrix(spark, d)
     tasks = trials.day_tasks(days, matrix.columns, learner, matrix.rising)
     new = rows.where(F.col("target").isNull())
-    return trials.score_days(new, _sample(rows, _every(matrix)), days, tasks, [KEY])
+    return trials.score_days(new, _sample(rows, _every(matrix)), days, tasks, [KEY], _trials(spark, d, name))
 
 
 _DAY_KEYS = "select key as match_id_platform, pred_day, true as usable from wide, (select unnest(generate_series({}, {})) as pred_day) where target is null"
@@ -393,7 +414,7 @@ def _usable(scores):
 @query("score_days")
 def score_days(spark, d):
     """Percent viewed on every day from -27 to 26, by boosting."""
-    return _day_scores(spark, d, trials.VIEWED_DAYS, trials.viewed_learner)
+    return _day_scores(spark, d, trials.VIEWED_DAYS, trials.viewed_learner, "viewed")
 
 
 @query("score_days_check", sql("", _DAY_KEYS.format(-27, 26), **_WIDE))
@@ -404,7 +425,7 @@ def score_days_check(spark, d):
 @query("score_days_actives", sql("", _DAY_KEYS.format(-27, 27), **_WIDE))
 def score_days_actives(spark, d):
     """Percent actives on every day from -27 to 27, linear before launch and from day 14."""
-    return _usable(_day_scores(spark, d, trials.ACTIVES_DAYS, trials.actives_learner))
+    return _usable(_day_scores(spark, d, trials.ACTIVES_DAYS, trials.actives_learner, "actives"))
 
 
 def _crossed(spark, d):
@@ -412,7 +433,8 @@ def _crossed(spark, d):
     folds = trials.folds_of(bounds_of(spark, d))
     sample = _sample(rows, matrix.columns(14))
     known = rows.where(F.col("target").isNotNull())
-    return trials.cross_predict(spark, known, sample, folds, "launch", Boosting(), [KEY, "target"])
+    store = _trials(spark, d, "folds")
+    return trials.cross_predict(spark, known, sample, folds, "launch", Boosting(), [KEY, "target"], store)
 
 
 @query("cross_predict_boosting")
