@@ -202,10 +202,15 @@ def _direct_counts(
     return found.select("opens", "launch", "n", users.alias("users"))
 
 
-def _few(moments: DataFrame) -> list[int] | None:
-    """The sorted microseconds of a column, if there are at most EDGES different ones."""
-    found = moments.distinct().limit(EDGES + 1).collect()
-    return None if len(found) > EDGES else sorted(r[0] for r in found)
+def _edges(anchors: DataFrame, days: Sequence[int]) -> tuple[list[int], list[int]] | None:
+    """The sorted microseconds at which windows open and close, if they are few."""
+    found = anchors.select(*(F.unix_micros(c) for c in ("opens", "launch"))).distinct().limit(EDGES + 1).collect()
+    if not 0 < len(found) <= EDGES:
+        return None
+    windows = [(opens, launch + n * DAY_US) for opens, launch in found for n in days]
+    opens, closes = (sorted({w[i] for w in windows if w[0] <= w[1]}) for i in (0, 1))
+    few = 0 < len(closes) <= EDGES and len(opens) * len(closes) <= CELLS
+    return (opens, closes) if few else None
 
 
 def audience_counts(
@@ -224,10 +229,9 @@ def audience_counts(
         .withColumn("closes", add_days(F.col("launch"), F.col("n")))
         .where(F.col("closes") >= F.col("opens"))
     )
-    opens = _few(grid.select(F.unix_micros("opens")))
-    closes = _few(grid.select(F.unix_micros("closes"))) if opens else None
-    if opens and closes and len(opens) * len(closes) <= CELLS:
-        return _direct_counts(islands, grid, opens, closes, user_start, user_end)
+    edges = _edges(anchors, days)
+    if edges is not None:
+        return _direct_counts(islands, grid, *edges, user_start, user_end)
     started = events_up_to(islands, user_start, grid, "closes").withColumnRenamed("n_events", "_started")
     ended = events_up_to(islands, user_end, anchors, "opens", inclusive=False).withColumnRenamed(
         "n_events", "_ended"
