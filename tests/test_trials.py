@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from marquee.operators.aggregates import running_list
 from marquee.plans import matrix as mx
 from marquee.plans import trials
 from marquee.plans.trees import Boosting, Line
@@ -197,3 +198,24 @@ def test_missing_values_keep_their_flag_in_vectors(spark):
     rows = spark.createDataFrame([(1, None, 2.0), (2, 0.0, None)], "k int, a double, b double")
     got = mx.vectors(rows, ["a", "b"]).orderBy("k").collect()
     assert [r.features.toArray().tolist() for r in got] == [[-1.0, 2.0, 1.0, 0.0], [0.0, -1.0, 0.0, 1.0]]
+
+
+def test_wide_rows_are_a_projection_of_the_titles(spark):
+    """Days, labels and codes of a title come from its own row: no shuffle, no long table."""
+    registry = mx.Registry(
+        (mx.Field("tags", mx.LABELS, prefix="tag_"), mx.Field("kind", mx.CATEGORY)), signals=("v",), last_day=3, ahead=("wiki",), first_day=-2
+    )
+    matrix = mx.Matrix(registry, {"tags": mx.Vocabulary("tag_", ("a b", "c"))}, {"kind": ("x", "y")})
+    rows = [("A", ["c", "z", None], "y", [1.0, 2.0, 3.0], [4.0, 5.0, 6.0]), ("B", None, "new", None, None), ("C", ["a b", "c"], None, [7.0], [8.0])]
+    titles = spark.createDataFrame(rows, "match_id_platform string, tags array<string>, kind string, f array<double>, b array<double>")
+    wide = matrix.wide(titles, {"log_v": "f", "log_ratio_v": "f"}, {"wiki": "b"}, ["f"])
+    assert "Exchange" not in wide._jdf.queryExecution().executedPlan().toString()
+    got = {r.match_id_platform: r for r in wide.collect()}
+    pick = lambda k: (got[k]["tag_a_b"], got[k]["tag_c"], got[k]["kind"], got[k]["day003_log_v"], got[k]["day002_log_ratio_v"], got[k]["before000_wiki"])
+    assert pick("A") == (0, 1, 1, 3.0, 2.0, 4.0) and pick("B") == (0, 0, mx.UNSEEN, None, None, None)
+    assert pick("C") == (1, 1, mx.UNSEEN, None, None, 8.0) and got["C"]["f"] == [7.0]
+
+
+def test_running_list_adds_up_the_days(spark):
+    rows = spark.createDataFrame([([(3, 5), (1, 2), (3, None), (None, 9)],), ([],)], "c array<struct<day:int, v:bigint>>")
+    assert [r.t for r in rows.select(running_list(F.col("c"), "day", "v", [1, 2, 3, 4]).alias("t")).collect()] == [[2, 2, 7, 7], [0, 0, 0, 0]]
