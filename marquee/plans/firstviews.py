@@ -183,33 +183,42 @@ def reference_graph(
     """Titles with what they refer to, and what those refer to.
 
     ``links`` has title_ref, reference_type, reference_ref; ``names`` title_ref and
-    original_title. Edge types are filtered before the joins.
+    original_title. Edge types are filtered before the joins, and each hop's edges are resolved
+    and made distinct by themselves: rows of distinct titles and distinct edges are distinct, so
+    the product of the hops is neither sorted nor shuffled to remove repeats.
     """
-    first = links.where(F.col("reference_type").isin(*REFERENCE_TYPES)).select(
-        "title_ref", "reference_type", F.col("reference_ref").alias("_ref")
-    ).distinct()
-    second = links.where(F.col("reference_type") == FEATURED_TYPE).select(
-        F.col("title_ref").alias("reference_title_id"),
-        F.col("reference_type").alias("_type2"),
-        F.col("reference_ref").alias("_ref2"),
-    ).distinct()
     named = names.select(
         F.col("title_ref").alias("reference_title_id"), F.col("original_title").alias("reference_title")
-    )
-    known = names.select(F.col("title_ref").alias("reference_reference_title_id"))
-    how = "left" if keep_unlinked else "inner"
-    hop1 = (
-        titles.join(names.select("title_ref"), "title_ref", "left_semi" if not keep_unlinked else "left")
-        .join(first, "title_ref", how)
+    ).distinct()
+    known = names.select(F.col("title_ref").alias("reference_reference_title_id")).distinct()
+    first = (
+        links.where(F.col("reference_type").isin(*REFERENCE_TYPES))
+        .select("title_ref", "reference_type", F.col("reference_ref").alias("_ref"))
+        .distinct()
         .join(named, F.col("_ref") == F.col("reference_title_id"), "left")
+        .drop("_ref")
+        .distinct()
     )
-    return (
-        hop1.join(second, "reference_title_id", "left")
+    second = (
+        links.where(F.col("reference_type") == FEATURED_TYPE)
+        .select(
+            F.col("title_ref").alias("reference_title_id"),
+            F.col("reference_type").alias("_type2"),
+            F.col("reference_ref").alias("_ref2"),
+        )
+        .distinct()
         .join(known, F.col("_ref2") == F.col("reference_reference_title_id"), "left")
-        .withColumnRenamed("_type2", "reference_reference_type")
-        .drop("_ref", "_ref2")
+        .drop("_ref2")
         .distinct()
     )
+    own = titles.distinct()
+    if not keep_unlinked:
+        own = own.join(names.select("title_ref"), "title_ref", "left_semi")
+    hops = own.join(first, "title_ref", "left" if keep_unlinked else "inner").join(second, "reference_title_id", "left")
+    return hops.withColumnRenamed("_type2", "reference_reference_type").select(
+        "reference_title_id", "title_ref", *[c for c in titles.columns if c != "title_ref"],
+        "reference_type", "reference_title", "reference_reference_type", "reference_reference_title_id",
+    )
 
 
 def reference_features(graph: DataFrame, keys: Sequence[str], training: bool = True) -> DataFrame:

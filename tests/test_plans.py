@@ -118,3 +118,22 @@ def test_scan_reads_two_columns_and_pushes_the_filter(spark):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in plan and "EqualTo(l_returnflag,R)" in plan
     assert "l_extendedprice" not in plan
+
+
+def test_reference_graph_removes_repeats_before_the_hops_meet(spark):
+    """Unknown references fall together, every row comes once, and no distinct runs over the product."""
+    titles = spark.createDataFrame([(1, "A"), (1, "A"), (2, "B"), (3, "C")], "title_ref long, title_name string")
+    names = spark.createDataFrame([(1, "a"), (2, "b"), (5, "e")], "title_ref long, original_title string")
+    links = spark.createDataFrame(
+        [(1, "follows", 2), (1, "follows", 2), (1, "follows", 8), (1, "follows", 9), (2, "featured_in", 5), (2, "featured_in", 7), (2, "featured_in", 6), (3, "follows", 2)],
+        "title_ref long, reference_type string, reference_ref long",
+    )
+    graph = firstviews.reference_graph(titles, names, links)
+    pick = lambda r: (r.title_ref, r.reference_type, r.reference_title_id, r.reference_reference_type, r.reference_reference_title_id)
+    b = [(1, "follows", 2, "featured_in", 5), (1, "follows", 2, "featured_in", None), (1, "follows", None, None, None)]
+    b += [(2, "featured_in", 5, None, None), (2, "featured_in", None, None, None)]
+    assert sorted(map(pick, graph.collect()), key=str) == sorted(b, key=str)
+    linked = firstviews.reference_graph(titles, names, links, keep_unlinked=True)
+    assert {(3, "follows", 2, "featured_in", 5)} < set(map(pick, linked.collect())) and linked.count() == 7
+    top = graph._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in top[: top.index("Join")]
