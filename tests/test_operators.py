@@ -276,3 +276,41 @@ def test_closest_rows_are_exact_and_ties_keep_their_order():
         exact = np.sqrt(((right - left[i]) ** 2).sum(1))
         want = sorted((exact[j], j) for j in range(90) if allowed[i, j])[:4]
         assert [(d, p) for d, p in zip(distance[row == i], place[row == i])] == want
+
+
+def test_calibration_places_rows_by_a_search_among_edges(spark, monkeypatch):
+    """Ranges end with their edge, zeros of either sign are one, and no row is compared to every edge."""
+    rows = [(float(x), 2.0 * (x % 7)) for x in range(-20, 21)] + [(-0.0, 1.0), (None, 3.0)]
+    df = spark.createDataFrame(rows, "x double, label double")
+    with monkeypatch.context() as m:  # the comparison with every edge was a filter of them all
+        m.setattr(learning.F, "filter", None)
+        got = learning.monotone_calibration(df, "label", "x", steps=5)
+    known = df.where("x is not null")
+    cuts = known.agg(F.percentile_approx("x", F.array(*[F.lit(i / 5) for i in range(1, 5)]), 50)).first()[0]
+    sizes = {}
+    for x, y in rows:
+        if x is not None:
+            sizes.setdefault(sum(c < x for c in cuts), []).append((x, y))
+    points = sorted((sum(x for x, _ in g) / len(g), sum(y for _, y in g) / len(g), len(g)) for g in sizes.values())
+    blocks = []
+    for x, y, n in points:  # pool adjacent violators
+        blocks.append([y, n, [x]])
+        while len(blocks) > 1 and blocks[-2][0] > blocks[-1][0]:
+            (b, m, xs), (a, k, ys) = blocks.pop(), blocks.pop()
+            blocks.append([(a * k + b * m) / (k + m), k + m, ys + xs])
+    low = blocks[0][0]
+    values = {r.x: r.calibrated for r in got.collect()}
+    assert abs(values[-20.0] - low) < 1e-9 and abs(values[20.0] - blocks[-1][0]) < 1e-9 and abs(values[None] - low) < 1e-9
+    assert values[-0.0] == values[0.0]
+
+
+def test_folds_are_fitted_side_by_side(spark, monkeypatch):
+    import threading
+
+    both, fit = threading.Barrier(2, timeout=60), learning.fit
+    monkeypatch.setattr(learning, "fit", lambda *a: (both.wait(), fit(*a))[1])
+    day = lambda n: datetime(2024, 1, 1) + timedelta(days=n)
+    df = spark.createDataFrame([(day(n), float(n), 2.0 * n) for n in range(100)], "at timestamp, x double, label double")
+    bounds = spark.createDataFrame([(0, day(50), day(59), day(30)), (1, day(60), day(69), day(40))], "fold int, lower timestamp, upper timestamp, train_before timestamp")
+    got = learning.cross_predict(df, bounds, "at", learning.feature_stages(["x"]), learning.linear("label")).collect()
+    assert len(got) == 20 and {r.fold for r in got} == {0, 1} and all(abs(r.prediction - r.label) < 1e-6 for r in got)
