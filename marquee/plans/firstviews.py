@@ -190,32 +190,24 @@ def reference_graph(
     named = names.select(
         F.col("title_ref").alias("reference_title_id"), F.col("original_title").alias("reference_title")
     ).distinct()
-    known = names.select(F.col("title_ref").alias("reference_reference_title_id")).distinct()
-    first = (
-        links.where(F.col("reference_type").isin(*REFERENCE_TYPES))
-        .select("title_ref", "reference_type", F.col("reference_ref").alias("_ref"))
-        .distinct()
-        .join(named, F.col("_ref") == F.col("reference_title_id"), "left")
-        .drop("_ref")
-        .distinct()
-    )
-    second = (
-        links.where(F.col("reference_type") == FEATURED_TYPE)
-        .select(
-            F.col("title_ref").alias("reference_title_id"),
-            F.col("reference_type").alias("_type2"),
-            F.col("reference_ref").alias("_ref2"),
+
+    def edges(types: Sequence[str], source: str, kind: str, target: str) -> DataFrame:
+        """Distinct edges, those to unknown titles as one; keys only, names are added to titles.
+        The known titles, one number each, are the side that is held; the links are not sorted."""
+        known = names.select(F.col("title_ref").alias(target)).distinct().hint("shuffle_hash")
+        wanted = links.where(F.col("reference_type").isin(*types)).select(
+            F.col("title_ref").alias(source), F.col("reference_type").alias(kind), F.col("reference_ref").alias("_ref")
         )
-        .distinct()
-        .join(known, F.col("_ref2") == F.col("reference_reference_title_id"), "left")
-        .drop("_ref2")
-        .distinct()
-    )
+        return wanted.join(known, F.col("_ref") == F.col(target), "left").drop("_ref").distinct()
+
+    first = edges(REFERENCE_TYPES, "title_ref", "reference_type", "reference_title_id")
+    second = edges([FEATURED_TYPE], "reference_title_id", "reference_reference_type", "reference_reference_title_id")
+    referred = named.join(second, "reference_title_id", "left")
     own = titles.distinct()
     if not keep_unlinked:
         own = own.join(names.select("title_ref"), "title_ref", "left_semi")
-    hops = own.join(first, "title_ref", "left" if keep_unlinked else "inner").join(second, "reference_title_id", "left")
-    return hops.withColumnRenamed("_type2", "reference_reference_type").select(
+    hops = own.join(first, "title_ref", "left" if keep_unlinked else "inner").join(referred, "reference_title_id", "left")
+    return hops.select(
         "reference_title_id", "title_ref", *[c for c in titles.columns if c != "title_ref"],
         "reference_type", "reference_title", "reference_reference_type", "reference_reference_title_id",
     )
