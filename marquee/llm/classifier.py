@@ -28,6 +28,8 @@ EMBEDDING = 8
 FILTERS = 24
 PAD = 256
 BLOCK = 128
+#: Text that is scored at once; its chunks and their places take many times as much memory.
+SCORE_BYTES = 1 << 20
 
 #: Bounds of the fit: labelled documents, and chunks of each (spread over the whole text).
 FIT_ROWS = 2000
@@ -183,7 +185,7 @@ def with_score(rows: DataFrame, network: Network) -> DataFrame:
     schema = StructType([*rows.schema.fields, StructField("score", DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, SCORE_BYTES):
             score = network.score(*utf8(part.column("text")))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], [*part.schema.names, "score"])
 

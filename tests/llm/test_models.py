@@ -242,3 +242,15 @@ def test_predictions_are_the_plain_mixtures(spark):
         kinds = Counter(language.trigrams(text).tolist())
         name, score = plain_mixture(model, kinds)
         assert got[doc].lang_pred == name and abs(got[doc].score - score) < 1e-3
+
+
+def test_scoring_holds_a_bounded_part_of_a_batch(spark):
+    """A task scores at most SCORE_BYTES of text at once, a longer text alone."""
+
+    class Sizes:
+        def score(self, data, bounds):
+            return np.full(len(bounds) - 1, float(len(data)))
+
+    rows = spark.range(60).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 100_000).alias("text")).coalesce(1)
+    most = classifier.with_score(rows, Sizes()).agg(F.max("score"), F.count("*")).first()
+    assert 100_000 <= most[0] <= classifier.SCORE_BYTES and most[1] == 60
