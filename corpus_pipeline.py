@@ -10,6 +10,9 @@ from marquee.llm.common import documents
 from marquee.session import scratch_mark, stored_alone
 
 TOKENIZER = "word_bpe_49k.json"
+#: Words whose ids a worker keeps: fewer than the operator alone, as workers of the stages before
+#: may still be there.
+REMEMBERED_WORDS = 100_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +37,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in sequences."""
-    return packing.best_fit(packing.token_pieces(docs, public_tokenizers.path(TOKENIZER)))
+    pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), remembered=REMEMBERED_WORDS)
+    return packing.best_fit(pieces)
 
 
 STAGES = [

@@ -33,6 +33,8 @@ END_OF_DOCUMENT = 1
 BAND = 0.85
 REMEMBERED_WORDS = 500_000
 REMEMBERED_CHARS = 20_000_000
+#: Bytes of text that are taken apart at a time: each of their words is an object for a while.
+SLICE_BYTES = 1 << 19
 
 
 class WordIds:
@@ -41,7 +43,7 @@ class WordIds:
     Plain words, letters with at most one full stop or comma behind, are asked for together:
     in the answer each ends with a token that ends a word."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, remembered: int = REMEMBERED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -51,6 +53,7 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.chars = 0
@@ -81,7 +84,7 @@ class WordIds:
             else:
                 other.append(word)
         self.chars += sum(map(len, words))
-        stems = list({s for _, s, _ in plain} - known.keys() - older.keys())
+        stems = list({s for _, s, _ in plain}.difference(known).difference(older))
         if stems:
             known.update(zip(stems, self._ask_plain(stems), strict=True))
         if other:
@@ -95,10 +98,11 @@ class WordIds:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         words = [text.replace("\n", " ").split(" ") for text in texts]
-        if new := set().union(*words) - self.known.keys():
+        # difference, not minus: it looks up the new words instead of walking over all known ones
+        if new := set().union(*words).difference(self.known):
             self._learn(new)
         out = [b"".join(map(self.known.__getitem__, some)) for some in words]
-        if len(self.known) > REMEMBERED_WORDS or self.chars > REMEMBERED_CHARS:
+        if len(self.known) > self.remembered or self.chars > REMEMBERED_CHARS:
             # What is not met again is forgotten, and so are words without end.
             keep = self.chars <= 2 * REMEMBERED_CHARS
             self.older, self.known, self.chars = (self.known if keep else {}), {}, 0
@@ -106,8 +110,8 @@ class WordIds:
 
 
 @lru_cache(maxsize=2)
-def word_ids(source: str) -> WordIds:
-    return WordIds(source)
+def word_ids(source: str, remembered: int = REMEMBERED_WORDS) -> WordIds:
+    return WordIds(source, remembered)
 
 
 def token_pieces(
@@ -116,10 +120,12 @@ def token_pieces(
     capacity: int = CAPACITY,
     end_id: int = END_OF_DOCUMENT,
     with_ids: bool = False,
+    remembered: int = REMEMBERED_WORDS,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of every whole text and its end id.
 
-    Only documents over the capacity are cut; null and empty texts give the end id alone.
+    Only documents over the capacity are cut; null and empty texts give the end id alone. A worker
+    holds the ids of at most about twice ``remembered`` words; with fewer it asks more often.
     """
     source = read_vocabulary(vocabulary_path)
     end = np.array([end_id], "<u4").tobytes()
@@ -127,9 +133,9 @@ def token_pieces(
     names = [c.split(" ")[0] for c in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(source)
+        words = word_ids(source, remembered)
         step = 4 * capacity
-        for part in slices(batches):
+        for part in slices(batches, SLICE_BYTES):
             rows: list[tuple] = []
             coded_texts = words.ids(part.column("text").to_pylist())
             for doc, coded in zip(part.column("doc_id").to_pylist(), coded_texts, strict=True):

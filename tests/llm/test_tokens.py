@@ -75,6 +75,25 @@ def test_word_ids_are_the_librarys(words, word_library, text):
     assert np.frombuffer(words.ids([text])[0], "<u4").tolist() == word_library.encode(text, add_special_tokens=False).ids
 
 
+def test_remembered_words_have_a_bound(word_library):
+    """The bound is a worker's own; ids do not depend on it."""
+    few = packing.WordIds(bpe.read_vocabulary(WORDS), remembered=40)
+    for first in range(0, 2000, 20):
+        text = " ".join(f"{'abcdefghij'[n % 10] * 3}{n}, the{n % 7}." for n in range(first, first + 20))
+        coded = few.ids([text])[0]
+        assert np.frombuffer(coded, "<u4").tolist() == word_library.encode(text, add_special_tokens=False).ids
+        assert len(few.known) <= 40 and len(few.older) <= 40 + 3 * 40
+
+
+def test_texts_are_taken_apart_in_small_slices(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "some words " * 20_000) for i in range(8)], "doc_id long, text string")
+    given = []
+    monkeypatch.setattr(packing, "slices", lambda batches, limit=4 << 20: given.append(limit) or iter(()))
+    monkeypatch.setattr(packing, "texts_of", lambda docs: type("Rows", (), {"mapInArrow": lambda self, run, schema: list(run([]))})())
+    packing.token_pieces(docs, WORDS)
+    assert given and given[0] <= 1 << 20
+
+
 @pytest.mark.parametrize("make", [cases.edge, cases.given])
 def test_round_trip(spark, byte_library, make):
     docs = make(spark)
