@@ -13,6 +13,8 @@ TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker keeps: fewer than the operator alone, as workers of the stages before
 #: may still be there.
 REMEMBERED_WORDS = 100_000
+#: Bytes of text that packing takes apart at a time, fewer for the same reason.
+PACKED_AT_ONCE = 1 << 19
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in sequences."""
-    pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), remembered=REMEMBERED_WORDS)
+    path = public_tokenizers.path(TOKENIZER)
+    pieces = packing.token_pieces(docs, path, remembered=REMEMBERED_WORDS, at_once=PACKED_AT_ONCE)
     return packing.best_fit(pieces)
 
 

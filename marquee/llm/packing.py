@@ -26,15 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.bpe import read_vocabulary
-from marquee.llm.common import slices, stored, texts_of
+from marquee.llm.common import SLICE_BYTES, slices, stored, texts_of
 
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
 BAND = 0.85
 REMEMBERED_WORDS = 500_000
 REMEMBERED_CHARS = 20_000_000
-#: Bytes of text that are taken apart at a time: each of their words is an object for a while.
-SLICE_BYTES = 1 << 19
 
 
 class WordIds:
@@ -121,11 +119,13 @@ def token_pieces(
     end_id: int = END_OF_DOCUMENT,
     with_ids: bool = False,
     remembered: int = REMEMBERED_WORDS,
+    at_once: int = SLICE_BYTES,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of every whole text and its end id.
 
     Only documents over the capacity are cut; null and empty texts give the end id alone. A worker
     holds the ids of at most about twice ``remembered`` words; with fewer it asks more often.
+    ``at_once``: bytes of text that it takes apart at a time, each word being an object for a while.
     """
     source = read_vocabulary(vocabulary_path)
     end = np.array([end_id], "<u4").tobytes()
@@ -135,7 +135,7 @@ def token_pieces(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(source, remembered)
         step = 4 * capacity
-        for part in slices(batches, SLICE_BYTES):
+        for part in slices(batches, at_once):
             rows: list[tuple] = []
             coded_texts = words.ids(part.column("text").to_pylist())
             for doc, coded in zip(part.column("doc_id").to_pylist(), coded_texts, strict=True):

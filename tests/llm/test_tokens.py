@@ -90,8 +90,8 @@ def test_texts_are_taken_apart_in_small_slices(spark, monkeypatch):
     given = []
     monkeypatch.setattr(packing, "slices", lambda batches, limit=4 << 20: given.append(limit) or iter(()))
     monkeypatch.setattr(packing, "texts_of", lambda docs: type("Rows", (), {"mapInArrow": lambda self, run, schema: list(run([]))})())
-    packing.token_pieces(docs, WORDS)
-    assert given and given[0] <= 1 << 20
+    packing.token_pieces(docs, WORDS, at_once=1 << 19)
+    assert given == [1 << 19]
 
 
 @pytest.mark.parametrize("make", [cases.edge, cases.given])
