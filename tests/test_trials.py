@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from marquee.functions.metrics import unit_hash
 from marquee.operators.aggregates import running_list
 from marquee.plans import matrix as mx
 from marquee.plans import trials
@@ -109,6 +110,26 @@ def test_sample_has_a_bound_and_no_unlabelled_rows(spark):
     assert len(trials.sample_of(rows.where("false"), "k", "y", ["a"])) == 0
 
 
+@pytest.mark.parametrize(("labelled", "limit"), [(3, 50), (3, 900), (100, 50)])
+def test_a_sample_of_known_rows_is_the_same(spark, labelled, limit):
+    """Also where labels are too rare for the first share, or for the limit."""
+    rows = spark.range(2000).select(
+        F.col("id").alias("k"), (F.col("id") * 1.0).alias("a"), F.when(F.col("id") % labelled == 0, F.col("id") * 2.0).alias("y")
+    )
+    whole = trials.sample_of(rows, "k", "y", ["a"], limit=limit)
+    known = trials.sample_of(rows, "k", "y", ["a"], limit=limit, n_rows=2000)
+    assert len(whole) == min(limit, -(-2000 // labelled))
+    assert np.array_equal(known.x, whole.x) and np.array_equal(known.y, whole.y)
+
+
+def test_a_sample_computes_columns_of_few_rows(spark):
+    low = unit_hash(F.col("k"), seed="58") < 0.2
+    rows = spark.range(2000).select(F.col("id").alias("k")).withColumn(
+        "y", F.when(low, F.col("k") * 1.0).otherwise(F.raise_error(F.lit("a label of a row that is not needed")).cast("double"))
+    )
+    assert len(trials.sample_of(rows, "k", "y", ["y"], limit=100, n_rows=2000)) == 100
+
+
 def test_a_run_goes_on_with_what_is_missing(spark, tmp_path):
     path, calls = str(tmp_path / "trials"), str(tmp_path / "calls")
 
