@@ -13,11 +13,13 @@ its rank, in parallel.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cached_property, lru_cache
+from functools import lru_cache
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -28,26 +30,39 @@ from pyspark.sql import functions as F
 from marquee.llm.bpe import read_vocabulary
 from marquee.llm.common import SLICE_BYTES, slices, stored, texts_of
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
 BAND = 0.85
 REMEMBERED_WORDS = 500_000
 REMEMBERED_CHARS = 20_000_000
+#: Small words of these letters are one word each by the vocabulary's rules, which change none of their letters.
+SIMPLE = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")
+#: Marks of which any run behind letters is a word of its own by the vocabulary's rules; an apostrophe is none.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+#: Simple words that make one text for the library.
+TOGETHER = 100
 
 
 class WordIds:
     """Ids by the tokenizers library, asked once for each distinct word. A space or a line
     break ends a word in this vocabulary's rules, so ids of words join to ids of the text.
-    Plain words, letters with at most one full stop or comma behind, are asked for together:
-    in the answer each ends with a token that ends a word."""
+    Plain words are letters, perhaps with marks behind. Their letters are asked for together:
+    in the answer each ends with a token that ends a word. Simple ones skip the rules for
+    normal forms and word ends, which would find the same."""
 
     def __init__(self, source: str, remembered: int = REMEMBERED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.by_space = Tokenizer(self.tokenizer.model)
+        self.by_space.pre_tokenizer = Sequence([Split(" ", "removed"), ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -60,8 +75,10 @@ class WordIds:
         coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(c.ids, "<u4").tobytes() for c in coded]
 
-    def _ask_plain(self, words: list[str]) -> list[bytes]:
-        ids = self._ask([" ".join(words)])[0]
+    def _ask_plain(self, words: list[str], tokenizer: Tokenizer) -> list[bytes]:
+        texts = [" ".join(words[at : at + TOGETHER]) for at in range(0, len(words), TOGETHER)]
+        coded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = b"".join(np.array(c.ids, "<u4").tobytes() for c in coded)
         last = np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1
         if len(last) != len(words):  # a letter that the library takes for something else
             return self._ask(words)
@@ -69,30 +86,36 @@ class WordIds:
         return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _learn(self, words: set[str]) -> None:
-        known, older, marks = self.known, self.older, self.marks
+        known, older = self.known, self.older
         again = older.keys() & words
         known.update({w: older[w] for w in again})
-        plain: list[tuple[str, str, str]] = []
+        new = words - again if again else words
+        self.chars += sum(map(len, words))
+        # Most new words are letters without a capital or a mark: they are stems themselves.
+        stems = {w for w in new if w.isalpha() and w.islower()}
+        plain: list[str] = []
+        stem_of: list[str] = []
+        mark_of: list[str] = []
         other = []
-        for word in words - again:
-            mark = word[-1:] if word.endswith((".", ",")) else ""
-            stem = (word[:-1] if mark else word).lower()
+        for word in new - stems:
+            letters = word.rstrip(MARKS)
+            stem = letters.lower()
             if stem.isalpha() and "\u03a3" not in word:  # the library lowers a sigma by another rule
-                plain.append((word, stem, mark))
+                plain.append(word)
+                stem_of.append(stem)
+                mark_of.append(word[len(letters) :])
             else:
                 other.append(word)
-        self.chars += sum(map(len, words))
-        stems = list({s for _, s, _ in plain}.difference(known).difference(older))
-        if stems:
-            known.update(zip(stems, self._ask_plain(stems), strict=True))
+        stems.update(set(stem_of).difference(known).difference(older))
+        other = list(set(other).union(set(mark_of).difference(known).difference(older)))
+        simple = set(filter(SIMPLE.fullmatch, stems))
+        for some, tokenizer in ((list(simple), self.by_space), (list(stems - simple), self.tokenizer)):
+            if some:
+                known.update(zip(some, self._ask_plain(some, tokenizer), strict=True))
         if other:
             known.update(zip(other, self._ask(other), strict=True))
-        for word, stem, mark in plain:
-            known[word] = (known.get(stem) or older[stem]) + marks[mark]
-
-    @cached_property
-    def marks(self) -> dict[str, bytes]:
-        return dict(zip(("", ".", ","), self._ask(["", ".", ","]), strict=True))
+        parts = [(known.get(s) or older[s]) + (known[m] if m in known else older[m]) for s, m in zip(stem_of, mark_of, strict=True)]
+        known.update(zip(plain, parts, strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         words = [text.replace("\n", " ").split(" ") for text in texts]

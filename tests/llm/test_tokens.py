@@ -75,6 +75,28 @@ def test_word_ids_are_the_librarys(words, word_library, text):
     assert np.frombuffer(words.ids([text])[0], "<u4").tolist() == word_library.encode(text, add_special_tokens=False).ids
 
 
+def test_simple_letters_and_marks_are_the_librarys(word_library):
+    """Every letter that skips the library's rules, every mark, and both after words are forgotten."""
+    few = packing.WordIds(bpe.read_vocabulary(WORDS), remembered=60)
+    letters = [chr(c) for c in range(32, 0x250) if chr(c).isalpha()]
+    assert sum(bool(packing.SIMPLE.fullmatch(c)) for c in letters) > 200
+    rows = [f"{c} a{c} {c}b {c}{c}. Ab{c}cd" for c in letters]
+    rows += [f"end{a}{b} {a}{b} A{a}{b}{a} it's{a} x{a}y 'T{b}" for a in packing.MARKS for b in packing.MARKS[::7] + "'"]
+    for at in range(0, len(rows), 50):
+        some = rows[at : at + 50]
+        expected = [c.ids for c in word_library.encode_batch(some, add_special_tokens=False)]
+        assert [np.frombuffer(c, "<u4").tolist() for c in few.ids(some)] == expected
+
+
+def test_simple_words_do_not_go_by_the_rules(monkeypatch):
+    few = packing.WordIds(bpe.read_vocabulary(WORDS))
+    asked = []
+    monkeypatch.setattr(few, "_ask", lambda words: asked.extend(words) or [b"" for _ in words])
+    monkeypatch.setattr(few, "tokenizer", None)
+    assert few.ids(["some words, Other w\u00f6rds... plus%%"])[0]
+    assert set(asked) <= {"", ",", "...", "%%"}
+
+
 def test_remembered_words_have_a_bound(word_library):
     """The bound is a worker's own; ids do not depend on it."""
     few = packing.WordIds(bpe.read_vocabulary(WORDS), remembered=40)
