@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: Bytes of input behind one partition where tasks hold rows in memory.
+DEALT_BYTES = 10 * 1024 * 1024
+#: Estimates from here on stand for rows that have none.
+UNKNOWN_BYTES = 1 << 60
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -34,6 +38,19 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if is_scan(df) and estimated_bytes(df) <= limit else df
 
 
+def partitions_for(df: DataFrame, each: int = DEALT_BYTES) -> int:
+    """How many partitions to deal a table over, by the size of the files behind it: a task holds
+    as much of a large table as of a small one, whatever number of shuffle partitions is set. At
+    least one for each core that the setting lets work; where a size is unknown, the setting."""
+    spark = df.sparkSession
+    setting = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if size >= UNKNOWN_BYTES:
+        return setting
+    return max(min(setting, spark.sparkContext.defaultParallelism), -(-size // each), 1)
+
+
 def band_join(
     facts: DataFrame,
     windows: DataFrame,

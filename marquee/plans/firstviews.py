@@ -29,7 +29,7 @@ from marquee.functions.metrics import (
     winsorise,
 )
 from marquee.operators.aggregates import percentiles_per_key, with_group_total
-from marquee.operators.joins import band_join
+from marquee.operators.joins import band_join, partitions_for
 from marquee.session import stored
 
 TITLE = ("title_id", "title_name", "season_number", "content_category", "category", "tier")
@@ -185,8 +185,10 @@ def reference_graph(
     ``links`` has title_ref, reference_type, reference_ref; ``names`` title_ref and
     original_title. Edge types are filtered before the joins, and each hop's edges are resolved
     and made distinct by themselves: rows of distinct titles and distinct edges are distinct, so
-    the product of the hops is neither sorted nor shuffled to remove repeats.
+    the product of the hops is neither sorted nor shuffled to remove repeats. Edges are dealt over
+    partitions by the size of ``links``, which need not be distinct.
     """
+    n = partitions_for(links)
     named = names.select(
         F.col("title_ref").alias("reference_title_id"), F.col("original_title").alias("reference_title")
     ).distinct()
@@ -194,11 +196,12 @@ def reference_graph(
     def edges(types: Sequence[str], source: str, kind: str, target: str) -> DataFrame:
         """Distinct edges, those to unknown titles as one; keys only, names are added to titles.
         The known titles, one number each, are the side that is held; the links are not sorted."""
-        known = names.select(F.col("title_ref").alias(target)).distinct().hint("shuffle_hash")
+        known = names.select(F.col("title_ref").alias(target)).repartition(n, target).distinct().hint("shuffle_hash")
         wanted = links.where(F.col("reference_type").isin(*types)).select(
             F.col("title_ref").alias(source), F.col("reference_type").alias(kind), F.col("reference_ref").alias("_ref")
         )
-        return wanted.join(known, F.col("_ref") == F.col(target), "left").drop("_ref").distinct()
+        resolved = wanted.repartition(n, "_ref").join(known, F.col("_ref") == F.col(target), "left").drop("_ref")
+        return resolved.repartition(n, source).distinct()
 
     first = edges(REFERENCE_TYPES, "title_ref", "reference_type", "reference_title_id")
     second = edges([FEATURED_TYPE], "reference_title_id", "reference_reference_type", "reference_reference_title_id")
@@ -206,7 +209,12 @@ def reference_graph(
     own = titles.distinct()
     if not keep_unlinked:
         own = own.join(names.select("title_ref"), "title_ref", "left_semi")
-    hops = own.join(first, "title_ref", "left" if keep_unlinked else "inner").join(referred, "reference_title_id", "left")
+    hops = own.join(first, "title_ref", "left" if keep_unlinked else "inner")
+    # rows whose reference is unknown meet nothing, so they are dealt by their title
+    known = F.col("reference_title_id")
+    at = F.coalesce(known, F.xxhash64("title_ref").cast(names.schema["title_ref"].dataType))
+    there = referred.withColumnRenamed("reference_title_id", "_there").repartition(n, "_there")
+    hops = hops.withColumn("_at", at).repartition(n, "_at").join(there, (F.col("_at") == F.col("_there")) & known.isNotNull(), "left")
     return hops.select(
         "reference_title_id", "title_ref", *[c for c in titles.columns if c != "title_ref"],
         "reference_type", "reference_title", "reference_reference_type", "reference_reference_title_id",

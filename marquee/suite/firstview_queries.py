@@ -183,7 +183,7 @@ def _graph(spark, d):
         F.col("l_partkey").alias("title_ref"),
         F.element_at(types, (F.col("l_linenumber") % 6 + 1).cast("int")).alias("reference_type"),
         F.col("l_suppkey").alias("reference_ref"),
-    ).distinct()
+    )
     names = s.table(spark, d, "part").select(F.col("p_partkey").alias("title_ref"), F.col("p_name").alias("original_title"))
     titles = s.assets(spark, d).select(
         F.col("k").alias("title_ref"), F.concat(F.lit("N"), F.floor(F.col("k") / 2).cast("string")).alias("title_name"),

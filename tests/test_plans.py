@@ -137,3 +137,25 @@ def test_reference_graph_removes_repeats_before_the_hops_meet(spark):
     assert {(3, "follows", 2, "featured_in", 5)} < set(map(pick, linked.collect())) and linked.count() == 7
     top = graph._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in top[: top.index("Join")]
+
+
+def test_reference_graph_is_dealt_by_the_size_of_its_links(spark, tmp_path):
+    """However few shuffle partitions are set, larger links come in more parts, and rows whose
+    reference is unknown do not fall into one."""
+    names = spark.range(4000).select(F.col("id").alias("title_ref"), F.format_string("n%d", "id").alias("original_title"))
+    titles = names.select("title_ref", F.lit("t").alias("title_name"))
+    unknown = (F.col("id") % 2 * 1_000_000 + F.col("id") % 4000).alias("reference_ref")
+    links = spark.range(1_000_000).select(
+        (F.col("id") % 4000).alias("title_ref"), F.lit("follows").alias("reference_type"), unknown, F.sha2(F.col("id").cast("string"), 512).alias("note")
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        links.limit(1000).write.parquet(f"{tmp_path}/small")
+        links.write.parquet(f"{tmp_path}/large")
+        small = firstviews.reference_graph(titles, names, spark.read.parquet(f"{tmp_path}/small"))
+        graph = firstviews.reference_graph(titles, names, spark.read.parquet(f"{tmp_path}/large"))
+        assert small.rdd.getNumPartitions() == 2 and graph.rdd.getNumPartitions() >= 6
+        sizes = [r["count"] for r in graph.where("reference_title_id is null").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sum(sizes) == 2000 and max(sizes) < 700
