@@ -33,6 +33,8 @@ from marquee.operators.joins import band_join, partitions_for
 from marquee.session import stored
 
 TITLE = ("title_id", "title_name", "season_number", "content_category", "category", "tier")
+#: Bytes of titles behind one partition of the calendar, where each becomes a row for each day.
+CALENDAR_BYTES = 512 * 1024
 
 
 def base_assets(assets: DataFrame, offers: DataFrame, metadata: DataFrame, floor: str) -> DataFrame:
@@ -137,8 +139,10 @@ def title_calendar(assets: DataFrame, last_day: str, days: int = GRID_DAYS) -> D
         F.date_sub(F.lit(last_day).cast("date"), 1),
     )
     on_day = F.col("request_date") == F.col("asset_premiere")
+    # dealt before titles become days, so that no task makes and counts the days of too many
     spread = (
-        assets.withColumn("_first", first)
+        assets.repartition(partitions_for(assets, CALENDAR_BYTES), *TITLE)
+        .withColumn("_first", first)
         .withColumn("_last", last)
         .where(F.col("_last") >= F.col("_first"))
         .withColumn("request_date", F.explode(F.sequence("_first", "_last")))
@@ -159,7 +163,7 @@ def daily_grid(
 ) -> DataFrame:
     """Calendar of every title with zero-filled first views and hours."""
     key = ["title_id", "season_number", "request_date", "content_category", "category", "tier"]
-    grid = title_calendar(assets, last_day)
+    grid = title_calendar(assets, last_day).repartition(partitions_for(assets, CALENDAR_BYTES), *key)
     on_platform = F.datediff(F.lit(run_date).cast("date"), "effective_start_date") - 1
     return (
         grid.join(hours.drop("title_name"), key, "left")
@@ -222,9 +226,15 @@ def reference_graph(
 
 
 def reference_features(graph: DataFrame, keys: Sequence[str], training: bool = True) -> DataFrame:
-    """Prequel counts: distinct references by type, and how often those are featured."""
+    """Prequel counts: distinct references by type, and how often those are featured. The rows
+    that count are dealt by their keys once, by the size of the graph, and counted there."""
+    of_series = (F.col("content_category") == "series") & (F.col("reference_type") == FEATURED_TYPE)
+    of_others = (F.col("content_category") != "series") & F.col("reference_type").isin(*PREQUEL_TYPES)
+    edge = ["reference_type", "reference_title_id", "reference_reference_type", "reference_reference_title_id"]
+    known = dict.fromkeys([*keys, "content_category", "season_number", *edge])
+    dealt = graph.where(of_series | of_others).select(*known).repartition(partitions_for(graph), *keys)
     series = (
-        graph.where((F.col("content_category") == "series") & (F.col("reference_type") == FEATURED_TYPE))
+        dealt.where(of_series)
         .groupBy(*keys)
         .agg(F.countDistinct("reference_title_id").cast("double").alias("ref_ref_featured_in"))
         .withColumn("prequel_count", F.col("season_number").cast("double"))
@@ -239,9 +249,7 @@ def reference_features(graph: DataFrame, keys: Sequence[str], training: bool = T
         )
     else:
         series = series.withColumn("prequel_featured_count", F.lit(None).cast("double"))
-    others = graph.where(
-        (F.col("content_category") != "series") & F.col("reference_type").isin(*PREQUEL_TYPES)
-    )
+    others = dealt.where(of_others)
     by_type = (
         others.groupBy(*keys, "reference_type")
         .agg(F.countDistinct("reference_title_id").alias("_n"))
@@ -300,7 +308,8 @@ def decay_curve(daily: DataFrame, title_keys: Sequence[str], group: str, title:
 
     ``daily`` has one row per title and day, so a title's window is bounded by days.
     """
-    total = with_group_total(daily, title_keys, "first_views", "_total")
+    dealt = daily.repartition(partitions_for(daily), *title_keys)
+    total = with_group_total(dealt, title_keys, "first_views", "_total")
     run = (
         Window.partitionBy(*title_keys)
         .orderBy("days_since_premiere")

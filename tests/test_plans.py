@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -159,3 +160,34 @@ def test_reference_graph_is_dealt_by_the_size_of_its_links(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert sum(sizes) == 2000 and max(sizes) < 700
+
+
+def test_first_views_are_dealt_by_size(spark, tmp_path):
+    """However few shuffle partitions are set, calendar, decay and reference counts of larger tables come in more parts."""
+    day = lambda n: F.date_add(F.lit("2024-01-02").cast("date"), n)
+    assets = spark.range(60_000).select(
+        F.col("id").alias("title_id"), F.sha2(F.col("id").cast("string"), 512).alias("title_name"), F.lit(1).alias("season_number"),
+        F.lit("movies").alias("content_category"), F.lit("Pay1").alias("category"), F.lit(1).alias("tier"), F.col("id").alias("viewable_id"),
+        day(0).alias("asset_premiere"), day(0).alias("season_premiere"), F.lit(60.0).alias("run_time"), day(0).alias("effective_start_date"), day(1).alias("effective_end_date"),
+    )
+    assets.write.parquet(f"{tmp_path}/assets")
+    assets = spark.read.parquet(f"{tmp_path}/assets")
+    edges = spark.range(300_000).select(
+        F.sha2(F.col("id").cast("string"), 512).alias("title_name"), F.lit(1).alias("season_number"), F.lit("movies").alias("content_category"),
+        F.lit("follows").alias("reference_type"), F.col("id").alias("reference_title_id"),
+        F.lit("featured_in").alias("reference_reference_type"), F.col("id").alias("reference_reference_title_id"),
+    )
+    edges.write.parquet(f"{tmp_path}/graph")
+    graph = spark.read.parquet(f"{tmp_path}/graph")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        views = spark.createDataFrame([], assets.select(*firstviews.TITLE, F.col("asset_premiere").alias("request_date"), F.lit(1).alias("first_views")).schema)
+        calendar = firstviews.daily_grid(assets, views, views.withColumnRenamed("first_views", "hours_viewed"), "2024-01-28", "2024-12-31")
+        wide = calendar._jdf.queryExecution().executedPlan().toString()
+        plan = firstviews.reference_features(graph, ["title_name", "season_number", "content_category"])._jdf.queryExecution().executedPlan().toString()
+        rows = calendar.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    parts = lambda text: [int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+)\), REPARTITION_BY_NUM", text)]
+    assert len(parts(wide)) == 2 and min(parts(wide)) >= 8 and rows == 120_000
+    assert parts(plan) and min(parts(plan)) >= 3
