@@ -240,3 +240,28 @@ def test_wide_rows_are_a_projection_of_the_titles(spark):
 def test_running_list_adds_up_the_days(spark):
     rows = spark.createDataFrame([([(3, 5), (1, 2), (3, None), (None, 9)],), ([],)], "c array<struct<day:int, v:bigint>>")
     assert [r.t for r in rows.select(running_list(F.col("c"), "day", "v", [1, 2, 3, 4]).alias("t")).collect()] == [[2, 2, 7, 7], [0, 0, 0, 0]]
+
+
+@pytest.mark.parametrize("leaves", [1, 6, 32])
+def test_leaf_masks_give_the_walked_predictions(leaves):
+    x, y = table(700, 4, 8, 0.2)
+    model = Boosting(rounds=20, leaves=leaves, min_leaf=1, absolute_loss=False).fit(x, y)
+    other = table(5000, 4, 9, 0.3)[0]
+    assert model._tests is not None and np.array_equal(model.predict(other), model._walked(other))
+    deep = Boosting(rounds=3, leaves=0, depth=9, min_leaf=1, absolute_loss=False).fit(x, y)
+    assert deep._tests is None and np.array_equal(deep.predict(x), deep._walked(x))
+
+
+def test_a_ladder_is_scored_from_one_row(spark):
+    x, y = table(80, 2, 6)
+    sample = trials.Sample(("a", "b"), x, y, np.zeros(80, int), np.zeros(80, bool))
+    task = trials.Task(("a", "b"), Boosting(rounds=4, absolute_loss=False))
+    models = trials.fitted(spark, sample, [task])
+    rows = spark.createDataFrame([(i, *(None if np.isnan(v) else float(v) for v in row)) for i, row in enumerate(x[:30])], "k int, a double, b double")
+    got = trials.scored(rows, models, ["k"], "m", ladder=("b", (-1.0, 0.5))).collect()
+    assert len(got) == 30
+    for r in got:
+        for i, step in enumerate((-1.0, 0.5)):
+            own = x[r.k : r.k + 1].copy()
+            own[0, 1] = np.nan_to_num(own[0, 1]) + step
+            assert r[f"prediction{i}"] == task.fit(sample).predict(own)[0]
