@@ -265,3 +265,107 @@ def test_a_ladder_is_scored_from_one_row(spark):
             own = x[r.k : r.k + 1].copy()
             own[0, 1] = np.nan_to_num(own[0, 1]) + step
             assert r[f"prediction{i}"] == task.fit(sample).predict(own)[0]
+
+
+def spread(spark, x, y, launch, original, parts=3):
+    """The same rows as arrays and over three tasks, in the order of their keys' hashes."""
+    names = tuple("abcdefg"[: x.shape[1]])
+    data = [(i, *(None if np.isnan(v) else float(v) for v in row), float(y[i]), int(launch[i]), bool(original[i])) for i, row in enumerate(x)]
+    kinds = "k int, " + ", ".join(f"{c} double" for c in names) + ", y double, l long, o boolean"
+    rows = spark.createDataFrame(data, kinds).repartition(parts).withColumn("l", F.timestamp_micros("l"))
+    arguments = (rows, "k", "y", names, F.col("l"), F.col("o"))
+    held, trials.TASK_VALUES = trials.TASK_VALUES, 0
+    try:
+        wide = trials.labelled(*arguments, ordered=True)
+    finally:
+        trials.TASK_VALUES = held
+    return trials.labelled(*arguments), wide
+
+
+def spread_table(n=900):
+    x, y = table(n, 4, 11)
+    x[:, 1] = np.round(np.nan_to_num(x[:, 1]) * 20)  # few values, ties
+    x[:, 2] = x[:, 2] > 0.5  # a label
+    return x, y, np.arange(n) * 1_000_000, np.arange(n) % 2 == 0
+
+
+def test_spread_rows_give_the_trees_of_one_task(spark, monkeypatch):
+    from marquee.plans import spread as sp
+    from marquee.plans.spread import Spread, boosted
+
+    monkeypatch.setattr(sp, "ROUNDS", 2)  # predictions are written on the way
+    small, wide = spread(spark, *spread_table())
+    assert isinstance(wide, Spread) and len(wide) == len(small) == 900
+    fold = trials.Fold(0, 600_000_000, 899_000_000, 500_000_000)
+    settings = [
+        Boosting(rounds=5), Boosting(rounds=4, absolute_loss=False, rising=(0,), depth=4),
+        Boosting(rounds=3, leaves=0, depth=6, feature_fraction=0.5, absolute_loss=False),
+    ]
+    found = []
+    models = [(("a", "b", "c", "d"), s, t) for s in settings for t in (trials.every_row, fold.train)] + [(("d", "c"), settings[0], fold.train)]
+    boosted(spark, wide, models, lambda block, number, p: [p.sum(), len(p)], found.extend)
+    assert [f[0] for f in found] == list(range(7))
+    for (columns, s, train), (_, n, trees, sums) in zip(models, found, strict=True):
+        mine, places = train(small), small.places(columns)
+        want = s.fit(small.x[mine][:, places], small.y[mine])
+        assert n == mine.sum() and len(trees.trees) == len(want.trees)
+        predicted = want.predict(small.x[:, places])
+        assert np.allclose(trees.predict(small.x[:, places]), predicted)
+        assert sums == pytest.approx([predicted.sum(), 900])
+
+
+def test_search_tuning_and_scores_over_spread_rows_are_those_of_one_task(spark, tmp_path):
+    x, y, launch, original = spread_table(300)
+    folds = [trials.Fold(0, 0, 50_000_000, -1), trials.Fold(1, 200_000_000, 299_000_000, 180_000_000)]
+    grid = [{"rounds": 2, "depth": 2, "rate": 0.3}, {"rounds": 4, "depth": 2, "rate": 0.3}]
+    small, wide = spread(spark, x, y, launch, original)
+    one, other = trials.tune(spark, small, folds, grid), trials.tune(spark, wide, folds, grid)
+    assert one[0] == other[0]
+    for a, b in zip(one[1].orderBy("setting").collect(), other[1].orderBy("setting").collect(), strict=True):
+        assert tuple(b)[:4] == tuple(a)[:4] and tuple(b)[4:] == pytest.approx(tuple(a)[4:])
+    searched = [{"rounds": r, "absolute_loss": False} for r in (1, 3)]
+    rows = [trials.random_search(spark, s, searched, folds=4)[1].orderBy("trial").collect() for s in (small, wide)]
+    for a, b in zip(*rows, strict=True):
+        assert tuple(b)[:5] == tuple(a)[:5] and b.squares == pytest.approx(a.squares)
+    tasks = [trials.Task(small.columns, Boosting(rounds=3), f.train) for f in folds]
+    path = str(tmp_path / "store")
+    stores = [trials.fitted(spark, s, tasks, p).collect() for s, p in ((small, None), (wide, path), (wide, path))]
+    assert [[(r.trial, r.n_rows) for r in s] for s in stores] == [[(1, 180)]] * 3 and stores[1] == stores[2]
+
+
+def test_exact_ranks_of_odd_values(spark):
+    from marquee.plans import spread as sp
+
+    values = np.array([0.0, -0.0, -1.5, 3.0, 3.0, 1e300, -1e-300, np.inf] * 40)
+    draw = np.random.default_rng(1).normal(size=700) * np.exp(np.arange(700) % 9)
+    blocks = spark.sparkContext.parallelize([values[:100], values[100:]], 2)
+    few = sp.FEW
+    try:
+        for sp.FEW in (few, 0):
+            cells = lambda v: [(4, np.zeros(len(v), np.uint64), v), (9, (np.arange(700) % 2).astype(np.uint64), draw)]
+            got = sp.ranked(blocks, cells, {4: {0: np.arange(320)}, 9: {1: np.array([0, 5, 699]), 0: np.array([300])}})
+            assert np.array_equal(got[4][0], np.sort(values))
+            twice = [np.sort(np.tile(draw[i::2], 2)) for i in (0, 1)]
+            assert np.array_equal(got[9][1], twice[1][[0, 5, 699]]) and got[9][0][0] == twice[0][300]
+    finally:
+        sp.FEW = few
+
+
+@pytest.mark.parametrize(
+    ("query", "operator"),
+    [("_crossed", "cross_predict"), ("_searched", "random_search"), ("score_days", "score_days"), ("tune_grid", "tune")],
+)
+def test_models_learn_from_every_labelled_title(spark, monkeypatch, query, operator):
+    from marquee.suite import matrix_queries as mq
+
+    rows = spark.range(1500).select(
+        F.concat(F.lit("O"), "id").alias("match_id_platform"), F.timestamp_seconds("id").alias("launch"), (F.col("id") % 2 == 0).alias("original"),
+        F.when(F.col("id") % 9 > 0, F.col("id") * 1.0).alias("target"), (F.col("id") * 1.0).alias("n"),
+    )
+    learned = []
+    monkeypatch.setattr(mq, "_matrix", lambda spark, d: (mx.Matrix(mx.Registry((mx.Field("n"),))), rows))
+    monkeypatch.setattr(mq, "bounds_of", lambda spark, d: None)
+    monkeypatch.setattr(trials, "folds_of", lambda bounds: [])
+    monkeypatch.setattr(trials, operator, lambda *a, **k: learned.extend(len(x) for x in a if isinstance(x, trials.Sample)) or [None, None])
+    getattr(mq, query)(spark, f"made for {query}")
+    assert learned == [rows.where("target is not null").count()] == [1333]
